@@ -1,0 +1,194 @@
+"""A cell index for cosine search that stays exact.
+
+Vectors are grouped into cells around k-means centres. A search first looks into
+the nearest cells of each query, which gives a lower bound on the k-th score, and
+then into every other cell whose best possible score reaches that bound. Cells
+that cannot hold a better vector are never read.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paperlake.functions.vectors import l2_norm, l2_normalize
+from paperlake.operators.search import (
+    MAX_SHIPPED_QUERIES,
+    list_matrix,
+    partial_top_k,
+    query_matrix,
+    rank,
+    shipped_queries,
+    top_k,
+    unit_rows,
+)
+from paperlake.settings import TOP_K
+
+# Zero vectors have no direction; they share one cell, where every score is 0.
+ZERO_CELL = -1
+# Rounded scores and float noise must not push a cell below the bound.
+_SLACK = 1e-5
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """Vectors with their cell, and per cell its centre, widest member and size."""
+
+    path: str
+    stored_schema: T.StructType
+    centers: np.ndarray
+    min_cosine: dict[int, float]
+    sizes: dict[int, int]
+
+
+def train_centers(vectors: DataFrame, n_cells: int, seed: int = 17, fraction: float = 1.0) -> np.ndarray:
+    """Unit cell centres by k-means on the vectors, or on a fraction of a large table.
+
+    Centres only steer where vectors are stored, never which results are found.
+    """
+    training = vectors.filter(l2_norm(F.col("vector")) > 0)
+    if fraction < 1.0:
+        training = training.sample(fraction, seed)
+    features = training.select(array_to_vector(l2_normalize(F.col("vector"))).alias("features"))
+    model = KMeans(k=n_cells, seed=seed, maxIter=5, distanceMeasure="cosine").fit(features)
+    return unit_rows(np.array(model.clusterCenters()))
+
+
+def assign_cells(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Add the nearest cell and the cosine to its centre; one narrow pass."""
+    names = vectors.columns
+    extra = [T.StructField("cell", T.IntegerType()), T.StructField("center_cosine", T.DoubleType())]
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = unit_rows(list_matrix(batch.column("vector")))
+            cosines = units @ centers.T
+            cell = cosines.argmax(axis=1).astype(np.int32)
+            nearest = cosines[np.arange(len(cell)), cell]
+            zero = ~units.any(axis=1)
+            cell[zero], nearest[zero] = ZERO_CELL, 0.0
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(nearest)],
+                names=[*names, "cell", "center_cosine"],
+            )
+
+    out = T.StructType([*vectors.schema.fields, *extra])
+    return vectors.filter("vector is not null").mapInArrow(assign, out)
+
+
+def build_index(vectors: DataFrame, path: str, n_cells: int, fraction: float = 1.0) -> CellIndex:
+    """Write the vectors to ``path`` by cell and summarise the cells. Starts jobs.
+
+    The rebalance splits a cell that holds a large share of the vectors over
+    several files, so later scans of it stay parallel.
+    """
+    centers = train_centers(vectors, n_cells, fraction=fraction)
+    assigned = assign_cells(vectors, centers)
+    assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+    stored = vectors.sparkSession.read.schema(assigned.schema).parquet(path)
+    cells = stored.groupBy("cell").agg(F.min("center_cosine").alias("low"), F.count("*").alias("n"))
+    rows = cells.collect()  # one row per cell
+    return CellIndex(
+        path,
+        assigned.schema,
+        centers,
+        {r["cell"]: r["low"] for r in rows},
+        {r["cell"]: r["n"] for r in rows},
+    )
+
+
+def stored_vectors(spark: SparkSession, index: CellIndex) -> DataFrame:
+    return spark.read.schema(index.stored_schema).parquet(index.path)
+
+
+def _best_possible(index: CellIndex, queries: np.ndarray, cells: list[int]) -> np.ndarray:
+    """Upper bound of the cosine between each query and any member of each cell.
+
+    On the unit sphere angles obey the triangle inequality: a member is at least
+    the angle to the centre minus the angle of the widest member away.
+    """
+    bound = np.zeros((len(queries), len(cells)))
+    for column, cell in enumerate(cells):
+        if cell == ZERO_CELL:
+            continue
+        to_center = np.arccos(np.clip(queries @ index.centers[cell], -1, 1))
+        width = np.arccos(np.clip(index.min_cosine[cell], -1, 1))
+        bound[:, column] = np.cos(np.maximum(0.0, to_center - width))
+    return bound
+
+
+def _first_cells(index: CellIndex, bound: np.ndarray, cells: list[int], k: int) -> list[set[int]]:
+    """Per query, the most promising cells that together hold at least k vectors."""
+    first = []
+    for row in bound:
+        chosen, held = set(), 0
+        for column in np.argsort(-row, kind="stable"):
+            if held >= k:
+                break
+            chosen.add(cells[column])
+            held += index.sizes[cells[column]]
+        first.append(chosen)
+    return first
+
+
+def _by_cell(cells_of_query: list[set[int]]) -> dict[int, list[int]]:
+    listing = defaultdict(list)
+    for query, cells in enumerate(cells_of_query):
+        for cell in cells:
+            listing[cell].append(query)
+    return dict(listing)
+
+
+def indexed_top_k(
+    index: CellIndex, stored: DataFrame, queries: DataFrame, k: int = TOP_K
+) -> DataFrame:
+    """The same rows as ``search.top_k`` while reading only the cells that matter.
+
+    ``stored`` is the table at ``index.path``. The cell filter is a partition
+    filter, so pruned cells are not listed into the scan. Starts one job on the
+    queries and one on their nearest cells; what comes back is at most k rows per
+    shipped query. Larger query sets are searched block by block instead.
+    """
+    rows = shipped_queries(queries, MAX_SHIPPED_QUERIES)
+    if rows is None:
+        return top_k(stored, queries, k)
+    query_type = queries.schema["query_id"].dataType
+    units = query_matrix(rows)
+    cells = sorted(index.sizes)
+    bound = _best_possible(index, units, cells)
+
+    def visit(listing: dict[int, list[int]]) -> DataFrame:
+        return partial_top_k(
+            stored.filter(F.col("cell").isin(list(listing))), rows, query_type, k, listing
+        )
+
+    first = _first_cells(index, bound, cells, k)
+    found = rank(visit(_by_cell(first)), k).collect()  # at most k rows per shipped query
+    kth = {r["query_id"]: r["score"] for r in found if r["rank"] == k}
+    rest = [
+        {
+            cell
+            for column, cell in enumerate(cells)
+            if cell not in first[q] and bound[q, column] >= kth.get(row["query_id"], -1.0) - _SLACK
+        }
+        for q, row in enumerate(rows)
+    ]
+    spark = stored.sparkSession
+    candidate_schema = T.StructType(
+        [
+            T.StructField("query_id", query_type),
+            T.StructField("id", stored.schema["id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    near = spark.createDataFrame([(r["query_id"], r["id"], r["score"]) for r in found], candidate_schema)
+    return rank(near.unionByName(visit(_by_cell(rest))), k)
