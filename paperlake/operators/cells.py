@@ -35,6 +35,8 @@ from paperlake.settings import TOP_K
 
 # Zero vectors have no direction; they share one cell, where every score is 0.
 ZERO_CELL = -1
+# Enough vectors to place a centre well; more only slows the training.
+TRAINING_ROWS_PER_CELL = 256
 # Rounded scores and float noise must not push a cell below the bound.
 _SLACK = 1e-5
 
@@ -50,12 +52,13 @@ class CellIndex:
     sizes: dict[int, int]
 
 
-def train_centers(vectors: DataFrame, n_cells: int, seed: int = 17, fraction: float = 1.0) -> np.ndarray:
-    """Unit cell centres by k-means on the vectors, or on a fraction of a large table.
+def train_centers(vectors: DataFrame, n_cells: int, seed: int = 17) -> np.ndarray:
+    """Unit cell centres by k-means; a large table is trained on a sample of it.
 
     Centres only steer where vectors are stored, never which results are found.
     """
     training = vectors.filter(l2_norm(F.col("vector")) > 0)
+    fraction = TRAINING_ROWS_PER_CELL * n_cells / max(1, vectors.count())
     if fraction < 1.0:
         training = training.sample(fraction, seed)
     features = training.select(array_to_vector(l2_normalize(F.col("vector"))).alias("features"))
@@ -85,13 +88,13 @@ def assign_cells(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
     return vectors.filter("vector is not null").mapInArrow(assign, out)
 
 
-def build_index(vectors: DataFrame, path: str, n_cells: int, fraction: float = 1.0) -> CellIndex:
+def build_index(vectors: DataFrame, path: str, n_cells: int) -> CellIndex:
     """Write the vectors to ``path`` by cell and summarise the cells. Starts jobs.
 
     The rebalance splits a cell that holds a large share of the vectors over
     several files, so later scans of it stay parallel.
     """
-    centers = train_centers(vectors, n_cells, fraction=fraction)
+    centers = train_centers(vectors, n_cells)
     assigned = assign_cells(vectors, centers)
     assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
     stored = vectors.sparkSession.read.schema(assigned.schema).parquet(path)
@@ -166,21 +169,21 @@ def indexed_top_k(
     cells = sorted(index.sizes)
     bound = _best_possible(index, units, cells)
 
-    def visit(listing: dict[int, list[int]]) -> DataFrame:
-        return partial_top_k(
-            stored.filter(F.col("cell").isin(list(listing))), rows, query_type, k, listing
-        )
+    def visit(listing: dict[int, list[int]], floors: list[float] | None = None) -> DataFrame:
+        wanted = stored.filter(F.col("cell").isin(list(listing)))
+        return partial_top_k(wanted, rows, query_type, k, listing, floors)
 
     first = _first_cells(index, bound, cells, k)
     found = rank(visit(_by_cell(first)), k).collect()  # at most k rows per shipped query
     kth = {r["query_id"]: r["score"] for r in found if r["rank"] == k}
+    floors = [kth.get(row["query_id"], -1.0) for row in rows]
     rest = [
         {
             cell
             for column, cell in enumerate(cells)
-            if cell not in first[q] and bound[q, column] >= kth.get(row["query_id"], -1.0) - _SLACK
+            if cell not in first[q] and bound[q, column] >= floors[q] - _SLACK
         }
-        for q, row in enumerate(rows)
+        for q in range(len(rows))
     ]
     spark = stored.sparkSession
     candidate_schema = T.StructType(
@@ -191,4 +194,4 @@ def indexed_top_k(
         ]
     )
     near = spark.createDataFrame([(r["query_id"], r["id"], r["score"]) for r in found], candidate_schema)
-    return rank(near.unionByName(visit(_by_cell(rest))), k)
+    return rank(near.unionByName(visit(_by_cell(rest), floors)), k)

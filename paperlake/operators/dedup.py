@@ -1,4 +1,4 @@
-"""One row per paper id, chosen by source priority."""
+"""One row per paper, chosen by source priority."""
 
 from __future__ import annotations
 
@@ -27,13 +27,19 @@ def default_ties() -> list[Column]:
     return [F.col("ingestion_timestamp").desc_nulls_last(), *map(F.col, [*leading, *others])]
 
 
-def best_per_id(df: DataFrame, sources: Iterable[Source], ties: Sequence[Column] | None = None) -> DataFrame:
-    """Keep, per id, the row of the best source; ``ties`` order rows of one source.
+def best_per_key(
+    df: DataFrame,
+    sources: Iterable[Source],
+    keys: Sequence[str] = ("id",),
+    ties: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Keep, per key, the row of the best source; ``ties`` order rows of one source.
 
-    The rank filter lets Spark keep one row per id in every task before it
+    The rank filter lets Spark keep one row per key in every task before it
     shuffles, so an id that holds a third of the rows reaches its reducer as one
-    row per map task.
+    row per map task. An id fixes its date, so deduplicating by the merge keys
+    keeps the same rows as by id and leaves them partitioned for the merge join.
     """
     ties = default_ties() if ties is None else ties
-    order = Window.partitionBy("id").orderBy(source_priority(F.col("source"), sources), *ties)
+    order = Window.partitionBy(*keys).orderBy(source_priority(F.col("source"), sources), *ties)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")

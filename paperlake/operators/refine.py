@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperlake import schema
@@ -54,5 +54,15 @@ def add_record_hash(df: DataFrame) -> DataFrame:
     return df.withColumn("record_hash", record_hash(*map(F.col, schema.MASTER_COLUMNS)))
 
 
+def to_records(papers: DataFrame, stamp: Column | None = None) -> DataFrame:
+    """Refined papers as raw-table rows: fingerprint, date partition, one stamp per batch."""
+    batch_stamp = F.current_timestamp() if stamp is None else stamp
+    return (
+        papers.transform(add_partition_columns)
+        .transform(add_record_hash)
+        .withColumn("ingestion_timestamp", batch_stamp)
+    )
+
+
 def recent(df: DataFrame, as_of: dt.date | None, days: int) -> DataFrame:
     return df.filter(within_lookback(F.col("publication_date"), as_of, days))

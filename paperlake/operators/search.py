@@ -120,11 +120,13 @@ def partial_top_k(
     query_id: T.DataType,
     k: int,
     queries_of_cell: Mapping[int, Sequence[int]] | None = None,
+    floors: Sequence[float] | None = None,
 ) -> DataFrame:
     """Each task's k best vectors per query, in one pass over the vectors.
 
     With ``queries_of_cell``, a vector is scored only against the queries listed
-    for its ``cell``.
+    for its ``cell``. ``floors`` gives, per query, a score k vectors are known to
+    reach; lower ones are not worth sending on.
     """
     keys = [r["query_id"] for r in rows]
     matrix = query_matrix(rows)
@@ -154,7 +156,8 @@ def partial_top_k(
                     part = members[start : start + step]
                     scores = scores_of(units[part], matrix[list(wanted)])
                     for column, query in enumerate(wanted):
-                        best.add(query, ids[part], scores[:, column])
+                        good = slice(None) if floors is None else scores[:, column] >= floors[query]
+                        best.add(query, ids[part][good], scores[good, column])
         at, ids, scores = best.rows()
         yield pa.RecordBatch.from_pydict(
             {"query_id": [keys[q] for q in at], "id": ids.tolist(), "score": scores},

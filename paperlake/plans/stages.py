@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,14 +13,9 @@ from pyspark.sql import functions as F
 
 from paperlake import schema
 from paperlake.functions.dates import partition_within_lookback
-from paperlake.operators.dedup import best_per_id
+from paperlake.operators.dedup import best_per_key
 from paperlake.operators.embed import Encoder, build_points, hashing_encoder
-from paperlake.operators.refine import (
-    add_partition_columns,
-    add_record_hash,
-    recent,
-    refine,
-)
+from paperlake.operators.refine import recent, refine, to_records
 from paperlake.plans.tables import (
     append_new_records,
     replace_dates,
@@ -35,6 +31,7 @@ from paperlake.sources.records import (
     union_papers,
     write_records,
 )
+from paperlake.streaming.landing import ingest_new_files
 
 log = logging.getLogger(__name__)
 
@@ -54,13 +51,17 @@ def land_records(
     run_date: dt.date,
 ) -> None:
     """Write each source's records to its landing folder in the source's format."""
-    for name, df in records.items():
-        mapping = settings.field_mappings.get(name)
+
+    def one(name: str) -> None:
+        df, mapping = records[name], settings.field_mappings.get(name)
         if mapping and not set(mapping.values()) <= set(df.columns):
             df = map_fields(df, mapping, name)
         prepared = prepare_records(df, bucket, run_date)
         write_records(prepared, settings.landing_path(name), run_date, settings.source(name).format)
 
+    with ThreadPoolExecutor(max(1, len(records))) as pool:
+        list(pool.map(one, records))
+
 
 def load_source(spark: SparkSession, settings: LakeSettings, source: Source) -> DataFrame:
     """Refined papers of one source, straight from its landed files."""
@@ -69,28 +70,35 @@ def load_source(spark: SparkSession, settings: LakeSettings, source: Source) ->
 
 
 def refine_sources(
-    spark: SparkSession, settings: LakeSettings, stamp: Column | None = None
+    spark: SparkSession,
+    settings: LakeSettings,
+    stamp: Column | None = None,
+    incremental: bool = False,
 ) -> list[SourceStatus]:
     """Append every enabled source's new papers to its raw table.
 
     A source that cannot be read or written is reported and skipped; the others
-    go on. Sources are independent jobs, so one write per source is all that runs.
+    go on. ``incremental`` reads only files landed since the last incremental run
+    instead of comparing everything landed with everything stored.
     """
-    stamp = F.current_timestamp() if stamp is None else stamp
-    report = []
-    for source in settings.sources:
+
+    def one(source: Source) -> SourceStatus:
         if not source.enabled:
-            report.append(SourceStatus(source.name, "disabled"))
-            continue
+            return SourceStatus(source.name, "disabled")
         try:
-            papers = load_source(spark, settings, source)
-            records = add_record_hash(add_partition_columns(papers)).withColumn("ingestion_timestamp", stamp)
-            append_new_records(spark, records, settings.raw_table_path(source.name))
-            report.append(_written(spark, settings, source))
+            if incremental:
+                ingest_new_files(spark, settings, source, settings.checkpoint_path(source.name), stamp)
+            else:
+                fresh = to_records(load_source(spark, settings, source), stamp)
+                append_new_records(spark, fresh, settings.raw_table_path(source.name))
+            return _written(spark, settings, source)
         except Exception as error:  # any failure of one source must not stop the rest
             log.exception("source %s failed", source.name)
-            report.append(SourceStatus(source.name, "failed", str(error).splitlines()[0]))
-    return report
+            return SourceStatus(source.name, "failed", str(error).splitlines()[0])
+
+    # The sources' jobs are independent; submitted together they fill the cluster.
+    with ThreadPoolExecutor(len(settings.sources)) as pool:
+        return list(pool.map(one, settings.sources))
 
 
 def _written(spark: SparkSession, settings: LakeSettings, source: Source) -> SourceStatus:
@@ -120,7 +128,7 @@ def recent_papers(
 def stage_papers(papers: DataFrame, settings: LakeSettings, stamp: Column | None = None) -> DataFrame:
     """One row per id in master columns, stamped with one ingestion time."""
     stamp = F.current_timestamp() if stamp is None else stamp
-    best = best_per_id(papers, settings.sources)
+    best = best_per_key(papers, settings.sources, schema.MERGE_KEYS)
     return best.withColumn("ingestion_timestamp", stamp).select(*schema.MASTER_TABLE_COLUMNS)
 
 
@@ -129,9 +137,10 @@ def refine_stage(
     settings: LakeSettings,
     as_of: dt.date | None = None,
     stamp: Column | None = None,
+    incremental: bool = False,
 ) -> list[SourceStatus]:
     """Landed files to raw tables, then the recent papers into the master table."""
-    report = refine_sources(spark, settings, stamp)
+    report = refine_sources(spark, settings, stamp, incremental)
     loaded = [s.source for s in report if s.state == "loaded"]
     if loaded:
         papers = recent_papers(spark, settings, loaded, as_of)

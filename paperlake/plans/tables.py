@@ -46,17 +46,23 @@ def replace_dates(df: DataFrame, path: str, rebalance: bool = True) -> None:
     )
 
 
-def append_new_records(spark: SparkSession, records: DataFrame, path: str) -> None:
+def append_new_records(
+    spark: SparkSession, records: DataFrame, path: str, dates: DataFrame | None = None
+) -> None:
     """Append the records the raw table does not hold yet, so that a rerun adds nothing.
 
     A record is known by id, source and content. Duplicates inside the batch
-    collapse before the shuffle; only three narrow columns of the stored table
-    are read for the comparison.
+    collapse before the shuffle, and the content hash spreads an id that occurs
+    often. Only three narrow columns of the stored table are read; with
+    ``dates``, the partitions the batch falls into, only from those partitions.
     """
     known_by = ["id", "source", "record_hash"]
     fresh = records.dropDuplicates(known_by)
     stored = table_or_none(spark, path, schema.raw_table_schema())
     if stored is not None:
+        if dates is not None:
+            undated = stored.filter("year is null")
+            stored = in_partitions_of(stored, dates).unionByName(undated)
         fresh = fresh.join(stored.select(*known_by), known_by, "left_anti")
     write_by_date(fresh.select(*schema.raw_table_schema().names), path, "append")
 

@@ -53,13 +53,15 @@ LOOKBACK_DAYS = 7
 ENCODER_BATCH_SIZE = 128
 TOP_K = 10
 
-# --- Fixed values: session options ---
+# Session options.
 SESSION_OPTIONS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Recording a call site for every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -115,6 +117,9 @@ class LakeSettings:
     def raw_table_path(self, source: str) -> str:
         return self._under("tables", f"{source}_raw")
 
+    def checkpoint_path(self, source: str) -> str:
+        return self._under("checkpoints", source)
+
     @property
     def master_path(self) -> str:
         return self._under("tables", "papers_master")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -88,19 +88,22 @@ def prepare_records(
     )
 
 
-def to_papers(raw: DataFrame, source: str | None = None) -> DataFrame:
+def to_papers(raw: DataFrame, source: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Typed paper rows from raw records; text that is no date or time becomes null.
 
     A record without an id gets the one its raw text hashes to, before any cast.
+    ``source`` replaces whatever source the records name; ``keep`` carries other
+    columns along.
     """
-    given_id = F.coalesce("id", paper_id(*map(F.col, ("title", "authors", "publication_date"))))
-    tagged = raw.withColumns({"id": given_id, **({} if source is None else {"source": F.lit(source)})})
-    return tagged.select(
-        *[
-            (F.col(name) if kind == "string" else F.col(name).try_cast(kind)).alias(name)
-            for name, kind in schema.PAPER_FIELDS
-        ]
-    )
+    hashed = paper_id(F.col("title"), F.col("authors"), F.col("publication_date"))
+    values = {"id": F.coalesce("id", hashed)}
+    if source is not None:
+        values["source"] = F.lit(source)
+    columns = [
+        values.get(name, F.col(name) if kind == "string" else F.col(name).try_cast(kind)).alias(name)
+        for name, kind in schema.PAPER_FIELDS
+    ]
+    return raw.select(*keep, *columns)
 
 
 def union_papers(frames: Iterable[DataFrame]) -> DataFrame:

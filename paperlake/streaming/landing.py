@@ -8,11 +8,10 @@ already read in a stream checkpoint, so a run costs only what is new.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paperlake import schema
-from paperlake.operators.refine import add_partition_columns, add_record_hash, refine
-from paperlake.plans.tables import append_new_records
+from paperlake.operators.refine import refine, to_records
+from paperlake.plans.tables import append_new_records, touched_dates
 from paperlake.settings import LakeSettings, Source
 from paperlake.sources.records import to_papers
 
@@ -39,12 +38,12 @@ def ingest_new_files(
     Returns when all of them are in. A batch that is retried after a failure
     finds its records already stored and appends nothing.
     """
-    stamp = F.current_timestamp() if stamp is None else stamp
 
     def append(batch: DataFrame, _batch_id: int) -> None:
-        papers = refine(to_papers(batch, source.name), settings)
-        records = add_record_hash(add_partition_columns(papers)).withColumn("ingestion_timestamp", stamp)
-        append_new_records(batch.sparkSession, records, settings.raw_table_path(source.name))
+        records = to_records(refine(to_papers(batch, source.name), settings), stamp)
+        append_new_records(
+            batch.sparkSession, records, settings.raw_table_path(source.name), touched_dates(records)
+        )
 
     query = (
         landing_stream(spark, settings, source)

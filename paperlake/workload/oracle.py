@@ -126,14 +126,15 @@ def _search(relation: str) -> str:
     )
 
 
-_VECTOR_TOPK = """
+_CENTERS = """
   with centers as (
     select label as query_id, list(mean order by pos) as q
     from (select label, pos, avg(cast(value as double)) as mean
           from (select label, unnest(embedding) as value, generate_subscripts(embedding, 1) as pos from embeddings)
           group by label, pos)
-    group by label),
-  scores as (
+    group by label)"""
+
+_VECTOR_TOPK = _CENTERS + """, scores as (
     select query_id, vec_id as id, round(list_cosine_similarity(embedding::double[], q), 6) as score
     from centers cross join embeddings)
   select query_id, id, score, cast(row_number() over w as integer) as rank
@@ -169,8 +170,8 @@ def oracle_sql() -> dict[str, str]:
             null::varchar as publication_date, null::varchar as keywords, null::varchar as pdf_url,
             null::varchar as pdf_s3_path, 'arxiv' as source, null::varchar as ingestion_timestamp
           from documents""",
-        "paper_ids": f"select doc_id, {_id('text', 'lang', 'source')} as id from documents",
-        "clean_texts": _WITH + f"select doc_id, {', '.join(f'{_clean(c)} as {c}' for c in _CLEANED)} from papers",
+        "paper_id": f"select doc_id, {_id('text', 'lang', 'source')} as id from documents",
+        "clean_text": _WITH + f"select doc_id, {', '.join(f'{_clean(c)} as {c}' for c in _CLEANED)} from papers",
         "title_filter": _WITH + "select doc_id, title from papers where length(trim(title)) >= 10",
         "truncate_text": _WITH
         + "select doc_id, substr(abstract, 1, 200) as abstract, substr(full_text, 1, 1000) as full_text from papers",
@@ -231,13 +232,17 @@ def oracle_sql() -> dict[str, str]:
         "embed_documents": f"""
           select doc_id, bucket, round(n / sqrt(sum(n * n) over (partition by doc_id)), 6) as weight
           from ({_counts('select doc_id, text from documents', 'doc_id')})""",
-        "l2_normalized": """
+        "l2_normalize": """
           with cells as (
             select vec_id, unnest(embedding)::double * (vec_id % 4) as value,
               cast(generate_subscripts(embedding, 1) - 1 as integer) as pos
             from embeddings)
           select vec_id, pos, round(case when norm = 0 then 0 else value / norm end, 6) + 0.0::double as value
           from (select *, sqrt(sum(value * value) over (partition by vec_id)) as norm from cells)""",
+        "vector_cosine": _CENTERS
+        + """
+          select vec_id, label, round(list_cosine_similarity(embedding::double[], q), 6) + 0.0 as score
+          from embeddings join centers on label = query_id""",
         "vector_topk": _VECTOR_TOPK,
         "vector_topk_blocks": _VECTOR_TOPK,
         "vector_ann": _VECTOR_TOPK,

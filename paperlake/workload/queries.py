@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from paperlake import schema
 from paperlake.functions.identity import paper_id, pdf_object_path
 from paperlake.functions.text import clean_text, doi_is_valid, embedding_text, truncate
-from paperlake.functions.vectors import l2_normalize
+from paperlake.functions.vectors import cosine, l2_normalize
 from paperlake.operators import cells, embed, merge, quality, refine, search
-from paperlake.operators.dedup import best_per_id
+from paperlake.operators.dedup import best_per_key
 from paperlake.plans import stages, tables
-from paperlake.session import scratch_path, spread_if_narrow
+from paperlake.session import materialize, scratch_path, spread_if_narrow
 from paperlake.sources import records
 from paperlake.streaming.landing import ingest_new_files
 from paperlake.workload import relations as r
@@ -28,7 +28,8 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    _REGISTRY[function.__name__] = function
+    """Register under the function's name; a trailing underscore only avoids a clash."""
+    _REGISTRY[function.__name__.removesuffix("_")] = function
     return function
 
 
@@ -70,8 +71,7 @@ def scan_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(df: DataFrame) -> DataFrame:
-    hashed = refine.add_record_hash(df.drop("doc_id"))
-    return hashed.withColumn("ingestion_timestamp", F.lit(r.STAGING_STAMP).cast("timestamp"))
+    return refine.to_records(df.drop("doc_id"), F.lit(r.STAGING_STAMP).cast("timestamp"))
 
 
 def _raw_table(spark: SparkSession, path: str) -> DataFrame:
@@ -115,14 +115,14 @@ def field_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def paper_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paper_id_(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = r.table(spark, sf_dir, "documents")
     hashed = paper_id(F.col("text"), F.col("lang"), F.col("source"))
     return docs.select("doc_id", hashed.alias("id"))
 
 
 @query
-def clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_text_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.papers(spark, sf_dir).select(
         "doc_id", *[clean_text(F.col(c)).alias(c) for c in schema.CLEANED_FIELDS]
     )
@@ -184,7 +184,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = best_per_id(r.refined(spark, sf_dir), r.SETTINGS.sources, ties=[F.col("doc_id")])
+    best = best_per_key(r.refined(spark, sf_dir), r.SETTINGS.sources, ties=[F.col("doc_id")])
     return best.select("id", "doc_id", "source", "title", "publication_date")
 
 
@@ -247,7 +247,10 @@ def output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks over an upsert whose new papers have no vectors yet."""
     merged = merge.merge(r.master(spark, sf_dir), r.staging(spark, sf_dir))
     points = embed.build_points(r.master(spark, sf_dir), embed.hashing_encoder(r.DIM))
-    return stages.table_checks(r.papers(spark, sf_dir), merged, points)
+    master_ids, point_ids = (
+        materialize(df.select("id"), label) for df, label in ((merged, "master"), (points, "points"))
+    )
+    return stages.table_checks(r.papers(spark, sf_dir), master_ids, point_ids)
 
 
 @query
@@ -301,7 +304,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def l2_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+def l2_normalize_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit vectors of the stored ones scaled by 0 to 3; scale 0 gives zero vectors."""
     scaled = F.transform("vector", lambda x: x.cast("double") * (F.col("id") % 4))
     unit = _vectors(spark, sf_dir).select("id", l2_normalize(scaled).alias("v"))
@@ -315,6 +318,15 @@ def _label_centroids(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy(F.col("label").alias("query_id")).agg(vector_to_array(mean).alias("vector"))
 
 
+@query
+def vector_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity of each vector to the centroid of its own label."""
+    vectors = _vectors(spark, sf_dir)
+    centers = _label_centroids(vectors).toDF("label", "center")
+    score = F.round(cosine(F.col("vector"), F.col("center")), 6) + F.lit(0.0)
+    return vectors.join(centers, "label").select(F.col("id").alias("vec_id"), "label", score.alias("score"))
+
+
 @query
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperlake import schema
 from paperlake.functions.identity import paper_id
-from paperlake.operators.dedup import best_per_id
+from paperlake.operators.dedup import best_per_key
 from paperlake.operators.refine import add_partition_columns, refine
 from paperlake.settings import LakeSettings
 from paperlake.sources.records import to_papers
@@ -30,68 +31,49 @@ STAGING_STAMP = "2024-03-01 00:00:00"
 SETTINGS = LakeSettings(root="", vector_dim=DIM)
 
 
+# Declared schemas of the tables used; reading them needs no footer job.
+TABLE_SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, values: dict[int, Column], other: Column) -> Column:
-    choice = F
-    for n, value in values.items():
-        choice = choice.when(number == n, value)
-    return choice.otherwise(other)
+_PROVIDERS = ", ".join(f"'{s.name}'" for s in SETTINGS.sources)
 
 
 def raw_papers(spark: SparkSession, sf_dir: str, edition: int = 0) -> DataFrame:
     """``doc_id`` and the raw string columns of every document's record."""
-    docs = table(spark, sf_dir, "documents")
-    doc, lang, feed = F.col("doc_id") + edition, F.col("lang"), F.col("source")
-    nothing = F.lit(None).cast("string")
-    names = [s.name for s in SETTINGS.sources]
-    provider = (F.substring(feed, 4, 9).cast("int") + edition) % len(names)
-    published = F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("n_chars") % 60).cast("int"))
-    doi = _pick(
-        doc % 5,
-        {
-            0: F.concat(F.lit("10."), (1000 + F.col("doc_id")).cast("string"), F.lit("/"), feed),
-            1: F.concat(F.lit("doi:10.1000/"), feed),
-            2: F.concat(F.lit("10.12/"), feed),
-            3: F.concat(F.lit("10.5555/"), lang, F.lit(" "), feed),
-        },
-        nothing,
-    )
-    abstract = _pick(
-        doc % 7, {0: F.lit("null"), 1: F.lit("   "), 2: nothing}, F.split_part("text", F.lit("\n"), F.lit(2))
-    )
-    keywords = _pick(
-        doc % 6,
-        {0: F.lit("NULL"), 1: F.lit(" null "), 2: F.lit("Null")},
-        F.concat(F.lit(" "), lang, F.lit("; "), feed, F.lit(" ")),
-    )
-    url = F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string"), F.lit(".pdf"))
-    raw = docs.select(
+    doc = f"(doc_id + {edition})"
+    raw = table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
-        doi.alias("doi"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
-        lang.alias("authors"),
-        abstract.alias("abstract"),
-        F.col("text").alias("full_text"),
-        F.concat(F.lit("J "), feed).alias("journal"),
-        published.cast("string").alias("publication_date"),
-        keywords.alias("keywords"),
-        F.when(doc % 4 != 3, url).alias("pdf_url"),
-        nothing.alias("pdf_s3_path"),
-        _pick(provider, {i: F.lit(n) for i, n in enumerate(names)}, nothing).alias("source"),
-        nothing.alias("ingestion_timestamp"),
+        f"""case {doc} % 5 when 0 then concat('10.', 1000 + doc_id, '/', source)
+            when 1 then concat('doi:10.1000/', source) when 2 then concat('10.12/', source)
+            when 3 then concat('10.5555/', lang, ' ', source) end as doi""",
+        "substring_index(text, char(10), 1) as title",
+        "lang as authors",
+        f"""case {doc} % 7 when 0 then 'null' when 1 then '   ' when 2 then null
+            else regexp_extract(text, '^[^\\n]*\\n([^\\n]*)', 1) end as abstract""",
+        "text as full_text",
+        "concat('J ', source) as journal",
+        "cast(date_add(date'2024-01-01', cast(n_chars % 60 as int)) as string) as publication_date",
+        f"""case {doc} % 6 when 0 then 'NULL' when 1 then ' null ' when 2 then 'Null'
+            else concat(' ', lang, '; ', source, ' ') end as keywords""",
+        f"case when {doc} % 4 <> 3 then concat('https://example.org/', doc_id, '.pdf') end as pdf_url",
+        "cast(null as string) as pdf_s3_path",
+        f"array({_PROVIDERS})[(cast(substr(source, 4) as int) + {edition}) % 5] as source",
+        "cast(null as string) as ingestion_timestamp",
     )
     return raw.withColumn("id", paper_id(F.col("title"), F.col("authors"), F.col("publication_date")))
 
 
 def papers(spark: SparkSession, sf_dir: str, edition: int = 0) -> DataFrame:
     """The records with typed columns, before cleaning; ``doc_id`` stays beside them."""
-    raw = raw_papers(spark, sf_dir, edition)
-    typed = to_papers(raw)
-    kinds = {f.name: f.dataType for f in typed.schema}
-    return raw.select("doc_id", *[F.col(n).try_cast(t).alias(n) for n, t in kinds.items()])
+    return to_papers(raw_papers(spark, sf_dir, edition), keep=["doc_id"])
 
 
 def refined(spark: SparkSession, sf_dir: str, edition: int = 0) -> DataFrame:
@@ -99,7 +81,7 @@ def refined(spark: SparkSession, sf_dir: str, edition: int = 0) -> DataFrame:
 
 
 def _one_per_id(df: DataFrame, stamp: str) -> DataFrame:
-    best = best_per_id(df, SETTINGS.sources, ties=[F.col("doc_id")])
+    best = best_per_key(df, SETTINGS.sources, schema.MERGE_KEYS, ties=[F.col("doc_id")])
     return best.withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp"))
 
 
