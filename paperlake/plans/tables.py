@@ -8,6 +8,8 @@ same upsert atomically.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from paperlake import schema
 from paperlake.operators.merge import in_partitions_of, merge, merge_statement
 from paperlake.sources.records import table_or_none
 
-# A broadcast of touched dates is used up to this many; 40,000 dates span a century.
-MAX_BROADCAST_DATES = 40_000
+# Touched dates become a partition filter up to this many; 4,000 dates are eleven years.
+MAX_LISTED_DATES = 4_000
 
 _DATE = list(schema.PARTITION_COLUMNS)
 
@@ -47,36 +49,51 @@ def replace_dates(df: DataFrame, path: str, rebalance: bool = True) -> None:
 
 
 def append_new_records(
-    spark: SparkSession, records: DataFrame, path: str, dates: DataFrame | None = None
+    spark: SparkSession, records: DataFrame, path: str, prune: bool = False
 ) -> None:
     """Append the records the raw table does not hold yet, so that a rerun adds nothing.
 
     A record is known by id, source and content. Duplicates inside the batch
     collapse before the shuffle, and the content hash spreads an id that occurs
-    often. Only three narrow columns of the stored table are read; with
-    ``dates``, the partitions the batch falls into, only from those partitions.
+    often. Only three narrow columns of the stored table are read. ``prune``
+    reads them only from the date partitions the batch falls into, at the price
+    of one more pass over the batch; it pays off for small batches.
     """
     known_by = ["id", "source", "record_hash"]
     fresh = records.dropDuplicates(known_by)
     stored = table_or_none(spark, path, schema.raw_table_schema())
     if stored is not None:
-        if dates is not None:
-            undated = stored.filter("year is null")
-            stored = in_partitions_of(stored, dates).unionByName(undated)
+        if prune:
+            stored = only_touched(stored, records)
         fresh = fresh.join(stored.select(*known_by), known_by, "left_anti")
     write_by_date(fresh.select(*schema.raw_table_schema().names), path, "append")
 
 
-def touched_dates(papers: DataFrame) -> DataFrame:
-    """The distinct date partitions of the given rows, as a broadcast when few. Starts one job."""
-    dates = papers.select(*_DATE).distinct()
-    rows = dates.limit(MAX_BROADCAST_DATES + 1).collect()
-    if len(rows) > MAX_BROADCAST_DATES:
-        return dates
-    few = papers.sparkSession.createDataFrame(
-        [tuple(r) for r in rows], "year int, month int, day int"
-    )
-    return F.broadcast(few)
+def touched_dates(papers: DataFrame) -> list[dt.date] | None:
+    """The distinct partition dates of the given rows, or None when there are too many to list.
+
+    Starts one job over the partition columns.
+    """
+    dates = papers.select(F.make_date(*_DATE).alias("date")).filter("date is not null").distinct()
+    rows = dates.limit(MAX_LISTED_DATES + 1).collect()
+    return sorted(r["date"] for r in rows) if len(rows) <= MAX_LISTED_DATES else None
+
+
+def only_touched(target: DataFrame, papers: DataFrame) -> DataFrame:
+    """Target rows in the date partitions that occur in ``papers``, and rows without a date.
+
+    Undated rows share one partition; they come along so that replacing it loses none.
+    Listed dates become a partition filter, so other partitions are not read at
+    all. Beyond the limit a semi join on the distinct dates does the same work
+    after the scan.
+    """
+    dates = touched_dates(papers)
+    if dates is None:
+        dated = in_partitions_of(target, papers.select(*_DATE).distinct())
+        return dated.unionByName(target.filter("year is null"))
+    listed = ", ".join(f"date'{d}'" for d in dates)
+    touched = f"year is null or make_date(year, month, day) in ({listed})"
+    return target.filter(touched if dates else "year is null")
 
 
 def upsert_by_date(
@@ -84,16 +101,15 @@ def upsert_by_date(
 ) -> None:
     """Merge deduplicated staged rows into the table at ``path``, creating it if absent.
 
-    The broadcast of the touched dates turns into dynamic partition pruning:
-    untouched partitions are neither read nor rewritten. Pass the rows from before
-    the dedup as ``undeduplicated`` to find the dates without running it.
+    Untouched partitions are neither read nor rewritten. Pass the rows from
+    before the dedup as ``undeduplicated`` to find the dates without running it.
     """
     target = table_or_none(spark, path, schema.master_schema())
     if target is None:
         write_by_date(staging.select(*schema.MASTER_TABLE_COLUMNS), path, "append")
         return
-    dates = touched_dates(staging if undeduplicated is None else undeduplicated)
-    replace_dates(merge(in_partitions_of(target, dates), staging), path)
+    affected = only_touched(target, staging if undeduplicated is None else undeduplicated)
+    replace_dates(merge(affected, staging), path)
 
 
 def merge_into_catalog_table(spark: SparkSession, staging: DataFrame, table: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from paperlake import schema
 from paperlake.operators.refine import refine, to_records
-from paperlake.plans.tables import append_new_records, touched_dates
+from paperlake.plans.tables import append_new_records
 from paperlake.settings import LakeSettings, Source
 from paperlake.sources.records import to_papers
 
@@ -41,9 +41,8 @@ def ingest_new_files(
 
     def append(batch: DataFrame, _batch_id: int) -> None:
         records = to_records(refine(to_papers(batch, source.name), settings), stamp)
-        append_new_records(
-            batch.sparkSession, records, settings.raw_table_path(source.name), touched_dates(records)
-        )
+        path = settings.raw_table_path(source.name)
+        append_new_records(batch.sparkSession, records, path, prune=True)
 
     query = (
         landing_stream(spark, settings, source)

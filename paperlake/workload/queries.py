@@ -214,7 +214,7 @@ def master_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = refine.recent(r.refined(spark, sf_dir), r.AS_OF, r.SETTINGS.lookback_days)
-    kept = merge.in_partitions_of(r.master(spark, sf_dir), tables.touched_dates(recent))
+    kept = tables.only_touched(r.master(spark, sf_dir), recent)
     return kept.select("id", *schema.PARTITION_COLUMNS)
 
 

@@ -1,0 +1,206 @@
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from paperlake import schema
+from paperlake.operators import merge, quality
+from paperlake.operators.dedup import best_per_key
+from paperlake.operators.refine import add_partition_columns, flag_doi, to_records
+from paperlake.plans import tables
+from paperlake.settings import DEFAULT_SOURCES
+from tests.plans import plan_of
+
+OLD, NEW = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 2)
+
+
+def paper(id_, date, stamp=OLD, **values):
+    names = [n for n, _ in schema.PAPER_FIELDS]
+    base = {"id": id_, "title": f"title {id_}", "authors": "a", "publication_date": date,
+            "source": "arxiv", "ingestion_timestamp": stamp}
+    return tuple({**base, **values}.get(n) for n in names)
+
+
+def papers(spark, *rows):
+    return add_partition_columns(flag_doi(spark.createDataFrame(list(rows), schema.paper_schema())))
+
+
+def master_rows(spark, *rows):
+    return papers(spark, *rows).select(*schema.MASTER_TABLE_COLUMNS)
+
+
+D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+
+
+def by_id(df):
+    return {r["id"]: r for r in df.collect()}
+
+
+def test_merge_rules(spark):
+    target = master_rows(
+        spark,
+        paper("same", D1, doi="10.1000/x", abstract="old"),
+        paper("kept", D2),
+        paper("moved", D1),
+    )
+    staged = master_rows(
+        spark,
+        paper("same", D1, NEW, abstract="new", source="acm"),
+        paper("moved", D3, NEW),
+        paper("undated", None, NEW),
+    )
+    merged = merge.merge(target, staged)
+    assert merged.columns == list(schema.MASTER_TABLE_COLUMNS)
+    rows = merged.collect()
+    assert len(rows) == 5
+    same = [r for r in rows if r["id"] == "same"][0]
+    assert (same["doi"], same["abstract"], same["source"]) == ("10.1000/x", "new", "acm")
+    assert same["ingestion_timestamp"] == NEW
+    # The flag always comes from the staged row, even when an older DOI stays.
+    assert same["doi_valid"] is False
+    (stale,) = quality.stale_doi_flags(merged).filter("source = 'acm'").collect()
+    assert stale["stale_flags"] == 1
+    assert [r["ingestion_timestamp"] for r in rows if r["id"] == "kept"] == [OLD]
+    assert {r["day"] for r in rows if r["id"] == "moved"} == {1, 3}
+    assert [r["id"] for r in merge.matched_rows(target, staged).collect()] == ["same"]
+    assert sorted(r["id"] for r in merge.inserted_rows(target, staged).collect()) == ["moved", "undated"]
+
+
+def test_merge_twice_is_merge_once(spark):
+    target = master_rows(spark, paper("a", D1, doi="10.1000/x"), paper("b", D2))
+    staged = master_rows(spark, paper("a", D1, NEW), paper("c", D1, NEW))
+    once = merge.merge(target, staged)
+    assert sorted(once.collect()) == sorted(merge.merge(once, staged).collect())
+
+
+def test_upsert_creates_then_touches_only_staged_dates(spark, folder):
+    path = f"{folder}/master"
+    tables.upsert_by_date(spark, master_rows(spark, paper("a", D1), paper("b", D2)), path)
+    untouched = glob.glob(f"{path}/year=2024/month=1/day=1/*.parquet")
+    stamps = {f: os.stat(f).st_mtime_ns for f in untouched}
+    staged = master_rows(spark, paper("b", D2, NEW, doi="10.1000/b"), paper("c", D3, NEW))
+    tables.upsert_by_date(spark, staged, path)
+    stored = by_id(spark.read.schema(schema.master_schema()).parquet(path))
+    assert set(stored) == {"a", "b", "c"} and stored["b"]["doi"] == "10.1000/b"
+    assert {f: os.stat(f).st_mtime_ns for f in untouched} == stamps
+
+
+def test_upsert_keeps_undated_rows(spark, folder):
+    path = f"{folder}/master"
+    tables.upsert_by_date(spark, master_rows(spark, paper("a", D1), paper("n", None)), path)
+    tables.upsert_by_date(spark, master_rows(spark, paper("m", None, NEW)), path)
+    assert set(by_id(spark.read.schema(schema.master_schema()).parquet(path))) == {"a", "n", "m"}
+
+
+def test_upsert_of_nothing_changes_nothing(spark, folder):
+    path = f"{folder}/master"
+    tables.upsert_by_date(spark, master_rows(spark, paper("a", D1)), path)
+    tables.upsert_by_date(spark, master_rows(spark, paper("a", D1)).filter("false"), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_many_touched_dates_fall_back_to_a_join(spark, monkeypatch):
+    target = master_rows(spark, paper("a", D1), paper("b", D2), paper("c", D3), paper("n", None))
+    staged = master_rows(spark, paper("x", D1), paper("y", D3), paper("z", D3), paper("u", None))
+    assert tables.touched_dates(staged) == [D1, D3]
+    listed = tables.only_touched(target, staged)
+    monkeypatch.setattr(tables, "MAX_LISTED_DATES", 1)
+    assert tables.touched_dates(staged) is None
+    joined = tables.only_touched(target, staged)
+    assert set(by_id(listed)) == set(by_id(joined)) == {"a", "c", "n"}
+    assert set(by_id(tables.only_touched(target, staged.filter("false")))) == {"n"}
+
+
+def test_append_is_idempotent_and_keeps_new_versions(spark, folder):
+    path = f"{folder}/raw"
+
+    def records(*rows):
+        return to_records(papers(spark, *rows).drop(*schema.PARTITION_COLUMNS))
+
+    first = [paper("a", D1), paper("a", D1), paper("n", None)]
+    tables.append_new_records(spark, records(*first), path)
+    batch = records(*first, paper("a", D1, abstract="longer"), paper("a", D1, source="acm"))
+    tables.append_new_records(spark, batch, path)
+    tables.append_new_records(spark, batch, path, prune=True)
+    stored = spark.read.schema(schema.raw_table_schema()).parquet(path)
+    assert sorted((r["id"], r["source"], r["abstract"] or "") for r in stored.collect()) == [
+        ("a", "acm", ""), ("a", "arxiv", ""), ("a", "arxiv", "longer"), ("n", "arxiv", ""),
+    ]
+
+
+def test_best_row_per_id(spark):
+    rows = papers(
+        spark,
+        paper("x", D1, NEW, source="acm"),
+        paper("x", D1, OLD, source="arxiv", title="early"),
+        paper("x", D1, NEW, source="arxiv", title="late b"),
+        paper("x", D1, NEW, source="arxiv", title="late a"),
+        paper("y", D1, source="unregistered"),
+    )
+    best = by_id(best_per_key(rows, DEFAULT_SOURCES))
+    assert best["x"]["title"] == "late a" and best["y"]["source"] == "unregistered"
+
+
+def test_dedup_does_not_depend_on_partitioning(spark):
+    rows = [paper(f"i{n % 3}", D1, abstract=f"{n * 7 % 11:02d}") for n in range(60)]
+    results = {
+        tuple(sorted(str(r) for r in best_per_key(papers(spark, *rows).repartition(n), DEFAULT_SOURCES).collect()))
+        for n in (1, 3, 7)
+    }
+    assert len(results) == 1
+
+
+def test_hot_id_is_reduced_before_the_shuffle(spark):
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"))
+    for name, kind in schema.PAPER_FIELDS[1:]:
+        hot = hot.withColumn(name, F.lit(None).cast(kind))
+    plan = plan_of(best_per_key(add_partition_columns(flag_doi(hot)), DEFAULT_SOURCES))
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_dedup_by_merge_keys_feeds_the_join_without_a_second_shuffle(spark, folder):
+    spark.createDataFrame([paper("a", D1)], schema.paper_schema()).write.parquet(f"{folder}/p")
+    stored = flag_doi(spark.read.schema(schema.paper_schema()).parquet(f"{folder}/p"))
+    staged = best_per_key(add_partition_columns(stored), DEFAULT_SOURCES, schema.MERGE_KEYS)
+    assert plan_of(merge.merge(staged, staged)).count("Exchange") == 2
+
+
+def test_touched_partitions_are_pruned(spark, folder):
+    path = f"{folder}/master"
+    tables.upsert_by_date(spark, master_rows(spark, paper("a", D1), paper("b", D2)), path)
+    stored = spark.read.schema(schema.master_schema()).parquet(path)
+    staged = master_rows(spark, paper("b", D2, NEW))
+    plan = plan_of(tables.only_touched(stored, staged))
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "make_date" in filters[: filters.index("PushedFilters")]
+    assert "Join" not in plan
+
+
+def test_merge_statement_parses(spark):
+    sql = merge.merge_statement("lake.papers", "staging_papers")
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    assert "MergeIntoTable" in parsed and sql.count("coalesce(") == 12
+
+
+def test_quality_report(spark):
+    rows = papers(
+        spark,
+        paper("a", D1, title="long enough title", abstract="text", doi="10.1000/x"),
+        paper("b", D1, title="short", doi="null"),
+        paper("c", D1, title=None, abstract="NULL", doi="10.1/x"),
+    )
+    (r,) = quality.quality_report(rows, 10).collect()
+    assert r.asDict() == {
+        "source": "arxiv", "rows_in": 3, "rows_kept": 1, "short_titles": 2,
+        "null_abstracts": 2, "invalid_dois": 2, "null_spelled_dois": 1,
+    }
+
+
+@pytest.mark.parametrize("name", ["papers_master", "x_raw"])
+def test_missing_table_is_none(spark, folder, name):
+    assert tables.table_or_none(spark, f"{folder}/{name}", schema.master_schema()) is None
