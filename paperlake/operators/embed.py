@@ -21,6 +21,9 @@ from paperlake.settings import ENCODER_BATCH_SIZE
 # --- Fixed values: default sentence model ---
 DEFAULT_MODEL = "sentence-transformers/all-MiniLM-L6-v2"
 
+# Bytes of text an encoder call sees at most, unless a single text is longer.
+MAX_PIECE_BYTES = 16 * 1024 * 1024
+
 # Texts of one batch in, one float32 row per text out.
 Encoder = Callable[[pa.Array], np.ndarray]
 
@@ -84,6 +87,22 @@ def _float_lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
 
 
+def _pieces(texts: pa.Array, max_rows: int) -> Iterator[tuple[int, int]]:
+    """``(start, length)`` of slices of at most ``max_rows`` texts and about ``MAX_PIECE_BYTES``.
+
+    A slice always holds at least one whole text, however long.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start == max_rows or held + size > MAX_PIECE_BYTES):
+            yield start, at - start
+            start, held = at, 0
+        held += size
+    if len(sizes) > start:
+        yield start, len(sizes) - start
+
+
 def embed(
     df: DataFrame,
     text: str,
@@ -92,8 +111,9 @@ def embed(
 ) -> DataFrame:
     """Replace the ``text`` column by a ``vector`` column.
 
-    The encoder is built once per task and sees ``batch_size`` texts at a time;
-    rows stream through, so memory does not grow with the table.
+    The encoder is built once per task and sees at most ``batch_size`` whole texts
+    at a time, fewer when they are long; rows stream through, so memory does not
+    grow with the table.
     """
     kept = [f for f in df.schema if f.name != text]
     names = [f.name for f in kept]
@@ -101,8 +121,8 @@ def embed(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make_encoder()
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                piece = batch.slice(start, batch_size)
+            for start, length in _pieces(batch.column(text), batch_size):
+                piece = batch.slice(start, length)
                 vectors = _float_lists(encoder(piece.column(text)))
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(n) for n in names), vectors], names=[*names, "vector"]
@@ -131,7 +151,15 @@ def build_points(
     return points.select(*schema.points_schema().names)
 
 
-def upsert_points(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The collection after writing ``incoming``: one point per id, the incoming one wins."""
-    untouched = existing.join(incoming.select("id"), "id", "left_anti")
-    return untouched.unionByName(incoming)
+def upsert_points(
+    existing: DataFrame,
+    papers: DataFrame,
+    make_encoder: Callable[[], Encoder],
+    batch_size: int = ENCODER_BATCH_SIZE,
+) -> DataFrame:
+    """The collection after the papers are encoded into it: one point per id, the new one wins.
+
+    Which points to replace is read off the papers' ids, so encoding runs once.
+    """
+    untouched = existing.join(papers.select("id"), "id", "left_anti")
+    return untouched.unionByName(build_points(papers, make_encoder, batch_size))

@@ -18,6 +18,7 @@ from paperlake.operators.embed import Encoder, build_points, hashing_encoder
 from paperlake.operators.refine import recent, refine, to_records
 from paperlake.plans.tables import (
     append_new_records,
+    replace_all,
     replace_dates,
     upsert_by_date,
 )
@@ -168,12 +169,9 @@ def vector_stage(
     encoder = make_encoder or hashing_encoder(settings.vector_dim)
     points = build_points(master, encoder, settings.encoder_batch_size)
     if since is None:
-        points.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            *schema.PARTITION_COLUMNS
-        ).parquet(settings.vectors_path)
+        replace_all(points, settings.vectors_path)
     else:
-        # Points keep the file layout of the master partitions they came from.
-        replace_dates(points, settings.vectors_path, rebalance=False)
+        replace_dates(points, settings.vectors_path)
 
 
 def table_checks(raw: DataFrame, master: DataFrame, points: DataFrame) -> DataFrame:

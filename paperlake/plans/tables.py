@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import schema
@@ -23,29 +23,27 @@ MAX_LISTED_DATES = 4_000
 _DATE = list(schema.PARTITION_COLUMNS)
 
 
-def write_by_date(df: DataFrame, path: str, mode: str) -> None:
-    """Write ``df`` partitioned by year, month and day.
+def _by_date(df: DataFrame) -> DataFrameWriter:
+    """A writer partitioned by year, month and day.
 
     The rebalance gathers each date into files of the advisory size and splits a
     date that holds a large share of the rows over several tasks.
     """
-    (
-        df.hint("rebalance", *_DATE)
-        .write.mode(mode)
-        .partitionBy(*_DATE)
-        .parquet(path)
-    )
+    return df.hint("rebalance", *_DATE).write.partitionBy(*_DATE)
 
 
-def replace_dates(df: DataFrame, path: str, rebalance: bool = True) -> None:
+def append_by_date(df: DataFrame, path: str) -> None:
+    _by_date(df).mode("append").parquet(path)
+
+
+def replace_dates(df: DataFrame, path: str) -> None:
     """Replace exactly the date partitions that occur in ``df``; leave the others alone."""
-    rows = df.hint("rebalance", *_DATE) if rebalance else df
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_DATE)
-        .parquet(path)
-    )
+    _by_date(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def replace_all(df: DataFrame, path: str) -> None:
+    """Replace the whole table."""
+    _by_date(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append_new_records(
@@ -66,7 +64,7 @@ def append_new_records(
         if prune:
             stored = only_touched(stored, records)
         fresh = fresh.join(stored.select(*known_by), known_by, "left_anti")
-    write_by_date(fresh.select(*schema.raw_table_schema().names), path, "append")
+    append_by_date(fresh.select(*schema.raw_table_schema().names), path)
 
 
 def touched_dates(papers: DataFrame) -> list[dt.date] | None:
@@ -106,7 +104,7 @@ def upsert_by_date(
     """
     target = table_or_none(spark, path, schema.master_schema())
     if target is None:
-        write_by_date(staging.select(*schema.MASTER_TABLE_COLUMNS), path, "append")
+        append_by_date(staging.select(*schema.MASTER_TABLE_COLUMNS), path)
         return
     affected = only_touched(target, staging if undeduplicated is None else undeduplicated)
     replace_dates(merge(affected, staging), path)

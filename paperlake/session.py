@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paperlake.settings import SESSION_OPTIONS
 
+_LOCAL_SCRATCH = "paperlake.local.scratch"
+
 
 def build_session(app_name: str = "paperlake", **options: str) -> SparkSession:
     """A session in UTC with adaptive execution and dynamic partition overwrite.
@@ -30,16 +32,16 @@ def build_session(app_name: str = "paperlake", **options: str) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    Only a local session without ``spark.checkpoint.dir`` falls back to a
-    temporary folder; on a cluster executors could not see it.
+    Only a local session without ``spark.checkpoint.dir`` gets a temporary
+    folder, one per session; on a cluster executors could not see it.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_SCRATCH, None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="paperlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(_LOCAL_SCRATCH, folder)
     return folder
 
 
@@ -62,14 +64,19 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Give a CPU-heavy stage one task per core when its input is only a few file splits.
+    """Give a CPU-heavy stage one task per core when its input fills few of the cores.
 
-    Large inputs already have more splits than cores and are left where they are,
-    so they pay no shuffle. Hashing a key keeps retried tasks deterministic.
+    Inputs of a quarter as many file splits as cores or more are left where they
+    are and pay no shuffle. Hashing a key keeps retried tasks deterministic.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    # Spark's own default split size; reading few splits leaves cores idle.
-    if estimated_bytes(df) < cores * 128 * 1024 * 1024:
-        return df.repartition(cores, key)
-    return df
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores, key) if 4 * estimated_bytes(df) < cores * split else df
+
+
+def _bytes(setting: str) -> int:
+    """A size setting such as ``134217728b`` or ``128m`` in bytes."""
+    number = setting.lower().rstrip("bkmgti")
+    unit = setting.lower()[len(number) :].rstrip("ib")
+    return int(number) * 1024 ** ("kmgt".index(unit) + 1 if unit else 0)

@@ -181,10 +181,17 @@ def oracle_sql() -> dict[str, str]:
         "lookback_filter": _WITH
         + "select doc_id, id, publication_date from refined where publication_date >= date '2024-03-01' - 7",
         "pdf_path": _WITH + f"select doc_id, {_PDF_PATH} as pdf_s3_path from papers",
-        "union_sources": _WITH
-        + f"""select doc_id, {_MASTER} from (select * replace (
-            case when source <> 'acm' then keywords end as keywords,
-            case when source <> 'acm' then pdf_url end as pdf_url) from refined)""",
+        "union_sources": """
+          with united as (
+            select doc_id::varchar as id, text as full_text, lang as authors, source as journal,
+              null as pdf_url, 'arxiv' as source from documents
+            union all select page_id::varchar, html, null, null, url, 'pubmed' from pages
+            union all select item_id::varchar, text, null, null, null, 'ieee' from benchmark
+            union all select conv_id::varchar, text, role, null, null, 'acm' from conversations)
+          select id, null::varchar as doi, null::varchar as title, authors, null::varchar as abstract, full_text,
+            journal, null::varchar as publication_date, null::varchar as keywords, pdf_url::varchar as pdf_url,
+            null::varchar as pdf_s3_path, source, null::varchar as ingestion_timestamp
+          from united""",
         "dedup_papers": _WITH
         + f"""select id, doc_id, source, title, publication_date from refined
           qualify row_number() over (

@@ -174,12 +174,26 @@ def pdf_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Union, dedup, upsert ----------------------------------------------------
 
 
+# Which table stands for which source, and its columns' canonical names.
+SOURCE_TABLES = {
+    "arxiv": ("documents", {"doc_id": "id", "text": "full_text", "lang": "authors", "source": "journal"}),
+    "pubmed": ("pages", {"page_id": "id", "url": "pdf_url", "html": "full_text"}),
+    "ieee": ("benchmark", {"item_id": "id", "text": "full_text"}),
+    "acm": ("conversations", {"conv_id": "id", "role": "authors", "text": "full_text"}),
+}
+
+
 @query
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    papers = r.refined(spark, sf_dir)
-    frames = {s.name: papers.filter(F.col("source") == s.name) for s in r.SETTINGS.sources}
-    frames["acm"] = frames["acm"].drop("keywords", "pdf_url")
-    return records.union_papers(frames.values()).select("doc_id", *schema.MASTER_COLUMNS)
+    """Sources with different columns, united by name and brought to the raw columns."""
+    frames = [
+        r.table(spark, sf_dir, name).select(
+            *[F.col(given).cast("string").alias(wanted) for given, wanted in mapping.items()],
+            F.lit(source).alias("source"),
+        )
+        for source, (name, mapping) in SOURCE_TABLES.items()
+    ]
+    return records.conform(records.union_papers(frames))
 
 
 @query
@@ -373,9 +387,8 @@ def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of the master relation after the staged ones are written over them."""
-    existing, incoming = (
-        embed.build_points(df(spark, sf_dir), embed.hashing_encoder(r.DIM)) for df in (r.master, r.staging)
-    )
-    points = embed.upsert_points(existing, incoming)
+    encoder = embed.hashing_encoder(r.DIM)
+    existing = embed.build_points(r.master(spark, sf_dir), encoder)
+    points = embed.upsert_points(existing, r.staging(spark, sf_dir), encoder)
     values = points.select("id", "payload.doi", "payload.source", F.posexplode("vector").alias("bucket", "n"))
     return values.filter("n > 0").withColumn("n", F.col("n").cast("bigint"))

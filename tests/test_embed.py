@@ -51,11 +51,14 @@ class Lengths:
         return np.array([[len(t)] for t in texts.to_pylist()], dtype=np.float32)
 
 
-def points_of(spark, rows):
+def papers_of(spark, rows):
     names = [n for n, _ in schema.PAPER_FIELDS]
     full = [tuple({**dict.fromkeys(names), **r}[n] for n in names) for r in rows]
-    papers = add_partition_columns(flag_doi(spark.createDataFrame(full, schema.paper_schema())))
-    return embed.build_points(papers, Lengths)
+    return add_partition_columns(flag_doi(spark.createDataFrame(full, schema.paper_schema())))
+
+
+def points_of(spark, rows):
+    return embed.build_points(papers_of(spark, rows), Lengths)
 
 
 def test_points_carry_payload_and_skip_null_text(spark):
@@ -68,11 +71,20 @@ def test_points_carry_payload_and_skip_null_text(spark):
 
 def test_upsert_points_last_write_wins(spark):
     old = points_of(spark, [{"id": "a", "title": "1"}, {"id": "b", "title": "1"}])
-    new = points_of(spark, [{"id": "b", "title": "22"}, {"id": "c", "title": "22"}])
-    got = embed.upsert_points(old, new).select("id", F.col("vector")[0].alias("v")).collect()
+    new = papers_of(spark, [{"id": "b", "title": "22"}, {"id": "c", "title": "22"}])
+    points = embed.upsert_points(old, new, Lengths)
+    got = points.select("id", F.col("vector")[0].alias("v")).collect()
     assert sorted(tuple(r) for r in got) == [("a", 1.0), ("b", 2.0), ("c", 2.0)]
 
 
+def test_long_texts_go_in_smaller_pieces(monkeypatch):
+    monkeypatch.setattr(embed, "MAX_PIECE_BYTES", 10)
+    texts = pa.array(["aaaa", "bbbb", "cccc", "d" * 50, "e", None, "f"])
+    assert list(embed._pieces(texts, 128)) == [(0, 2), (2, 1), (3, 1), (4, 3)]
+    assert list(embed._pieces(texts, 1)) == [(i, 1) for i in range(7)]
+    assert list(embed._pieces(pa.array([], pa.string()), 5)) == []
+
+
 def test_points_schema_is_the_declared_one(spark):
     got = points_of(spark, [{"id": "a"}]).schema
     assert [(f.name, f.dataType.simpleString()) for f in got] == [
