@@ -24,7 +24,8 @@ DEFAULT_MODEL = "sentence-transformers/all-MiniLM-L6-v2"
 # Bytes of text an encoder call sees at most, unless a single text is longer.
 MAX_PIECE_BYTES = 16 * 1024 * 1024
 
-# Texts of one batch in, one float32 row per text out.
+# Texts of one batch in, one float32 row per text out. An encoder may name the
+# ``batch_size`` it wants.
 Encoder = Callable[[pa.Array], np.ndarray]
 
 
@@ -32,30 +33,22 @@ class HashingEncoder:
     """Term counts over hashed buckets; deterministic and without a model file.
 
     A token goes to the bucket of the first 32 bits of its MD5. Each distinct
-    token of a batch is hashed at most once; counting is one bincount over the batch.
+    token of a batch is hashed once and counting is one bincount over the batch,
+    so this encoder likes large batches.
     """
 
-    # Hashes remembered between batches of a task.
-    _MEMORY = 1 << 18
+    batch_size = 8192
 
     def __init__(self, dim: int):
         self.dim = dim
-        self._buckets: dict[str, int] = {}
-
-    def _bucket(self, token: str) -> int:
-        bucket = self._buckets.get(token)
-        if bucket is None:
-            if len(self._buckets) >= self._MEMORY:
-                self._buckets.clear()
-            bucket = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dim
-            self._buckets[token] = bucket
-        return bucket
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         tokens = pc.split_pattern(pc.utf8_lower(texts), " ")
         rows = pc.list_parent_indices(tokens).to_numpy()
         words = pc.list_flatten(tokens).dictionary_encode()
-        bucket_of = np.fromiter(map(self._bucket, words.dictionary.to_pylist()), dtype=np.int64)
+        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        digests = b"".join([hashlib.md5(w, usedforsecurity=False).digest() for w in distinct])
+        bucket_of = np.frombuffer(digests, dtype=">u4")[::4].astype(np.int64) % self.dim
         cells = rows * self.dim + bucket_of[words.indices.to_numpy()]
         counts = np.bincount(cells, minlength=len(texts) * self.dim)
         return counts.reshape(len(texts), self.dim).astype(np.float32)
@@ -64,10 +57,11 @@ class HashingEncoder:
 class SentenceEncoder:
     """A sentence-transformers model, loaded where the task runs."""
 
-    def __init__(self, model: str = DEFAULT_MODEL):
+    def __init__(self, model: str = DEFAULT_MODEL, batch_size: int = ENCODER_BATCH_SIZE):
         from sentence_transformers import SentenceTransformer  # optional dependency
 
         self._model = SentenceTransformer(model)
+        self.batch_size = batch_size
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         return np.asarray(self._model.encode(texts.to_pylist()), dtype=np.float32)
@@ -77,8 +71,10 @@ def hashing_encoder(dim: int) -> Callable[[], Encoder]:
     return partial(HashingEncoder, dim)
 
 
-def sentence_encoder(model: str = DEFAULT_MODEL) -> Callable[[], Encoder]:
-    return partial(SentenceEncoder, model)
+def sentence_encoder(
+    model: str = DEFAULT_MODEL, batch_size: int = ENCODER_BATCH_SIZE
+) -> Callable[[], Encoder]:
+    return partial(SentenceEncoder, model, batch_size)
 
 
 def _float_lists(matrix: np.ndarray) -> pa.Array:
@@ -103,23 +99,19 @@ def _pieces(texts: pa.Array, max_rows: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes) - start
 
 
-def embed(
-    df: DataFrame,
-    text: str,
-    make_encoder: Callable[[], Encoder],
-    batch_size: int = ENCODER_BATCH_SIZE,
-) -> DataFrame:
+def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder]) -> DataFrame:
     """Replace the ``text`` column by a ``vector`` column.
 
-    The encoder is built once per task and sees at most ``batch_size`` whole texts
-    at a time, fewer when they are long; rows stream through, so memory does not
-    grow with the table.
+    The encoder is built once per task and sees at most its ``batch_size`` whole
+    texts at a time, fewer when they are long; rows stream through, so memory
+    does not grow with the table.
     """
     kept = [f for f in df.schema if f.name != text]
     names = [f.name for f in kept]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make_encoder()
+        batch_size = getattr(encoder, "batch_size", ENCODER_BATCH_SIZE)
         for batch in batches:
             for start, length in _pieces(batch.column(text), batch_size):
                 piece = batch.slice(start, length)
@@ -142,24 +134,19 @@ def embedding_input(papers: DataFrame) -> DataFrame:
     )
 
 
-def build_points(
-    papers: DataFrame, make_encoder: Callable[[], Encoder], batch_size: int = ENCODER_BATCH_SIZE
-) -> DataFrame:
+def build_points(papers: DataFrame, make_encoder: Callable[[], Encoder]) -> DataFrame:
     """Vector points of all given papers: ``id, vector, payload`` and the partition columns."""
     rows = spread_if_narrow(embedding_input(papers), "id")
-    points = embed(rows, "text", make_encoder, batch_size)
+    points = embed(rows, "text", make_encoder)
     return points.select(*schema.points_schema().names)
 
 
 def upsert_points(
-    existing: DataFrame,
-    papers: DataFrame,
-    make_encoder: Callable[[], Encoder],
-    batch_size: int = ENCODER_BATCH_SIZE,
+    existing: DataFrame, papers: DataFrame, make_encoder: Callable[[], Encoder]
 ) -> DataFrame:
     """The collection after the papers are encoded into it: one point per id, the new one wins.
 
     Which points to replace is read off the papers' ids, so encoding runs once.
     """
     untouched = existing.join(papers.select("id"), "id", "left_anti")
-    return untouched.unionByName(build_points(papers, make_encoder, batch_size))
+    return untouched.unionByName(build_points(papers, make_encoder))

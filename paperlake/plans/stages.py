@@ -167,7 +167,7 @@ def vector_stage(
     if since is not None:
         master = master.filter(partition_within_lookback(since, 0))
     encoder = make_encoder or hashing_encoder(settings.vector_dim)
-    points = build_points(master, encoder, settings.encoder_batch_size)
+    points = build_points(master, encoder)
     if since is None:
         replace_all(points, settings.vectors_path)
     else:

@@ -82,7 +82,6 @@ class LakeSettings:
     max_abstract_length: int = MAX_ABSTRACT_LENGTH
     max_full_text_length: int = MAX_FULL_TEXT_LENGTH
     lookback_days: int = LOOKBACK_DAYS
-    encoder_batch_size: int = ENCODER_BATCH_SIZE
     vector_dim: int = 384
     field_mappings: dict[str, dict[str, str]] = field(default_factory=lambda: dict(FIELD_MAPPINGS))
 
@@ -94,7 +93,6 @@ class LakeSettings:
             "max_abstract_length": _env_int("MAX_ABSTRACT_LENGTH", MAX_ABSTRACT_LENGTH),
             "max_full_text_length": _env_int("MAX_FULL_TEXT_LENGTH", MAX_FULL_TEXT_LENGTH),
             "lookback_days": _env_int("PARTITION_LOOKBACK_DAYS", LOOKBACK_DAYS),
-            "encoder_batch_size": _env_int("BATCH_SIZE", ENCODER_BATCH_SIZE),
         }
         return cls(root, **{**values, **overrides})
 

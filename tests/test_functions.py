@@ -64,7 +64,7 @@ def test_embedding_text_skips_nulls(spark):
     assert evaluate(df, text.embedding_text(F.col("a"), F.col("b"), F.col("c"))) == ["t f"]
 
 
-def reference_id(title, authors, date):
+def python_id(title, authors, date):
     content = f"{(title or '').lower().strip()}||{(authors or '').lower().strip()}||{date or ''}"
     return hashlib.sha256(content.encode()).hexdigest()
 
@@ -78,7 +78,7 @@ def reference_id(title, authors, date):
 def test_paper_id_equals_python(spark, rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, a string, d string")
     got = evaluate(df, identity.paper_id(F.col("t"), F.col("a"), F.col("d")))
-    assert got == [reference_id(*r) for r in rows]
+    assert got == [python_id(*r) for r in rows]
 
 
 def test_record_hash_sees_a_value_move(spark):
