@@ -63,22 +63,31 @@ def best_positions(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class RunningTopK:
     """The k best (id, score) pairs seen so far for each query of a task."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, floors: np.ndarray):
         self._k = k
+        # Score below which a row cannot enter a query's best k.
+        self._floors = floors
         self._best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, scores: np.ndarray, queries: np.ndarray) -> None:
+        """Take in a block of scores: one row per id, one column per listed query.
+
+        One comparison over the block finds the few rows that can still matter,
+        so the per-query work fades as the floors rise.
+        """
+        column, row = np.nonzero((scores >= self._floors[queries]).T)
+        edges = np.flatnonzero(np.diff(column)) + 1
+        for rows, at in zip(np.split(row, edges), column[np.r_[0, edges]] if len(column) else ()):
+            self._keep(int(queries[at]), ids[rows], scores[rows, at])
+
+    def _keep(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
         if query in self._best:
             old_ids, old_scores = self._best[query]
-            # Once k entries are held, only rows at or above the weakest matter.
-            if len(old_scores) == self._k:
-                useful = scores >= old_scores[-1]
-                ids, scores = ids[useful], scores[useful]
-            ids = np.concatenate([old_ids, ids])
-            scores = np.concatenate([old_scores, scores])
-        if len(scores):
-            order = best_positions(scores, ids, self._k)
-            self._best[query] = (ids[order], scores[order])
+            ids, scores = np.concatenate([old_ids, ids]), np.concatenate([old_scores, scores])
+        order = best_positions(scores, ids, self._k)
+        self._best[query] = (ids[order], scores[order])
+        if len(order) == self._k:
+            self._floors[query] = scores[order[-1]]
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self._best:
@@ -134,18 +143,19 @@ def partial_top_k(
     out = _candidate_schema(vectors, query_id)
     step = max(1, _SCORE_CELLS // max(1, len(keys)))
 
-    def groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Sequence[int]]]:
+    def groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if queries_of_cell is None:
-            yield np.arange(batch.num_rows), range(len(keys))
+            yield np.arange(batch.num_rows), np.arange(len(keys))
             return
         cells = batch.column("cell").to_numpy()
         for cell in np.unique(cells):
             wanted = queries_of_cell.get(int(cell), ())
             if len(wanted):
-                yield np.flatnonzero(cells == cell), wanted
+                yield np.flatnonzero(cells == cell), np.array(wanted)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = RunningTopK(k)
+        lowest = np.full(len(keys), -np.inf) if floors is None else np.array(floors, dtype=float)
+        best = RunningTopK(k, lowest)
         for batch in batches:
             if not batch.num_rows or not keys:
                 continue
@@ -154,10 +164,7 @@ def partial_top_k(
             for members, wanted in groups(batch):
                 for start in range(0, len(members), step):
                     part = members[start : start + step]
-                    scores = scores_of(units[part], matrix[list(wanted)])
-                    for column, query in enumerate(wanted):
-                        good = slice(None) if floors is None else scores[:, column] >= floors[query]
-                        best.add(query, ids[part][good], scores[good, column])
+                    best.add(ids[part], scores_of(units[part], matrix[wanted]), wanted)
         at, ids, scores = best.rows()
         yield pa.RecordBatch.from_pydict(
             {"query_id": [keys[q] for q in at], "id": ids.tolist(), "score": scores},
@@ -191,7 +198,8 @@ def block_top_k(
         return df.filter("vector is not null").select(
             key,
             "vector",
-            F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int").alias(own),
+            # The vector joins the hash, so a repeated key does not fill one block.
+            F.pmod(F.xxhash64(key, "vector"), F.lit(own_n)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).alias(other),
         )
 
@@ -199,15 +207,14 @@ def block_top_k(
     q = blocked(queries, "query_id", "query_block", query_blocks, "vector_block", vector_blocks)
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        best = RunningTopK(k)
+        best = RunningTopK(k, np.full(len(right), -np.inf))
         if len(left) and len(right):
             ids = np.array(left["id"].tolist())
             units = unit_rows(np.stack(left["vector"].to_numpy()))
             for start in range(0, len(right), 200):
                 part = right["vector"].iloc[start : start + 200]
                 scores = scores_of(units, unit_rows(np.stack(part.to_numpy())))
-                for column in range(len(part)):
-                    best.add(start + column, ids, scores[:, column])
+                best.add(ids, scores, np.arange(start, start + len(part)))
         at, ids, scores = best.rows()
         return pd.DataFrame(
             {"query_id": right["query_id"].to_numpy()[at], "id": ids, "score": scores}

@@ -51,13 +51,11 @@ def land_records(
     bucket: str,
     run_date: dt.date,
 ) -> None:
-    """Write each source's records to its landing folder in the source's format."""
+    """Write each source's records, under canonical names, to its landing folder."""
 
     def one(name: str) -> None:
-        df, mapping = records[name], settings.field_mappings.get(name)
-        if mapping and not set(mapping.values()) <= set(df.columns):
-            df = map_fields(df, mapping, name)
-        prepared = prepare_records(df, bucket, run_date)
+        mapped = map_fields(records[name], settings.field_mappings.get(name, {}), name)
+        prepared = prepare_records(mapped, bucket, run_date)
         write_records(prepared, settings.landing_path(name), run_date, settings.source(name).format)
 
     with ThreadPoolExecutor(max(1, len(records))) as pool:
@@ -95,7 +93,7 @@ def refine_sources(
             return _written(spark, settings, source)
         except Exception as error:  # any failure of one source must not stop the rest
             log.exception("source %s failed", source.name)
-            return SourceStatus(source.name, "failed", str(error).splitlines()[0])
+            return SourceStatus(source.name, "failed", f"{type(error).__name__}: {error}"[:500])
 
     # The sources' jobs are independent; submitted together they fill the cluster.
     with ThreadPoolExecutor(len(settings.sources)) as pool:

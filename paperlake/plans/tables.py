@@ -51,20 +51,31 @@ def append_new_records(
 ) -> None:
     """Append the records the raw table does not hold yet, so that a rerun adds nothing.
 
-    A record is known by id, source and content. Duplicates inside the batch
-    collapse before the shuffle, and the content hash spreads an id that occurs
-    often. Only three narrow columns of the stored table are read. ``prune``
-    reads them only from the date partitions the batch falls into, at the price
-    of one more pass over the batch; it pays off for small batches.
+    A record is known by id, source and content; the content hash spreads an id
+    that occurs often. New and stored records meet in one aggregate, so copies
+    collapse in the map tasks and everything is shuffled once. An anti join would
+    be moved below the dedup by the optimizer and shuffle every copy. Only three
+    narrow columns of the stored table are read. ``prune`` reads them only from the
+    date partitions the batch falls into, at the price of one more pass over the
+    batch; it pays off for small batches.
     """
     known_by = ["id", "source", "record_hash"]
-    fresh = records.dropDuplicates(known_by)
+    names = schema.raw_table_schema().names
     stored = table_or_none(spark, path, schema.raw_table_schema())
-    if stored is not None:
-        if prune:
-            stored = only_touched(stored, records)
-        fresh = fresh.join(stored.select(*known_by), known_by, "left_anti")
-    append_by_date(fresh.select(*schema.raw_table_schema().names), path)
+    if stored is None:
+        append_by_date(records.select(*names).dropDuplicates(known_by), path)
+        return
+    if prune:
+        stored = only_touched(stored, records)
+    known = stored.select(*known_by, F.lit(True).alias("_stored"))
+    met = records.withColumn("_stored", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    record = F.struct(*[c for c in names if c not in known_by])
+    grouped = met.groupBy(*known_by).agg(
+        F.max("_stored").alias("_stored"),
+        F.first(F.when(~F.col("_stored"), record), ignorenulls=True).alias("_record"),
+    )
+    fresh = grouped.filter("not _stored").select(*known_by, "_record.*")
+    append_by_date(fresh.select(*names), path)
 
 
 def touched_dates(papers: DataFrame) -> list[dt.date] | None:

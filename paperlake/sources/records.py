@@ -66,9 +66,12 @@ def map_fields(df: DataFrame, mapping: Mapping[str, str], source: str) -> DataFr
     """Rename provider columns to the canonical ones and tag the source.
 
     ``mapping`` goes from provider column to canonical column. Canonical columns
-    nobody maps become null; a source value in the data is replaced.
+    that are neither mapped nor present become null; a source value in the data is
+    replaced.
     """
-    renamed = df.select(*[F.col(given).alias(wanted) for given, wanted in mapping.items()])
+    given = {wanted: name for name, wanted in mapping.items() if name in df.columns}
+    own = [c for c in df.columns if c not in mapping and c not in given]
+    renamed = df.select(*own, *[F.col(name).alias(wanted) for wanted, name in given.items()])
     return conform(renamed).withColumn("source", F.lit(source))
 
 

@@ -62,12 +62,14 @@ def test_malformed_json_reads_as_nulls(spark, folder):
     assert sorted(str(r["title"]) for r in rows) == ["None", "ok"]
 
 
-def test_mapping_renames_and_fills(spark):
-    df = spark.createDataFrame([("t", "x", "wrong")], "name string, extra string, source string")
-    mapped = records.map_fields(df, {"name": "title"}, "acm")
+def test_mapping_renames_keeps_and_fills(spark):
+    df = spark.createDataFrame(
+        [("t", "x", "u", "wrong", "old")], "name string, extra string, pdf_url string, source string, title string"
+    )
+    mapped = records.map_fields(df, {"name": "title", "absent": "doi"}, "acm")
     assert mapped.columns == schema.raw_schema().names
     (row,) = mapped.collect()
-    assert (row["title"], row["source"], row["authors"]) == ("t", "acm", None)
+    assert (row["title"], row["source"], row["pdf_url"], row["authors"], row["doi"]) == ("t", "acm", "u", None, None)
 
 
 def test_union_keeps_every_row_and_fills_columns(spark):

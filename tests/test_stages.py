@@ -53,6 +53,15 @@ def test_each_source_lands_in_its_format(spark, lake):
     assert read_records(spark, lake.landing_path("pubmed"), "json").count() == 1
 
 
+def test_landing_maps_provider_columns(spark, lake):
+    lake = replace(lake, field_mappings={"ieee": {"name": "title"}})
+    df = sample_records(spark, "arxiv").withColumnRenamed("title", "name").drop("full_text")
+    stages.land_records(spark, lake, {"ieee": df}, "bucket", DAY)
+    rows = read_records(spark, lake.landing_path("ieee"), "parquet").collect()
+    assert {r["title"] for r in rows} == {x["title"] for x in SAMPLE_RECORDS["arxiv"]}
+    assert all(r["source"] == "ieee" and r["pdf_s3_path"].startswith("s3://bucket/raw_pdfs/ieee/") for r in rows)
+
+
 @pytest.mark.parametrize("incremental", [False, True])
 def test_sources_fail_alone(spark, lake, incremental):
     land(spark, lake, "arxiv", "pubmed")

@@ -132,6 +132,21 @@ def test_append_is_idempotent_and_keeps_new_versions(spark, folder):
     ]
 
 
+def test_append_shuffles_once_after_collapsing_copies(spark, folder, monkeypatch):
+    path = f"{folder}/raw"
+    spark.createDataFrame([paper("a", D1)], schema.paper_schema()).write.parquet(f"{folder}/p")
+    given = add_partition_columns(flag_doi(spark.read.schema(schema.paper_schema()).parquet(f"{folder}/p")))
+    records = to_records(given.drop(*schema.PARTITION_COLUMNS))
+    tables.append_new_records(spark, records, path)
+    plans = []
+    monkeypatch.setattr(tables, "append_by_date", lambda df, _: plans.append(plan_of(df)))
+    tables.append_new_records(spark, records, path)
+    (plan,) = plans
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert plan.count("Aggregate") == 2
+    assert "ReadSchema: struct<id:string,source:string,record_hash:bigint>" in plan
+
+
 def test_best_row_per_id(spark):
     rows = papers(
         spark,
