@@ -260,4 +260,8 @@ def oracle_sql() -> dict[str, str]:
         "vector_upsert": _WITH
         + f"""{_points('staging')} union all
           select * from ({_points('master')}) where id not in (select id from staging)""",
+        "vector_table": _WITH
+        + f""", again as (select * from staging where publication_date >= date '2024-03-01' - 30),
+            untouched as (select * from master where publication_date not in (select publication_date from again))
+          {_points('again')} union all {_points('untouched')}""",
     }

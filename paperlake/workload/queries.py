@@ -301,15 +301,15 @@ def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hash_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells_ = _document_vectors(spark, sf_dir).select("doc_id", F.posexplode("vector").alias("bucket", "n"))
-    return cells_.filter("n > 0").select("doc_id", "bucket", F.col("n").cast("bigint").alias("n"))
+    counts = _document_vectors(spark, sf_dir).select("doc_id", F.posexplode("vector").alias("bucket", "n"))
+    return counts.filter("n > 0").select("doc_id", "bucket", F.col("n").cast("bigint").alias("n"))
 
 
 @query
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = _document_vectors(spark, sf_dir).select("doc_id", l2_normalize(F.col("vector")).alias("v"))
-    cells_ = unit.select("doc_id", F.posexplode("v").alias("bucket", "weight"))
-    return cells_.filter("weight > 0").withColumn("weight", F.round("weight", 6))
+    weights = unit.select("doc_id", F.posexplode("v").alias("bucket", "weight"))
+    return weights.filter("weight > 0").withColumn("weight", F.round("weight", 6))
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,11 +384,24 @@ def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(points, _benchmark_queries(spark, sf_dir), r.K)
 
 
+def _point_cells(points: DataFrame) -> DataFrame:
+    values = points.select("id", "payload.doi", "payload.source", F.posexplode("vector").alias("bucket", "n"))
+    return values.filter("n > 0").withColumn("n", F.col("n").cast("bigint"))
+
+
 @query
 def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of the master relation after the staged ones are written over them."""
     encoder = embed.hashing_encoder(r.DIM)
     existing = embed.build_points(r.master(spark, sf_dir), encoder)
-    points = embed.upsert_points(existing, r.staging(spark, sf_dir), encoder)
-    values = points.select("id", "payload.doi", "payload.source", F.posexplode("vector").alias("bucket", "n"))
-    return values.filter("n > 0").withColumn("n", F.col("n").cast("bigint"))
+    return _point_cells(embed.upsert_points(existing, r.staging(spark, sf_dir), encoder))
+
+
+@query
+def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored vector table whose recent date partitions were encoded again."""
+    path, encoder = scratch_path(spark, "vectors"), embed.hashing_encoder(r.DIM)
+    tables.replace_all(embed.build_points(r.master(spark, sf_dir), encoder), path)
+    again = refine.recent(r.staging(spark, sf_dir), r.AS_OF, 30)
+    tables.replace_dates(embed.build_points(again, encoder), path)
+    return _point_cells(spark.read.schema(schema.points_schema()).parquet(path))

@@ -9,7 +9,9 @@ from paperlake import session
 from tests.plans import plan_of
 
 
-@pytest.mark.parametrize("text,size", [("128m", 2**27), ("134217728b", 2**27), ("1g", 2**30), ("512", 512), ("4MB", 2**22)])
+@pytest.mark.parametrize(
+    "text,size", [("128m", 2**27), ("134217728b", 2**27), ("1g", 2**30), ("512", 512), ("4MB", 2**22)]
+)
 def test_size_settings(text, size):
     assert session._bytes(text) == size
 

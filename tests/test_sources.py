@@ -35,7 +35,8 @@ def test_unsupported_format_is_an_error(spark, folder):
 
 def test_null_columns_keep_their_type(spark, folder):
     records.write_records(sample_records(spark, "arxiv"), folder, DAY)
-    assert spark.read.option("recursiveFileLookup", True).parquet(folder).schema["doi"].dataType.typeName() == "string"
+    inferred = spark.read.option("recursiveFileLookup", True).parquet(folder).schema
+    assert inferred["doi"].dataType.typeName() == "string"
 
 
 def test_missing_columns_read_as_null(spark, folder):

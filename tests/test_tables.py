@@ -170,7 +170,8 @@ def test_dedup_does_not_depend_on_partitioning(spark):
 
 
 def test_hot_id_is_reduced_before_the_shuffle(spark):
-    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"))
+    own = F.col("id").cast("string")
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(own).alias("id"))
     for name, kind in schema.PAPER_FIELDS[1:]:
         hot = hot.withColumn(name, F.lit(None).cast(kind))
     plan = plan_of(best_per_key(add_partition_columns(flag_doi(hot)), DEFAULT_SOURCES))
