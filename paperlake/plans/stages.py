@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paperlake import schema
 from paperlake.functions.dates import partition_within_lookback
@@ -161,7 +162,10 @@ def vector_stage(
     partitions from that date on are encoded and replaced, which is what an
     upsert of recent papers needs.
     """
-    master = spark.read.schema(schema.master_schema()).parquet(settings.master_path)
+    master = table_or_none(spark, settings.master_path, schema.master_schema())
+    if master is None:
+        log.warning("no master table to encode")
+        return
     if since is not None:
         master = master.filter(partition_within_lookback(since, 0))
     encoder = make_encoder or hashing_encoder(settings.vector_dim)
@@ -198,15 +202,18 @@ def table_checks(raw: DataFrame, master: DataFrame, points: DataFrame) -> DataFr
 
 
 def check_stage(spark: SparkSession, settings: LakeSettings) -> DataFrame:
-    """The checks over the lake's tables as stored."""
-    raw = union_papers(
-        df
-        for s in settings.enabled_sources
-        if (df := table_or_none(spark, settings.raw_table_path(s.name), schema.raw_table_schema())) is not None
+    """The checks over the lake's tables as stored; a missing table counts as empty."""
+
+    def stored(path: str, table_schema: StructType) -> DataFrame:
+        found = table_or_none(spark, path, table_schema)
+        return spark.createDataFrame([], table_schema) if found is None else found
+
+    raw = [stored(settings.raw_table_path(s.name), schema.raw_table_schema()) for s in settings.enabled_sources]
+    return table_checks(
+        union_papers(raw),
+        stored(settings.master_path, schema.master_schema()),
+        stored(settings.vectors_path, schema.points_schema()),
     )
-    master = spark.read.schema(schema.master_schema()).parquet(settings.master_path)
-    points = spark.read.schema(schema.points_schema()).parquet(settings.vectors_path)
-    return table_checks(raw, master, points)
 
 
 def run_all(

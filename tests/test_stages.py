@@ -47,6 +47,14 @@ def test_full_run_passes_its_checks(spark, lake):
     assert spark.table("staging_papers").columns == list(schema.MASTER_TABLE_COLUMNS)
 
 
+def test_empty_lake_fails_its_presence_checks(spark, lake):
+    stages.vector_stage(spark, lake)
+    checks = stages.check_stage(spark, lake)
+    assert {r["check_name"] for r in checks.filter("not passed").collect()} == {
+        "raw_data_found", "master_found", "vectors_found",
+    }
+
+
 def test_each_source_lands_in_its_format(spark, lake):
     land(spark, lake, "arxiv", "pubmed")
     assert read_records(spark, lake.landing_path("arxiv"), "parquet").count() == 2
