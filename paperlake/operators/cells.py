@@ -100,13 +100,40 @@ def build_index(vectors: DataFrame, path: str, n_cells: int) -> CellIndex:
     stored = vectors.sparkSession.read.schema(assigned.schema).parquet(path)
     cells = stored.groupBy("cell").agg(F.min("center_cosine").alias("low"), F.count("*").alias("n"))
     rows = cells.collect()  # one row per cell
-    return CellIndex(
+    index = CellIndex(
         path,
         assigned.schema,
         centers,
         {r["cell"]: r["low"] for r in rows},
         {r["cell"]: r["n"] for r in rows},
     )
+    _save_summary(vectors.sparkSession, index)
+    return index
+
+
+def _save_summary(spark: SparkSession, index: CellIndex) -> None:
+    """One row per cell beside the vectors, so that later sessions can search the index."""
+    centers = dict(enumerate(index.centers.tolist()))
+    rows = [
+        (cell, centers.get(cell), index.min_cosine.get(cell), index.sizes.get(cell, 0))
+        for cell in (ZERO_CELL, *centers)
+    ]
+    summary = spark.createDataFrame(rows, "cell int, center array<double>, low double, n bigint")
+    summary.coalesce(1).write.parquet(f"{index.path}_summary")
+
+
+def load_index(spark: SparkSession, path: str) -> CellIndex:
+    """The index that ``build_index`` wrote to ``path``."""
+    rows = spark.read.parquet(f"{path}_summary").orderBy("cell").collect()
+    centers = np.array([r["center"] for r in rows if r["center"] is not None])
+    held = [r for r in rows if r["n"]]
+    return CellIndex(
+        path,
+        spark.read.parquet(path).schema,
+        centers,
+        {r["cell"]: r["low"] for r in held},
+        {r["cell"]: r["n"] for r in held},
+    )
 
 
 def stored_vectors(spark: SparkSession, index: CellIndex) -> DataFrame:

@@ -62,6 +62,9 @@ def test_cell_index_equals_brute_force(spark, folder, n_cells, k):
     stored = cells.stored_vectors(spark, index)
     assert sum(index.sizes.values()) == 400 and index.sizes[cells.ZERO_CELL] == 5
     assert rows(cells.indexed_top_k(index, stored, q, k)) == brute_force(*plain, k)
+    loaded = cells.load_index(spark, index.path)
+    assert loaded.sizes == index.sizes and loaded.min_cosine == index.min_cosine
+    assert rows(cells.indexed_top_k(loaded, cells.stored_vectors(spark, loaded), q, k)) == brute_force(*plain, k)
 
 
 def test_cell_bound_is_never_below_a_member(spark, folder):
