@@ -12,7 +12,7 @@ planes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -69,58 +69,104 @@ def totals_by_key(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np
 
 
 # Distinct keys of a block, ascending, and one number for each.
-BlockKeys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
+Keys = tuple[np.ndarray, np.ndarray]
 
 
-def requests(blocks: DataFrame, keys_of: BlockKeys, key_bits: int) -> DataFrame:
-    """Each block's keys, cut into classes by their leading bits."""
-    classes = classes_of(blocks.sparkSession)
-    edges = np.array([-(-(c << key_bits) // classes) for c in range(1, classes)], dtype=np.uint64)
+def _request_rows(block: int, keys: np.ndarray, numbers: np.ndarray, edges: np.ndarray) -> pa.Table:
+    cuts = [0, *np.searchsorted(keys, edges), len(keys)]
+    kept = [c for c in range(len(cuts) - 1) if cuts[c + 1] > cuts[c]]
+    return pa.table(
+        {
+            "class": pa.array(kept, pa.int32()),
+            "block": pa.array([block] * len(kept), pa.int32()),
+            "keys": pa.array([pack_sorted(keys[cuts[c] : cuts[c + 1]]) for c in kept], pa.binary()),
+            "numbers": pa.array([pack(numbers[cuts[c] : cuts[c + 1]]) for c in kept], pa.binary()),
+        }
+    )
+
+
+def _class_edges(classes: int, key_bits: int) -> np.ndarray:
+    """The first key of each class but the first; classes are cut by a key's leading bits."""
+    return np.array([-(-(c << key_bits) // classes) for c in range(1, classes)], dtype=np.uint64)
+
+
+def requests(blocks: DataFrame, keys_of: Callable[[pa.Table], Keys], key_bits: int) -> DataFrame:
+    """Each block's keys, by class."""
+    edges = _class_edges(classes_of(blocks.sparkSession), key_bits)
 
     def ask(table: pa.Table) -> pa.Table:
-        keys, numbers = keys_of(table)
-        cuts = [0, *np.searchsorted(keys, edges), len(keys)]
-        kept = [c for c in range(classes) if cuts[c + 1] > cuts[c]]
-        block = table.column("block")[0].as_py()
-        return pa.table(
-            {
-                "class": pa.array(kept, pa.int32()),
-                "block": pa.array([block] * len(kept), pa.int32()),
-                "keys": pa.array([pack_sorted(keys[cuts[c] : cuts[c + 1]]) for c in kept], pa.binary()),
-                "numbers": pa.array([pack(numbers[cuts[c] : cuts[c + 1]]) for c in kept], pa.binary()),
-            }
-        )
+        return _request_rows(table.column("block")[0].as_py(), *keys_of(table), edges)
 
     return blocks.groupBy("block").applyInArrow(ask, _REQUEST)
 
 
-def answers(asked: DataFrame, answer: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+def further_requests(
+    blocks: DataFrame, answered: DataFrame, keys_of: Callable[[pa.Table, pa.Table], Keys], key_bits: int
+) -> DataFrame:
+    """Requests that depend on earlier answers."""
+    edges = _class_edges(classes_of(blocks.sparkSession), key_bits)
+
+    def ask(table: pa.Table, told: pa.Table) -> pa.Table:
+        return _request_rows(table.column("block")[0].as_py(), *keys_of(table, told), edges)
+
+    return with_answers(blocks, answered, ask, _REQUEST)
+
+
+def _gathered(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """A class's key lists, its distinct keys and their totals."""
+    lists = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
+    numbers = np.concatenate([unpack(n) for n in table.column("numbers").to_pylist()])
+    return lists, *totals_by_key(np.concatenate(lists), numbers)
+
+
+def answers(
+    asked: DataFrame,
+    answer: Callable[[np.ndarray], np.ndarray] | None = None,
+    counted: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """Per block and class the totals of the block's keys, in its order.
 
     ``answer`` maps totals to what the blocks want to know of them. The first row
-    of each class also counts its distinct keys with a total over 0 and sums all totals.
+    of each class also tells, of the keys that ``counted`` selects, how many have a
+    total over 0 and what the totals sum to.
     """
 
     def total(table: pa.Table) -> pa.Table:
-        lists = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
-        keys = np.concatenate(lists)
-        numbers = np.concatenate([unpack(n) for n in table.column("numbers").to_pylist()])
-        distinct, sums = totals_by_key(keys, numbers)
+        lists, distinct, sums = _gathered(table)
         told = sums if answer is None else answer(sums).astype(np.uint64)
+        chosen = sums if counted is None else sums[counted(distinct)]
         rest = [0] * (len(lists) - 1)
         return pa.table(
             {
                 "block": table.column("block"),
                 "class": table.column("class"),
                 "totals": pa.array([pack(told[np.searchsorted(distinct, k)]) for k in lists], pa.binary()),
-                "distinct_keys": pa.array([int(np.count_nonzero(sums)), *rest], pa.int64()),
-                "sum_totals": pa.array([int(sums.sum()), *rest], pa.int64()),
+                "distinct_keys": pa.array([int(np.count_nonzero(chosen)), *rest], pa.int64()),
+                "sum_totals": pa.array([int(chosen.sum()), *rest], pa.int64()),
             }
         )
 
     return asked.groupBy("class").applyInArrow(total, _ANSWER)
 
 
+def chosen_keys(asked: DataFrame, choose: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Per block and class those of the block's keys whose totals ``choose`` selects."""
+
+    def total(table: pa.Table) -> pa.Table:
+        lists, distinct, sums = _gathered(table)
+        chosen = choose(sums)
+        kept = [k[chosen[np.searchsorted(distinct, k)]] for k in lists]
+        return pa.table({"block": table.column("block"), "keys": pa.array(map(pack_sorted, kept), pa.binary())})
+
+    return asked.groupBy("class").applyInArrow(total, "block int, keys binary")
+
+
+def block_keys(answered: pa.Table) -> np.ndarray:
+    """The keys sent to a block by ``chosen_keys``, ascending."""
+    parts = answered.column("keys").to_pylist()
+    return np.sort(np.concatenate([unpack_sorted(p) for p in parts])) if parts else np.empty(0, np.uint64)
+
+
 def block_totals(answered: pa.Table) -> np.ndarray:
     """The answers to a block's keys, in the order of its keys."""
     parts = answered.select(["class", "totals"]).sort_by("class").column("totals").to_pylist()
@@ -132,12 +178,3 @@ def with_answers(
 ) -> DataFrame:
     """``fn(block's rows, its answers)`` for every block."""
     return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(fn, schema)
-
-
-def slices(table: pa.Table, column: str, max_bytes: int) -> Iterator[pa.Table]:
-    """Consecutive rows whose texts have about ``max_bytes`` together, one row at least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(table.column(column)), 0).to_numpy()
-    cell = np.cumsum(sizes) // max_bytes
-    edges = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else []
-    for start, end in zip(edges, [*edges[1:], len(cell)]):
-        yield table.slice(start, end - start)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperlake.llm import ngram_join
+from paperlake.llm import lm, ngram_join, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +30,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
