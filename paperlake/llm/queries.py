@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import lm, ngram_join, substrings
+from paperlake.llm import lm, ngram_join, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +41,19 @@ def op5_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_entropy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *map(count, secrets.BASE_KINDS),
+        F.sha2(secrets.spans_as_text(base), 256).alias("base_sha256"),
+        secrets.spans_as_text(spans).alias("spans"),
+    )
