@@ -32,5 +32,19 @@ _NGRAM_JOIN = f"""
   left join found f on f.node = t.node"""
 
 
+_NEIGHBOURS = """
+  with usable as (
+    select vec_id, embedding::double[] as v from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  scores as (
+    select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(
+      list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) as score
+    from usable q join usable c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0)
+  select query_id, cast(row_number() over nearest as integer) as rank, vec_id, score
+  from scores window nearest as (partition by query_id order by score, vec_id) qualify rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": _NGRAM_JOIN}
+    return {"op1_ngram_join": _NGRAM_JOIN, "op9_block_matrix": _NEIGHBOURS}

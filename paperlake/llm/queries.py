@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import lm, ngram_join, secrets, substrings
+from paperlake.llm import language_id, lm, neighbours, ngram_join, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,15 @@ def op7_entropy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spans_as_text(base), 256).alias("base_sha256"),
         secrets.spans_as_text(spans).alias("spans"),
     )
+
+
+@query
+def op9_block_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), "vec_id", "embedding")
+
+
+@query
+def op10_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return language_id.identify(documents, language_id.fit(documents))
