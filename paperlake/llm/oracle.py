@@ -46,5 +46,40 @@ _NEIGHBOURS = """
   from scores window nearest as (partition by query_id order by score, vec_id) qualify rank <= 10"""
 
 
+_REVISITS = """
+  with payloads as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digest from pages),
+  hashed as (
+    select page_id, strlen(payload) as payload_bytes, translate(
+      array_to_string(list_transform(range(8),
+        lambda i: to_base(cast('0x' || substr(digest, 1 + 5 * i, 5) as bigint), 32, 4)), ''),
+      '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest
+    from payloads),
+  firsts as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as first from hashed)
+  select page_id, payload_bytes, payload_digest,
+    case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to
+  from firsts"""
+
+_MIXTURE = """
+  with sizes as (select source, count(*) as n_docs from documents group by source),
+  rates as (
+    select source, pow(n_docs, 0.5) / sum(pow(n_docs, 0.5)) over () * sum(n_docs) over () / n_docs as rate
+    from sizes),
+  steps as (
+    select source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by source order by k) as step
+    from (select source, rate, unnest(range(0, cast(ceil(rate + 12 * sqrt(rate) + 30) as bigint) + 1)) as k from rates)),
+  cdf as (select source, list(step order by k) as steps from steps group by source),
+  drawn as (
+    select d.*, cast('0x' || substr(md5(doc_id || ':17'), 1, 13) as bigint) / 4503599627370496.0 as u, steps
+    from documents d join cdf using (source)),
+  copied as (
+    select doc_id, text, lang, source, n_chars, unnest(range(1, len(list_filter(steps, lambda s: s <= u)) + 1)) as copy
+    from drawn)
+  select doc_id, text, lang, source, n_chars, cast(copy as integer) as copy,
+    substr(md5(doc_id || ':' || copy || ':17'), 1, 16) as shuffle_key
+  from copied"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": _NGRAM_JOIN, "op9_block_matrix": _NEIGHBOURS}
+    return {"op1_ngram_join": _NGRAM_JOIN, "op4_revisits": _REVISITS, "op6_poisson_mixture": _MIXTURE, "op9_block_matrix": _NEIGHBOURS}

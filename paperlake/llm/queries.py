@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import language_id, lm, neighbours, ngram_join, secrets, substrings
+from paperlake.llm import language_id, lm, mixing, neighbours, ngram_join, secrets, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,3 +69,13 @@ def op9_block_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return language_id.identify(documents, language_id.fit(documents))
+
+
+@query
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicated_pages(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
