@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import language_id, lm, mixing, neighbours, ngram_join, secrets, substrings, warc
+from paperlake.llm import language_id, lm, mixing, neighbours, ngram_join, secrets, substrings, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,3 +79,8 @@ def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_main_text(_table(spark, sf_dir, "pages"))
