@@ -13,13 +13,14 @@ responses of neighbouring byte pairs are worked out once per pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperlake.llm.lm import fold_of
 from paperlake.llm.words import text_bytes
@@ -32,11 +33,12 @@ SLICE_CHARS = 256
 WINDOW = 256
 WIDTHS = (2, 4)
 UNDETERMINED = "und"
+# Below this mean probability a document is rejected: little more than a guess among a few languages.
+LEAST_SCORE = 0.35
 
 _EMBEDDING, _FILTERS, _EPOCHS, _BATCH, _RATE = 8, 16, 30, 64, 0.01
 # Bytes of text whose windows are worked on at once; responses take 64 times as much.
 _PIECE_BYTES = 1 << 19
-_PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 def windows_of(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,6 +53,19 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW) -> tup
     return cells.reshape(-1, size), row, filled
 
 
+def window_pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text, byte count and bytes of the windows of all texts, some at a time; a long text spans several pieces."""
+    counts = -(-np.diff(offsets) // WINDOW)
+    row = np.repeat(np.arange(len(counts)), counts)
+    starts = offsets[row] + (np.arange(len(row)) - np.repeat(np.r_[0, np.cumsum(counts)[:-1]], counts)) * WINDOW
+    ends = np.minimum(starts + WINDOW, offsets[row + 1])
+    step = _PIECE_BYTES // WINDOW
+    for at in range(0, len(row), step):
+        start, end = starts[at : at + step], ends[at : at + step]
+        cells, _, filled = windows_of(data[start[0] : end[-1]], np.r_[start, end[-1]] - start[0])
+        yield row[at : at + step], filled, cells
+
+
 @dataclass
 class ByteNetwork:
     """Weights: byte embedding, one filter bank per width, output layer."""
@@ -74,7 +89,7 @@ class ByteNetwork:
             np.zeros(len(languages), np.float32),
         )
 
-    def _pair_tables(self) -> list[list[np.ndarray]]:
+    def pair_tables(self) -> list[list[np.ndarray]]:
         """Per width one table per byte pair of the filter: its response to each of 65,536 pairs."""
         tables = []
         for bank in self.banks:
@@ -87,7 +102,7 @@ class ByteNetwork:
     def responses(self, cells: np.ndarray, tables: list[list[np.ndarray]] | None = None) -> Iterator[np.ndarray]:
         """Per width the filters' responses at every place of every window."""
         pairs = cells[:, :-1].astype(np.int32) * 256 + cells[:, 1:]
-        for parts in tables or self._pair_tables():
+        for parts in tables or self.pair_tables():
             places = pairs.shape[1] - 2 * (len(parts) - 1)
             total = np.take(parts[0], pairs[:, :places], axis=0)
             for j, part in enumerate(parts[1:], 1):
@@ -180,39 +195,49 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork |
     return network
 
 
-def identify(documents: DataFrame, network: ByteNetwork | None) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``documents`` (doc_id, text).
-
-    ``lang_pred`` is a language the network learned, ``und`` (score 0) if the text is
-    null or has no letter, or if the network learned none. ``score`` is the mean
-    probability of that language. A row without doc_id is not held out. Whole texts
-    are read, in pieces of bounded size; nothing is shuffled.
-    """
-    held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), _has_letter("text").alias("known"), "text"
-    )
+def with_language(documents: DataFrame, network: ByteNetwork | None, keep: Sequence[str]) -> DataFrame:
+    """The columns ``keep`` of ``documents`` with ``_lang_pred`` and ``_score``. Nothing is shuffled."""
+    names = list(keep)
+    rows = documents.select(*dict.fromkeys([*names, "text"]), _has_letter("text").alias("_known"))
     if network is None:
-        return rows.select("doc_id", "held_out", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    names = np.array([*network.languages, UNDETERMINED], dtype=object)
+        return rows.select(*names, F.lit(UNDETERMINED).alias("_lang_pred"), F.lit(0.0).alias("_score"))
+    languages = np.array([*network.languages, UNDETERMINED], dtype=object)
+    added = T.StructType.fromDDL("_lang_pred string, _score double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = network._pair_tables()
+        tables = network.pair_tables()
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            cells, row, filled = windows_of(data, offsets)
             sums = np.zeros((batch.num_rows, len(network.languages)))
-            step = _PIECE_BYTES // WINDOW
-            for start in range(0, len(cells), step):
-                part = slice(start, start + step)
-                np.add.at(sums, row[part], network.probabilities(cells[part], tables) * filled[part, None])
+            for row, filled, cells in window_pieces(data, offsets):
+                np.add.at(sums, row, network.probabilities(cells, tables) * filled[:, None])
             means = sums / np.maximum(np.diff(offsets), 1)[:, None]
-            known = batch.column("known").to_numpy(zero_copy_only=False)
+            known = batch.column("_known").to_numpy(zero_copy_only=False)
             best = np.where(known, means.argmax(axis=1), len(network.languages))
             score = np.where(known, np.minimum(means.max(axis=1), 1.0), 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names[best], pa.string()), pa.array(score)],
-                ["doc_id", "held_out", "lang_pred", "score"],
+                [*(batch.column(c) for c in names), pa.array(languages[best], pa.string()), pa.array(score)],
+                [*names, "_lang_pred", "_score"],
             )
 
-    return rows.mapInArrow(predict, _PREDICTED)
+    return rows.mapInArrow(predict, T.StructType([*(documents.schema[c] for c in names), *added]))
+
+
+def identify(documents: DataFrame, network: ByteNetwork | None) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row of ``documents`` (doc_id, text).
+
+    ``lang_pred`` is a language the network learned, ``und`` (score 0) if the text is
+    null or has no letter, or if the network learned none. ``score`` is the mean
+    probability of that language. A row without doc_id is not held out. Whole texts
+    are read, in pieces of bounded size; other columns are ignored.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
+    found = with_language(rows, network, ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def accepted(documents: DataFrame, network: ByteNetwork | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``documents`` whose language is found with probability ``least`` or more, all columns kept."""
+    found = with_language(documents, network, documents.columns)
+    return found.filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= least)).select(*documents.columns)

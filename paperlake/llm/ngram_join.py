@@ -263,3 +263,16 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
+
+
+def one_per_group(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``documents`` that stay: of each linked group the document with the smallest doc_id.
+
+    All columns are kept. Of rows that share that doc_id one stays, by hash of the text. Rows without doc_id all
+    stay, as nothing could name them.
+    """
+    found = near_duplicates(documents, size, percent).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = documents.filter("doc_id is not null").join(found, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = kept.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*documents.columns)
+    return kept.unionByName(documents.filter("doc_id is null"))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.llm import language_id, lm, mixing, neighbours, ngram_join, secrets, substrings, warc, wrappers
+from paperlake.llm import (
+    decontaminate,
+    language_id,
+    lm,
+    mixing,
+    neighbours,
+    ngram_join,
+    secrets,
+    substrings,
+    warc,
+    wrappers,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,3 +95,8 @@ def op6_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

@@ -22,6 +22,8 @@ _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
 _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[ord("A") : ord("Z") + 1] = _BYTE_VALUES[ord("a") : ord("z") + 1]
@@ -96,21 +98,38 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int
         yield lo, hi, np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word spans without the punctuation around them; a word that has nothing else becomes empty."""
+    while True:
+        drop = (ends > starts) & _PUNCTUATION[data[np.maximum(ends - 1, 0)]]
+        if not drop.any():
+            break
+        ends = ends - drop
+    while True:
+        drop = (ends > starts) & _PUNCTUATION[data[np.minimum(starts, len(data) - 1)]]
+        if not drop.any():
+            return starts, ends
+        starts = starts + drop
+
+
 class Words:
     """The words of a column of texts.
 
     ``hashes`` has one number per word, row after row; row r's words are
     ``first[r]:first[r + 1]``. ``starts`` and ``ends`` are byte positions in ``data``.
+    With ``trim``, ASCII punctuation around a word does not count.
     """
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool):
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool, trim: bool = False):
         self.data, self.offsets = text_bytes(texts)
         values = _LOWER_VALUES if lower else _BYTE_VALUES
         hashes, starts, ends = [], [], []
         for lo, hi, start, end in word_spans(self.data, self.offsets):
             sums = np.zeros(hi - lo + 1, np.uint64)
             np.cumsum(values[self.data[lo:hi]] * _powers(_BYTE_BASE, hi - lo), out=sums[1:])
-            back = _powers(_inverse(_BYTE_BASE), hi - lo)
+            back = _powers(_inverse(_BYTE_BASE), hi - lo + 1)
+            if trim:
+                start, end = _trimmed(self.data[lo:hi], start, end)
             hashes.append(mix((sums[end] - sums[start]) * back[start]))
             starts.append(start + lo)
             ends.append(end + lo)
