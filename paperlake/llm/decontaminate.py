@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,14 +32,14 @@ from paperlake.llm.words import Words, text_bytes
 
 PASSAGE, STRIDE = 32, 16
 FEATURE_BITS = 13
-RANK, OVERSAMPLING = 64, 8
+RANK, OVERSAMPLING = 96, 8
 # Cosines of unrelated passages spread by about 1 / sqrt(RANK); a passage that holds a
 # whole item of half its length has 0.7.
-MIN_COSINE = 0.28
+MIN_COSINE = 0.25
 # Share of the idf weight of the item or the passage, whichever is less, that both must have.
 MIN_SHARED = 0.35
 # Longest common subsequence as a share of the item: alone, or if the answer is found as well.
-MIN_LCS, MIN_LCS_WITH_ANSWER = 0.75, 0.55
+MIN_LCS, MIN_LCS_WITH_ANSWER = 0.7, 0.6
 ANSWER_WORDS = 5
 # Shorter items cannot be told from chance and are not searched.
 MIN_ITEM_WORDS = 8
@@ -47,7 +48,20 @@ ITEMS_PER_BLOCK = 1000
 _FEATURES = 1 << FEATURE_BITS
 _PIECE_BYTES = 1 << 20
 _PASSAGES_AT_ONCE = 2048
-_LEAKS = T.ArrayType(T.StructType.fromDDL("item_id long, lcs_words int, item_words int, answer_found boolean, word int"))
+_LEAK = T.StructType(
+    [
+        T.StructField("item_id", T.LongType()),
+        T.StructField("lcs_words", T.IntegerType()),
+        T.StructField("item_words", T.IntegerType()),
+        T.StructField("answer_found", T.BooleanType()),
+        T.StructField("word", T.IntegerType()),
+    ]
+)
+
+
+def _words(texts: pa.Array) -> Words:
+    """Words in lower case of any script, without punctuation around them."""
+    return Words(pc.utf8_lower(texts), lower=True, trim=True)
 
 
 def _features(hashes: np.ndarray) -> np.ndarray:
@@ -106,7 +120,7 @@ def _summed(documents: DataFrame, add, width: int) -> np.ndarray:
 
 def _count_passages(texts: pa.Array, table: np.ndarray) -> None:
     """Adds to each feature the passages that have it; the extra row counts passages."""
-    words = Words(texts, lower=True, trim=True)
+    words = _words(texts)
     features = _features(words.hashes)
     _, starts, ends = _passages(words.first, PASSAGE)
     cells = np.sort(_cells(features, starts, ends, PASSAGE), axis=1)
@@ -119,7 +133,7 @@ def _count_passages(texts: pa.Array, table: np.ndarray) -> None:
 
 def _gram_step(texts: pa.Array, table: np.ndarray, idf: np.ndarray, test: np.ndarray) -> None:
     """Adds ``a (a' test)`` for the TF-IDF vector ``a`` of unit length of each passage."""
-    words = Words(texts, lower=True, trim=True)
+    words = _words(texts)
     features = _features(words.hashes)
     weighted = (test * idf[:, None]).astype(np.float32)
     _, all_starts, all_ends = _passages(words.first, PASSAGE)
@@ -136,15 +150,19 @@ def _gram_step(texts: pa.Array, table: np.ndarray, idf: np.ndarray, test: np.nda
         table[ordered[edges]] += sums * idf[ordered[edges], None]
 
 
-def _singular_vectors(sketch: np.ndarray, test: np.ndarray, rank: int) -> np.ndarray:
-    """Main eigenvectors of the Gram matrix G from ``sketch = G test``."""
+def _directions(sketch: np.ndarray, test: np.ndarray, rank: int) -> np.ndarray:
+    """Main right singular vectors, each over its singular value, from ``sketch = G test`` with the Gram matrix G.
+
+    Without the division the few directions that tell languages and common words
+    apart would decide every cosine.
+    """
     shift = 1e-7 * max(np.linalg.norm(sketch), 1e-30)
     moved = sketch + shift * test
     core = test.T @ moved
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     inverse_root = vectors / np.sqrt(np.maximum(values, shift))
-    left, _, _ = np.linalg.svd(moved @ inverse_root, full_matrices=False)
-    return left[:, :rank]
+    left, roots, _ = np.linalg.svd(moved @ inverse_root, full_matrices=False)
+    return left[:, :rank] / np.maximum(roots[:rank], 1e-12)
 
 
 @dataclass
@@ -168,7 +186,7 @@ class LatentSpace:
             _gram_step(texts, table, idf, padded)
 
         sketch = _summed(documents, add, columns)[:_FEATURES]
-        vectors = _singular_vectors(sketch, test, rank)
+        vectors = _directions(sketch, test, rank)
         places = np.vstack([vectors, np.zeros((1, rank))]) * idf[:, None]
         return cls(idf, places.astype(np.float32))
 
@@ -200,7 +218,7 @@ class Items:
     """A block of benchmark items, ready to be compared with passages."""
 
     def __init__(self, rows: Sequence[tuple[int, str]], space: LatentSpace):
-        words = Words(pa.array([t for _, t in rows], pa.string()), lower=True, trim=True)
+        words = _words(pa.array([t for _, t in rows], pa.string()))
         keep = [r for r in range(len(rows)) if words.first[r + 1] - words.first[r] >= MIN_ITEM_WORDS]
         self.ids = [rows[r][0] for r in keep]
         self.words = [words.hashes[words.row(r)].tolist() for r in keep]
@@ -245,7 +263,7 @@ class Items:
 
 def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]]:
     """Per text the items found in it."""
-    words = Words(texts, lower=True, trim=True)
+    words = _words(texts)
     features = _features(words.hashes)
     found: list[dict[int, tuple]] = [{} for _ in range(len(words))]
     rows, starts, ends = _passages(words.first, STRIDE)
@@ -295,7 +313,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: LatentSpace, keep: Sequence[str]) -> DataFrame:
     """The columns ``keep`` of ``documents`` and ``_leaks``: the items of the block found in each text. No shuffle."""
     names = list(keep)
-    schema = T.StructType([*(documents.schema[c] for c in names), T.StructField("_leaks", _LEAKS)])
+    schema = T.StructType([*(documents.schema[c] for c in names), T.StructField("_leaks", T.ArrayType(_LEAK))])
     items = Items(block, space)
     kind = pa.list_(
         pa.struct([("item_id", pa.int64()), ("lcs_words", pa.int32()), ("item_words", pa.int32()), ("answer_found", pa.bool_()), ("word", pa.int32())])
@@ -314,7 +332,7 @@ def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: La
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, lcs_words, item_words, answer_found, word``: the items that documents contain.
 
-    Words are runs without blanks, A-Z lower-cased, without punctuation around them.
+    Words are runs without blanks, in lower case, without punctuation around them.
     ``lcs_words`` of the item's ``item_words`` occur in order near ``word`` (the first
     word of the passage found). A pair is reported if they reach ``MIN_LCS``, or
     ``MIN_LCS_WITH_ANSWER`` with all but one of the item's last words. Null and empty
@@ -329,8 +347,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = with_leaks(rows, block, space, ["doc_id"]).select("doc_id", F.explode("_leaks").alias("leak"))
         found = part if found is None else found.unionByName(part)
     if found is None:
-        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _LEAKS.elementType)
-        return documents.sparkSession.createDataFrame([], f"doc_id long, {kinds}")
+        return documents.sparkSession.createDataFrame([], T.StructType([rows.schema["doc_id"], *_LEAK]))
     return found.select("doc_id", "leak.*")
 
 
