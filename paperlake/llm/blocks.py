@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 BLOCKS_PER_PARTITION = 4
 
 _REQUEST = "class int, block int, keys binary, numbers binary"
-_ANSWER = "block int, class int, totals binary, distinct_keys long, sum_totals long"
+_ANSWER = "block int, class int, totals binary"
 
 
 def classes_of(spark: SparkSession) -> int:
@@ -119,36 +119,32 @@ def _gathered(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray
     return lists, *totals_by_key(np.concatenate(lists), numbers)
 
 
-def answers(
-    asked: DataFrame,
-    answer: Callable[[np.ndarray], np.ndarray] | None = None,
-    counted: Callable[[np.ndarray], np.ndarray] | None = None,
-) -> DataFrame:
+def answers(asked: DataFrame, answer: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """Per block and class the totals of the block's keys, in its order.
 
-    ``answer`` maps totals to what the blocks want to know of them. The first row
-    of each class also tells, of the keys that ``counted`` selects, how many have a
-    total over 0 and what the totals sum to.
+    ``answer`` maps totals to what the blocks want to know of them.
     """
 
     def total(table: pa.Table) -> pa.Table:
         lists, distinct, sums = _gathered(table)
         told = sums if answer is None else answer(sums).astype(np.uint64)
-        chosen = sums if counted is None else sums[counted(distinct)]
-        rest = [0] * (len(lists) - 1)
-        return pa.table(
-            {
-                "block": table.column("block"),
-                "class": table.column("class"),
-                "totals": pa.array([pack(told[np.searchsorted(distinct, k)]) for k in lists], pa.binary()),
-                "distinct_keys": pa.array([int(np.count_nonzero(chosen)), *rest], pa.int64()),
-                "sum_totals": pa.array([int(chosen.sum()), *rest], pa.int64()),
-            }
-        )
+        packed = [pack(told[np.searchsorted(distinct, k)]) for k in lists]
+        return table.select(["block", "class"]).append_column("totals", pa.array(packed, pa.binary()))
 
     return asked.groupBy("class").applyInArrow(total, _ANSWER)
 
 
+def key_statistics(asked: DataFrame, counted: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``distinct_keys, sum_totals`` per class, of the keys that ``counted`` selects and that have a total over 0."""
+
+    def statistics(table: pa.Table) -> pa.Table:
+        _, distinct, sums = _gathered(table)
+        chosen = sums[counted(distinct)]
+        return pa.table({"distinct_keys": [int(np.count_nonzero(chosen))], "sum_totals": [int(chosen.sum())]})
+
+    return asked.groupBy("class").applyInArrow(statistics, "distinct_keys long, sum_totals long")
+
+
 def chosen_keys(asked: DataFrame, choose: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """Per block and class those of the block's keys whose totals ``choose`` selects."""
 

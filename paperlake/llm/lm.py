@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperlake.llm.blocks import answers, block_column, block_totals, requests, with_answers
+from paperlake.llm.blocks import answers, block_column, block_totals, key_statistics, requests, with_answers
 from paperlake.llm.words import Words, sequence_hashes
 
 ORDER = 2
@@ -175,9 +175,8 @@ def score_documents(documents: DataFrame, order: int = ORDER, prior: float = PRI
             }
         )
 
-    answered = answers(requests(blocks, keys_of, 64), counted=lambda keys: keys & np.uint64(1) == 0)
-    tokens = answered.agg(F.sum("sum_totals").alias("n"), F.sum("distinct_keys").alias("v"))
-    sums = answered.withColumns(
-        {"n": tokens.select("n").scalar(), "v": tokens.select("v").scalar()}
-    )
-    return with_answers(blocks, sums, score, _SCORED)
+    asked = requests(blocks, keys_of, 64)
+    tokens = key_statistics(asked, lambda keys: keys & np.uint64(1) == 0)
+    tokens = tokens.agg(F.sum("sum_totals").alias("n"), F.sum("distinct_keys").alias("v"))
+    sums = {c: tokens.select(c).scalar() for c in ("n", "v")}
+    return with_answers(blocks, answers(asked).withColumns(sums), score, _SCORED)
