@@ -32,22 +32,25 @@ from paperlake.llm.words import Words, text_bytes
 
 PASSAGE, STRIDE = 32, 16
 FEATURE_BITS = 13
-RANK, OVERSAMPLING = 96, 8
+RANK, OVERSAMPLING = 96, 64
 # Cosines of unrelated passages spread by about 1 / sqrt(RANK); a passage that holds a
 # whole item of half its length has 0.7.
-MIN_COSINE = 0.25
-# Share of the idf weight of the item or the passage, whichever is less, that both must have.
-MIN_SHARED = 0.35
+MIN_COSINE = 0.22
+# Share of the item's idf weight that the passage must have too. A passage inside an
+# item twice its length has half of it.
+MIN_SHARED = 0.3
 # Longest common subsequence as a share of the item: alone, or if the answer is found as well.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.7, 0.6
 ANSWER_WORDS = 5
+# Share of the item's words that must agree on where it starts, for the place to be compared.
+MIN_VOTES = 0.2
 # Shorter items cannot be told from chance and are not searched.
 MIN_ITEM_WORDS = 8
 ITEMS_PER_BLOCK = 1000
 
 _FEATURES = 1 << FEATURE_BITS
 _PIECE_BYTES = 1 << 20
-_PASSAGES_AT_ONCE = 2048
+_PASSAGES_AT_ONCE = 1024
 _LEAK = T.StructType(
     [
         T.StructField("item_id", T.LongType()),
@@ -131,23 +134,33 @@ def _count_passages(texts: pa.Array, table: np.ndarray) -> None:
     table[_FEATURES, 0] += len(starts)
 
 
-def _gram_step(texts: pa.Array, table: np.ndarray, idf: np.ndarray, test: np.ndarray) -> None:
-    """Adds ``a (a' test)`` for the TF-IDF vector ``a`` of unit length of each passage."""
+def _sparse_test(columns: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """A random test matrix with one entry per feature: its column and its sign."""
+    rng = np.random.default_rng(seed)
+    column = rng.integers(0, columns, _FEATURES + 1)
+    sign = rng.choice([-1.0, 1.0], _FEATURES + 1)
+    sign[_FEATURES] = 0.0
+    return column, sign
+
+
+def _gram_step(texts: pa.Array, table: np.ndarray, idf: np.ndarray, column: np.ndarray, sign: np.ndarray) -> None:
+    """Adds ``a (a' test)`` for the TF-IDF vector ``a``, of unit length, of each passage.
+
+    The test matrix has one entry per feature, so the product is a sum over the pairs
+    of words of a passage.
+    """
     words = _words(texts)
     features = _features(words.hashes)
-    weighted = (test * idf[:, None]).astype(np.float32)
     _, all_starts, all_ends = _passages(words.first, PASSAGE)
+    width = table.shape[1]
     for at in range(0, len(all_starts), _PASSAGES_AT_ONCE):
         part = slice(at, at + _PASSAGES_AT_ONCE)
         cells = _cells(features, all_starts[part], all_ends[part], PASSAGE)
-        products = weighted[cells].sum(axis=1)
-        products /= np.maximum((idf[cells] ** 2).sum(axis=1), 1e-9)[:, None]
-        flat = cells.ravel().astype(np.uint16)
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        edges = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        sums = np.add.reduceat(products[order // PASSAGE], edges, axis=0)
-        table[ordered[edges]] += sums * idf[ordered[edges], None]
+        weights = idf[cells]
+        unit = weights / np.maximum((weights**2).sum(axis=1, keepdims=True), 1e-9)
+        pairs = (cells * width)[:, :, None] + column[cells][:, None, :]
+        products = unit[:, :, None] * (weights * sign[cells])[:, None, :]
+        table += np.bincount(pairs.ravel(), products.ravel(), minlength=table.size).reshape(table.shape)
 
 
 def _directions(sketch: np.ndarray, test: np.ndarray, rank: int) -> np.ndarray:
@@ -179,15 +192,21 @@ class LatentSpace:
         idf = np.log((1 + counts[_FEATURES]) / (1 + counts))
         idf[_FEATURES] = 0.0
         columns = rank + OVERSAMPLING
-        test, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(_FEATURES, columns)))
-        padded = np.vstack([test, np.zeros((1, columns))])
+        column, sign = _sparse_test(columns, seed)
+        test = np.zeros((_FEATURES, columns))
+        test[np.arange(_FEATURES), column[:-1]] = sign[:-1]
 
         def add(texts: pa.Array, table: np.ndarray) -> None:
-            _gram_step(texts, table, idf, padded)
+            _gram_step(texts, table, idf, column, sign)
 
         sketch = _summed(documents, add, columns)[:_FEATURES]
         vectors = _directions(sketch, test, rank)
-        places = np.vstack([vectors, np.zeros((1, rank))]) * idf[:, None]
+        # Direction from the singular vectors, length from the idf: no word outweighs a passage.
+        # What all passages have in common is taken off.
+        weights = (counts * idf)[:_FEATURES, None]
+        units = _unit(vectors)
+        units = units - (weights * units).sum(axis=0) / max(weights.sum(), 1e-12)
+        places = np.vstack([units, np.zeros((1, rank))]) * idf[:, None]
         return cls(idf, places.astype(np.float32))
 
 
@@ -229,6 +248,14 @@ class Items:
         for i, f in enumerate(features):
             self.weights[i, f] = space.idf[f]
         self.masks = [_masks(w) for w in self.words]
+        self.places: list[dict[int, list[int]]] = []
+        for w in self.words:
+            places: dict[int, list[int]] = {}
+            for place, word in enumerate(w):
+                places.setdefault(word, []).append(place)
+            # Words that the item repeats often say little about where it starts.
+            self.places.append({word: at for word, at in places.items() if len(at) <= 2})
+        self.totals = self.weights.sum(axis=1)
         self.answers = [(_masks(w[-ANSWER_WORDS:]), len(w[-ANSWER_WORDS:])) for w in self.words]
 
     def decide(self, item: int, words: np.ndarray, near: int) -> tuple[int, bool] | None:
@@ -237,18 +264,13 @@ class Items:
         Words of the item near that place vote for where the item starts; the best place
         is compared over a little more than the item's length.
         """
-        mine, size = self.words[item], len(self.words[item])
+        size, where = len(self.words[item]), self.places[item]
         low = max(0, near - size)
         around = words[low : near + PASSAGE + size].tolist()
-        where: dict[int, list[int]] = {}
-        for place, word in enumerate(mine):
-            where.setdefault(word, []).append(place)
-        votes = Counter()
-        for place, word in enumerate(around):
-            for own in where.get(word, ()):
-                votes[place - own] += 1
+        votes = Counter([place - own for place, word in enumerate(around) if word in where for own in where[word]])
         best = None
-        for start, _ in sorted(votes.items(), key=lambda v: (-v[1], v[0]))[:3]:
+        likely = [(-n, start) for start, n in votes.items() if n >= MIN_VOTES * size]
+        for _, start in sorted(likely)[:3]:
             slack = 2 + size // 8
             region = around[max(0, start - slack) : max(0, start + size + slack)]
             common = lcs_length(self.masks[item], size, region)
@@ -274,17 +296,20 @@ def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]
         halves, index = np.unique(np.r_[starts[part], starts[part] + STRIDE], return_inverse=True)
         sums = np.empty((len(halves), space.places.shape[1]), np.float32)
         n = len(cells)
-        sums[index[:n]] = space.places[cells[:, :STRIDE]].sum(axis=1)
+        sums[index[:n]] = np.take(space.places, cells[:, :STRIDE], axis=0, mode="clip").sum(axis=1)
         last = np.r_[starts[part][1:] != starts[part][:-1] + STRIDE, True]
-        sums[index[n:][last]] = space.places[cells[last, STRIDE:]].sum(axis=1)
+        sums[index[n:][last]] = np.take(space.places, cells[last, STRIDE:], axis=0, mode="clip").sum(axis=1)
         units = _unit(sums[index[:n]] + sums[index[n:]])
         passage, item = np.nonzero(units @ items.units.T >= MIN_COSINE)
-        weights = items.weights[item[:, None], cells[passage]]
-        limit = np.minimum(items.weights.sum(axis=1)[item], space.idf[cells].sum(axis=1)[passage])
-        passed = weights.sum(axis=1) >= MIN_SHARED * limit
+        once = np.sort(cells, axis=1)
+        once[:, 1:][once[:, 1:] == once[:, :-1]] = _FEATURES
+        shared = np.take(items.weights, item[:, None] * (_FEATURES + 1) + once[passage], mode="clip").sum(axis=1)
+        passed = shared >= MIN_SHARED * items.totals[item]
         for p, i in zip(passage[passed].tolist(), item[passed].tolist()):
             row = rows[at + p]
             begin = words.first[row]
+            if found[row].get(i, ((0, False), 0))[0] == (len(items.words[i]), True):
+                continue
             decided = items.decide(i, words.hashes[begin : words.first[row + 1]], int(starts[at + p] - begin))
             if decided and decided > found[row].get(i, ((0, False), 0))[0]:
                 found[row][i] = (decided, int(starts[at + p] - begin))
