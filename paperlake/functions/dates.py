@@ -28,6 +28,6 @@ def within_lookback(publication_date: Column, as_of: dt.date | None, days: int)
 
 
 def partition_within_lookback(as_of: dt.date | None, days: int) -> Column:
-    """The same window over year/month/day, so that file listing skips older partitions."""
+    """The same window over year/month/day, so that files of older partitions are listed but not read."""
     folder_date = F.make_date(F.col("year"), F.col("month"), F.col("day"))
     return folder_date >= lookback_start(as_of, days)

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperlake import schema
 from paperlake.settings import Source
 
 
@@ -18,13 +17,12 @@ def source_priority(source: Column, sources: Iterable[Source]) -> Column:
 
 
 def default_ties() -> list[Column]:
-    """Latest stamp first, then title and DOI, then every other column.
+    """The latest landing first, then the record hash.
 
-    The order is total on content, so a recomputed task picks the same row.
+    The order is total on content, so a recomputed task picks the same row, and no
+    text takes part in it.
     """
-    leading = ["title", "doi"]
-    others = [c for c in schema.MASTER_COLUMNS if c not in ("id", "source", *leading)]
-    return [F.col("ingestion_timestamp").desc_nulls_last(), *map(F.col, [*leading, *others])]
+    return [F.col("landed_at").desc_nulls_last(), F.col("record_hash").asc_nulls_last()]
 
 
 def best_per_key(
@@ -37,8 +35,7 @@ def best_per_key(
 
     The rank filter lets Spark keep one row per key in every task before it
     shuffles, so an id that holds a third of the rows reaches its reducer as one
-    row per map task. An id fixes its date, so deduplicating by the merge keys
-    keeps the same rows as by id and leaves them partitioned for the merge join.
+    row per map task. Rows are ordered by narrow columns only.
     """
     ties = default_ties() if ties is None else ties
     order = Window.partitionBy(*keys).orderBy(source_priority(F.col("source"), sources), *ties)

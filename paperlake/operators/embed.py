@@ -15,14 +15,13 @@ from pyspark.sql import types as T
 
 from paperlake import schema
 from paperlake.functions.text import embedding_text
-from paperlake.session import spread_if_narrow
 from paperlake.settings import ENCODER_BATCH_SIZE
 
-# --- Fixed values: default sentence model ---
-DEFAULT_MODEL = "sentence-transformers/all-MiniLM-L6-v2"
-
 # Bytes of text an encoder call sees at most, unless a single text is longer.
 MAX_PIECE_BYTES = 16 * 1024 * 1024
+# Bytes of counts a hashing encoder holds at once, and texts it takes at most.
+COUNT_BYTES = 64 * 1024 * 1024
+MAX_ROWS = 8192
 
 # Texts of one batch in, one float32 row per text out. An encoder may name the
 # ``batch_size`` it wants.
@@ -34,13 +33,13 @@ class HashingEncoder:
 
     A token goes to the bucket of the first 32 bits of its MD5. Each distinct
     token of a batch is hashed once and counting is one bincount over the batch,
-    so this encoder likes large batches.
+    so this encoder likes large batches: as many texts as ``COUNT_BYTES`` of counts
+    allow.
     """
 
-    batch_size = 8192
-
     def __init__(self, dim: int):
         self.dim = dim
+        self.batch_size = max(1, min(MAX_ROWS, COUNT_BYTES // (8 * dim)))
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         tokens = pc.split_pattern(pc.utf8_lower(texts), " ")
@@ -54,29 +53,10 @@ class HashingEncoder:
         return counts.reshape(len(texts), self.dim).astype(np.float32)
 
 
-class SentenceEncoder:
-    """A sentence-transformers model, loaded where the task runs."""
-
-    def __init__(self, model: str = DEFAULT_MODEL, batch_size: int = ENCODER_BATCH_SIZE):
-        from sentence_transformers import SentenceTransformer  # optional dependency
-
-        self._model = SentenceTransformer(model)
-        self.batch_size = batch_size
-
-    def __call__(self, texts: pa.Array) -> np.ndarray:
-        return np.asarray(self._model.encode(texts.to_pylist()), dtype=np.float32)
-
-
 def hashing_encoder(dim: int) -> Callable[[], Encoder]:
     return partial(HashingEncoder, dim)
 
 
-def sentence_encoder(
-    model: str = DEFAULT_MODEL, batch_size: int = ENCODER_BATCH_SIZE
-) -> Callable[[], Encoder]:
-    return partial(SentenceEncoder, model, batch_size)
-
-
 def _float_lists(matrix: np.ndarray) -> pa.Array:
     rows, dim = matrix.shape
     offsets = np.arange(0, (rows + 1) * dim, dim, dtype=np.int32)
@@ -88,15 +68,13 @@ def _pieces(texts: pa.Array, max_rows: int) -> Iterator[tuple[int, int]]:
 
     A slice always holds at least one whole text, however long.
     """
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-    start, held = 0, 0
-    for at, size in enumerate(sizes):
-        if at > start and (at - start == max_rows or held + size > MAX_PIECE_BYTES):
-            yield start, at - start
-            start, held = at, 0
-        held += size
-    if len(sizes) > start:
-        yield start, len(sizes) - start
+    sums = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    start = 0
+    while start < len(texts):
+        fits = int(np.searchsorted(sums, sums[start] + MAX_PIECE_BYTES, "right")) - 1
+        end = min(max(fits, start + 1), start + max_rows, len(texts))
+        yield start, end - start
+        start = end
 
 
 def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder]) -> DataFrame:
@@ -134,9 +112,16 @@ def embedding_input(papers: DataFrame) -> DataFrame:
     )
 
 
-def build_points(papers: DataFrame, make_encoder: Callable[[], Encoder]) -> DataFrame:
-    """Vector points of all given papers: ``id, vector, payload`` and the partition columns."""
-    rows = spread_if_narrow(embedding_input(papers), "id")
+def build_points(
+    papers: DataFrame, make_encoder: Callable[[], Encoder], partitions: int | None = None
+) -> DataFrame:
+    """Vector points of all given papers: ``id, vector, payload`` and the partition columns.
+
+    ``partitions`` spreads the texts over that many tasks first, for inputs of few files.
+    """
+    rows = embedding_input(papers)
+    if partitions is not None:
+        rows = rows.repartition(partitions, "id")
     points = embed(rows, "text", make_encoder)
     return points.select(*schema.points_schema().names)
 

@@ -45,23 +45,3 @@ def matched_rows(target: DataFrame, staging: DataFrame) -> DataFrame:
 def inserted_rows(target: DataFrame, staging: DataFrame) -> DataFrame:
     """Only the rows the upsert adds."""
     return staging.join(target.select(*_KEYS), _KEYS, "left_anti").select(*schema.MASTER_TABLE_COLUMNS)
-
-
-def in_partitions_of(target: DataFrame, touched: DataFrame) -> DataFrame:
-    """Target rows in the date partitions that occur in ``touched``."""
-    return target.join(touched, list(schema.PARTITION_COLUMNS), "left_semi")
-
-
-def merge_statement(target_table: str, staging_view: str) -> str:
-    """The same upsert as SQL, for catalogs whose tables support row-level MERGE."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in _KEYS)
-    updates = [
-        f"t.{c} = s.{c}" if c == "ingestion_timestamp" else f"t.{c} = coalesce(s.{c}, t.{c})"
-        for c in schema.MASTER_TABLE_COLUMNS
-        if c not in _KEYS
-    ]
-    return (
-        f"MERGE INTO {target_table} t USING {staging_view} s ON {on} "
-        f"WHEN MATCHED THEN UPDATE SET {', '.join(updates)} "
-        "WHEN NOT MATCHED THEN INSERT *"
-    )

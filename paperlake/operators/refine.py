@@ -50,16 +50,17 @@ def add_partition_columns(df: DataFrame) -> DataFrame:
 
 
 def add_record_hash(df: DataFrame) -> DataFrame:
-    """Fingerprint of everything a record says, its ingestion stamp aside."""
-    return df.withColumn("record_hash", record_hash(*map(F.col, schema.MASTER_COLUMNS)))
+    """Fingerprint of what a record says; neither stamps nor the run that fetched it count."""
+    return df.withColumn("record_hash", record_hash(*map(F.col, schema.CONTENT_COLUMNS)))
 
 
 def to_records(papers: DataFrame, stamp: Column | None = None) -> DataFrame:
-    """Refined papers as raw-table rows: fingerprint, date partition, one stamp per batch."""
+    """Refined papers as raw-table rows: fingerprint, date partition, landing stamp, one stamp per batch."""
     batch_stamp = F.current_timestamp() if stamp is None else stamp
     return (
         papers.transform(add_partition_columns)
         .transform(add_record_hash)
+        .withColumn("landed_at", F.col("ingestion_timestamp"))
         .withColumn("ingestion_timestamp", batch_stamp)
     )
 

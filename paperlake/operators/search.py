@@ -3,30 +3,31 @@
 No pair of query and vector becomes a row. Each task scores its vectors against
 the queries with a matrix product, keeps its k best per query, and only those
 reach the final ranking. The final order is score descending, then id ascending.
+
+``top_k`` ships the queries to every task and refuses sets above a size;
+``top_k_blocks`` scores blocks against blocks, for query sets of any size. The
+caller chooses.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperlake.settings import TOP_K
 
-# Queries up to this many travel to every task: at 4096 dimensions in double that
-# is 64 MB. More queries take the block path.
-MAX_SHIPPED_QUERIES = 2_000
-# Rows per block side on the block path.
-BLOCK_ROWS = 20_000
+# Bytes of query vectors, in double, that ``top_k`` ships.
+MAX_SHIPPED_BYTES = 64 * 1024 * 1024
 # Score cells a task holds at once.
 _SCORE_CELLS = 4_000_000
 SCORE_DECIMALS = 6
+# Per-task winners of a query are first ranked in this many parts.
+MERGE_PARTS = 64
 
 
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -36,14 +37,10 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(wide, norms, out=np.zeros_like(wide), where=norms > 0)
 
 
-def query_matrix(rows: Sequence[Row]) -> np.ndarray:
-    """The vectors of the given queries as unit rows."""
-    return unit_rows(np.array([r["vector"] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 0))
-
-
-def list_matrix(lists: pa.Array) -> np.ndarray:
+def list_matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A list column without nulls as a matrix."""
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+    flat = pa.concat_arrays([c.flatten() for c in getattr(lists, "chunks", [lists])] or [pa.array([], pa.float64())])
+    return flat.to_numpy(zero_copy_only=False).reshape(len(lists), -1 if len(lists) else 0)
 
 
 def scores_of(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -60,25 +57,37 @@ def best_positions(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
 
 
+def id_values(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Ids as objects that compare as their type does."""
+    out = np.empty(len(ids), dtype=object)
+    out[:] = ids.to_pylist()
+    return out
+
+
 class RunningTopK:
     """The k best (id, score) pairs seen so far for each query of a task."""
 
-    def __init__(self, k: int, floors: np.ndarray):
+    def __init__(self, k: int, n_queries: int):
         self._k = k
         # Score below which a row cannot enter a query's best k.
-        self._floors = floors
+        self._floors = np.full(n_queries, -np.inf)
         self._best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def add(self, ids: np.ndarray, scores: np.ndarray, queries: np.ndarray) -> None:
-        """Take in a block of scores: one row per id, one column per listed query.
+    def add(self, ids: pa.Array, scores: np.ndarray, first_query: int = 0) -> None:
+        """Take in a block of scores: one row per id, one column per query from ``first_query``.
 
-        One comparison over the block finds the few rows that can still matter,
-        so the per-query work fades as the floors rise.
+        One comparison over the block finds the few rows that can still matter, and
+        only their ids are taken out of the column.
         """
-        column, row = np.nonzero((scores >= self._floors[queries]).T)
+        floors = self._floors[first_query : first_query + scores.shape[1]]
+        column, row = np.nonzero((scores >= floors).T)
+        if not len(column):
+            return
+        rows, place = np.unique(row, return_inverse=True)
+        values = id_values(ids.take(pa.array(rows)))
         edges = np.flatnonzero(np.diff(column)) + 1
-        for rows, at in zip(np.split(row, edges), column[np.r_[0, edges]] if len(column) else ()):
-            self._keep(int(queries[at]), ids[rows], scores[rows, at])
+        for part, at in zip(np.split(np.arange(len(row)), edges), column[np.r_[0, edges]]):
+            self._keep(first_query + int(at), values[place[part]], scores[row[part], at])
 
     def _keep(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
         if query in self._best:
@@ -89,154 +98,103 @@ class RunningTopK:
         if len(order) == self._k:
             self._floors[query] = scores[order[-1]]
 
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self._best:
-            return np.empty(0, dtype=np.int64), np.empty(0), np.empty(0)
-        at = np.concatenate([np.full(len(s), q) for q, (_, s) in self._best.items()])
-        ids = np.concatenate([i for i, _ in self._best.values()])
-        return at, ids, np.concatenate([s for _, s in self._best.values()])
+    def table(self, query_ids: pa.Array | pa.ChunkedArray, id_type: pa.DataType) -> pa.Table:
+        queries = [q for q, (ids, _) in self._best.items() for _ in ids]
+        ids = [i for found, _ in self._best.values() for i in found]
+        scores = np.concatenate([np.empty(0), *(s for _, s in self._best.values())])
+        return pa.table(
+            {"query_id": query_ids.take(pa.array(queries, pa.int64())), "id": pa.array(ids, id_type), "score": scores}
+        )
 
 
 def rank(candidates: DataFrame, k: int) -> DataFrame:
-    """Final ranking of per-task winners; Spark trims to k per query before the shuffle."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return (
-        candidates.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "id", "score", "rank")
-    )
+    """Final ranking of per-task winners, in parts first, so that no task ranks all of a query's.
+
+    Spark trims to k rows per group before each shuffle.
+    """
+    part = candidates.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(MERGE_PARTS)))
+    for keys in (["query_id", "_part"], ["query_id"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc("id"))
+        part = part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return part.select("query_id", "id", "score", "rank")
 
 
-def shipped_queries(queries: DataFrame, limit: int = MAX_SHIPPED_QUERIES) -> list[Row] | None:
-    """The queries as rows when there are at most ``limit``, else None. Starts one small job."""
-    rows = queries.filter("vector is not null").select("query_id", "vector").limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+def _usable(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, "vector").filter(F.col(key).isNotNull() & F.col("vector").isNotNull())
 
 
-def _candidate_schema(vectors: DataFrame, query_id: T.DataType) -> T.StructType:
+def _candidate_schema(vectors: DataFrame, queries: DataFrame) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("query_id", query_id),
+            T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField("id", vectors.schema["id"].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
 
 
-def partial_top_k(
-    vectors: DataFrame,
-    rows: Sequence[Row],
-    query_id: T.DataType,
-    k: int,
-    queries_of_cell: Mapping[int, Sequence[int]] | None = None,
-    floors: Sequence[float] | None = None,
-) -> DataFrame:
-    """Each task's k best vectors per query, in one pass over the vectors.
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``query_id, id, score, rank`` of the k nearest vectors of each query, exactly.
 
-    With ``queries_of_cell``, a vector is scored only against the queries listed
-    for its ``cell``. ``floors`` gives, per query, a score k vectors are known to
-    reach; lower ones are not worth sending on.
+    ``vectors`` has ``id`` and ``vector``; ``queries`` has ``query_id`` and ``vector``;
+    ids may be of any type that orders, and rows with a null id or vector are left out.
+    The queries are written to every task; their size is checked first, and a set above
+    ``MAX_SHIPPED_BYTES`` is refused: use ``top_k_blocks``. Filter ``vectors`` beforehand
+    to search within a payload condition.
     """
-    keys = [r["query_id"] for r in rows]
-    matrix = query_matrix(rows)
-    columns = ["id", "vector"] if queries_of_cell is None else ["id", "vector", "cell"]
-    out = _candidate_schema(vectors, query_id)
+    asked = _usable(queries, "query_id")
+    held = asked.agg(F.coalesce(F.sum(8 * F.size("vector")), F.lit(0))).first()[0]
+    if held > MAX_SHIPPED_BYTES:
+        raise ValueError(f"{held} bytes of query vectors are too many to ship; use top_k_blocks")
+    shipped = asked.toArrow()
+    keys, matrix = shipped.column("query_id").combine_chunks(), unit_rows(list_matrix(shipped.column("vector")))
     step = max(1, _SCORE_CELLS // max(1, len(keys)))
 
-    def groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if queries_of_cell is None:
-            yield np.arange(batch.num_rows), np.arange(len(keys))
-            return
-        cells = batch.column("cell").to_numpy()
-        for cell in np.unique(cells):
-            wanted = queries_of_cell.get(int(cell), ())
-            if len(wanted):
-                yield np.flatnonzero(cells == cell), np.array(wanted)
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lowest = np.full(len(keys), -np.inf) if floors is None else np.array(floors, dtype=float)
-        best = RunningTopK(k, lowest)
+        best, kind = RunningTopK(k, len(keys)), None
         for batch in batches:
-            if not batch.num_rows or not keys:
-                continue
-            ids = np.array(batch.column("id").to_pylist())
-            units = unit_rows(list_matrix(batch.column("vector")))
-            for members, wanted in groups(batch):
-                for start in range(0, len(members), step):
-                    part = members[start : start + step]
-                    best.add(ids[part], scores_of(units[part], matrix[wanted]), wanted)
-        at, ids, scores = best.rows()
-        yield pa.RecordBatch.from_pydict(
-            {"query_id": [keys[q] for q in at], "id": ids.tolist(), "score": scores},
-            schema=pa.schema(
-                [(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in out]
-            ),
-        )
-
-    return vectors.filter("vector is not null").select(*columns).mapInArrow(search, out)
-
+            kind = batch.schema.field("id").type
+            for start in range(0, batch.num_rows if len(keys) else 0, step):
+                part = batch.slice(start, step)
+                best.add(part.column("id"), scores_of(unit_rows(list_matrix(part.column("vector"))), matrix))
+        if kind is not None:
+            yield from best.table(keys, kind).to_batches()
 
-_ARROW_TYPES = {
-    "string": pa.string(),
-    "bigint": pa.int64(),
-    "int": pa.int32(),
-    "double": pa.float64(),
-}
+    return rank(_usable(vectors, "id").mapInArrow(search, _candidate_schema(vectors, queries)), k)
 
 
-def block_top_k(
+def top_k_blocks(
     vectors: DataFrame, queries: DataFrame, k: int, vector_blocks: int, query_blocks: int
 ) -> DataFrame:
-    """The k best vectors per query within each block, for query sets too large to ship.
-
-    Vectors and queries are cut into blocks by hash and every pair of blocks is
-    scored by one task, which holds one block of each side and emits k rows per
-    query. Work is the product of both sides, as any exact search of this kind.
+    """The same result for query sets of any size.
+
+    Vectors and queries are dealt into blocks and every pair of blocks is scored by
+    one task, which holds one block of each side and emits k rows per query. Work is
+    the product of both sides, as in any exact search of this kind; a vector travels
+    ``query_blocks`` times, a query ``vector_blocks`` times. Choose the numbers so that a
+    block has some 100 MB: rows x dimension x 8 bytes / blocks. The row's place in its
+    partition takes part in the dealing, so equal points spread over all blocks.
     """
 
     def blocked(df: DataFrame, key: str, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.filter("vector is not null").select(
-            key,
-            "vector",
-            # The vector joins the hash, so a repeated key does not fill one block.
-            F.pmod(F.xxhash64(key, "vector"), F.lit(own_n)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).alias(other),
-        )
+        block = F.pmod(F.xxhash64(key, "vector", F.monotonically_increasing_id()), F.lit(own_n))
+        # The block is settled before the row is copied to the other side's blocks.
+        dealt = _usable(df, key).withColumn(own, block.cast("int"))
+        return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))))
 
     v = blocked(vectors, "id", "vector_block", vector_blocks, "query_block", query_blocks)
     q = blocked(queries, "query_id", "query_block", query_blocks, "vector_block", vector_blocks)
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        best = RunningTopK(k, np.full(len(right), -np.inf))
-        if len(left) and len(right):
-            ids = np.array(left["id"].tolist())
-            units = unit_rows(np.stack(left["vector"].to_numpy()))
-            for start in range(0, len(right), 200):
-                part = right["vector"].iloc[start : start + 200]
-                scores = scores_of(units, unit_rows(np.stack(part.to_numpy())))
-                best.add(ids, scores, np.arange(start, start + len(part)))
-        at, ids, scores = best.rows()
-        return pd.DataFrame(
-            {"query_id": right["query_id"].to_numpy()[at], "id": ids, "score": scores}
-        )
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        best, ids = RunningTopK(k, right.num_rows), left.column("id").combine_chunks()
+        if left.num_rows and right.num_rows:
+            units = unit_rows(list_matrix(left.column("vector")))
+            step = max(1, _SCORE_CELLS // left.num_rows)
+            for start in range(0, right.num_rows, step):
+                part = right.column("vector").slice(start, step)
+                best.add(ids, scores_of(units, unit_rows(list_matrix(part))), start)
+        return best.table(right.column("query_id").combine_chunks(), left.schema.field("id").type)
 
     keys = ["vector_block", "query_block"]
-    out = _candidate_schema(vectors, queries.schema["query_id"].dataType)
-    return v.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(score, out)
-
-
-def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, max_shipped: int = MAX_SHIPPED_QUERIES
-) -> DataFrame:
-    """``query_id, id, score, rank`` of the k nearest vectors of each query, exactly.
-
-    ``vectors`` has ``id`` and ``vector``; ``queries`` has ``query_id`` and
-    ``vector``. Counting the queries starts one small job. Filter ``vectors``
-    beforehand to search within a payload condition.
-    """
-    rows = shipped_queries(queries, max_shipped)
-    if rows is None:
-        vector_blocks = math.ceil(vectors.count() / BLOCK_ROWS) or 1
-        query_blocks = math.ceil(queries.count() / BLOCK_ROWS) or 1
-        return rank(block_top_k(vectors, queries, k, vector_blocks, query_blocks), k)
-    return rank(partial_top_k(vectors, rows, queries.schema["query_id"].dataType, k), k)
+    schema = _candidate_schema(vectors, queries)
+    return rank(v.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(score, schema), k)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,9 +17,9 @@ from paperlake import schema
 from paperlake.functions.dates import partition_within_lookback
 from paperlake.operators.dedup import best_per_key
 from paperlake.operators.embed import Encoder, build_points, hashing_encoder
-from paperlake.operators.refine import recent, refine, to_records
+from paperlake.operators.refine import recent
 from paperlake.plans.tables import (
-    append_new_records,
+    only_touched,
     replace_all,
     replace_dates,
     upsert_by_date,
@@ -29,20 +30,24 @@ from paperlake.sources.records import (
     prepare_records,
     read_records,
     table_or_none,
-    to_papers,
     union_papers,
     write_records,
 )
-from paperlake.streaming.landing import ingest_new_files
+from paperlake.streaming.landing import append_refined, ingest_new_files
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class SourceStatus:
+    """How a source came through the refinement: rows read, kept by the rules and newly stored."""
+
     source: str
     state: str  # loaded, disabled, empty or failed
     detail: str = ""
+    rows_read: int = 0
+    rows_kept: int = 0
+    rows_stored: int = 0
 
 
 def land_records(
@@ -63,48 +68,55 @@ def land_records(
         list(pool.map(one, records))
 
 
-def load_source(spark: SparkSession, settings: LakeSettings, source: Source) -> DataFrame:
-    """Refined papers of one source, straight from its landed files."""
-    raw = read_records(spark, settings.landing_path(source.name), source.format)
-    return refine(to_papers(raw, source.name), settings)
-
-
 def refine_sources(
     spark: SparkSession,
     settings: LakeSettings,
     stamp: Column | None = None,
-    incremental: bool = False,
+    incremental: bool = True,
 ) -> list[SourceStatus]:
     """Append every enabled source's new papers to its raw table.
 
     A source that cannot be read or written is reported and skipped; the others
-    go on. ``incremental`` reads only files landed since the last incremental run
-    instead of comparing everything landed with everything stored.
+    go on. By default only files landed since the last run are read; otherwise
+    everything landed is compared with everything stored. All sources of a run get
+    one stamp.
     """
+    stamp = F.lit(dt.datetime.now(dt.timezone.utc)) if stamp is None else stamp
 
     def one(source: Source) -> SourceStatus:
         if not source.enabled:
             return SourceStatus(source.name, "disabled")
         try:
+            before = _stored_rows(spark, settings, source)
             if incremental:
-                ingest_new_files(spark, settings, source, settings.checkpoint_path(source.name), stamp)
+                done = ingest_new_files(spark, settings, source, settings.checkpoint_path(source.name), stamp)
             else:
-                fresh = to_records(load_source(spark, settings, source), stamp)
-                append_new_records(spark, fresh, settings.raw_table_path(source.name))
-            return _written(spark, settings, source)
+                raw = read_records(spark, settings.landing_path(source.name), source.format)
+                done = append_refined(spark, settings, source, raw, stamp, prune=False)
+            after = _stored_rows(spark, settings, source)
+            state = "loaded" if after else "empty"
+            return SourceStatus(source.name, state, "", done.read, done.kept, after - before)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return SourceStatus(source.name, "empty", "nothing was ever landed")
+            return _failed(source, error)
         except Exception as error:  # any failure of one source must not stop the rest
-            log.exception("source %s failed", source.name)
-            return SourceStatus(source.name, "failed", f"{type(error).__name__}: {error}"[:500])
+            return _failed(source, error)
 
     # The sources' jobs are independent; submitted together they fill the cluster.
     with ThreadPoolExecutor(len(settings.sources)) as pool:
         return list(pool.map(one, settings.sources))
 
 
-def _written(spark: SparkSession, settings: LakeSettings, source: Source) -> SourceStatus:
+def _failed(source: Source, error: Exception) -> SourceStatus:
+    log.error("source %s failed", source.name, exc_info=error)
+    return SourceStatus(source.name, "failed", f"{type(error).__name__}: {error}")
+
+
+def _stored_rows(spark: SparkSession, settings: LakeSettings, source: Source) -> int:
+    """Rows of a raw table, which the file footers tell."""
     stored = table_or_none(spark, settings.raw_table_path(source.name), schema.raw_table_schema())
-    empty = stored is None or stored.isEmpty()
-    return SourceStatus(source.name, "empty" if empty else "loaded")
+    return 0 if stored is None else stored.count()
 
 
 def recent_papers(
@@ -112,8 +124,8 @@ def recent_papers(
 ) -> DataFrame:
     """Papers of the given sources inside the lookback window.
 
-    They come from the raw tables, which hold cleaned rows by date: the window
-    prunes partitions at listing time and nothing is cleaned twice.
+    They come from the raw tables, which hold cleaned rows by date: files of older
+    partitions are listed but not read, and nothing is cleaned twice.
     """
     days = settings.lookback_days
     frames = [
@@ -128,7 +140,7 @@ def recent_papers(
 def stage_papers(papers: DataFrame, settings: LakeSettings, stamp: Column | None = None) -> DataFrame:
     """One row per id in master columns, stamped with one ingestion time."""
     stamp = F.current_timestamp() if stamp is None else stamp
-    best = best_per_key(papers, settings.sources, schema.MERGE_KEYS)
+    best = best_per_key(papers, settings.sources)
     return best.withColumn("ingestion_timestamp", stamp).select(*schema.MASTER_TABLE_COLUMNS)
 
 
@@ -137,9 +149,10 @@ def refine_stage(
     settings: LakeSettings,
     as_of: dt.date | None = None,
     stamp: Column | None = None,
-    incremental: bool = False,
+    incremental: bool = True,
 ) -> list[SourceStatus]:
     """Landed files to raw tables, then the recent papers into the master table."""
+    stamp = F.lit(dt.datetime.now(dt.timezone.utc)) if stamp is None else stamp
     report = refine_sources(spark, settings, stamp, incremental)
     loaded = [s.source for s in report if s.state == "loaded"]
     if loaded:
@@ -154,23 +167,23 @@ def vector_stage(
     spark: SparkSession,
     settings: LakeSettings,
     make_encoder: Callable[[], Encoder] | None = None,
-    since: dt.date | None = None,
+    touched: DataFrame | None = None,
 ) -> None:
     """Encode the master table into the vector table.
 
-    Without ``since`` the whole table is replaced. With it, only the date
-    partitions from that date on are encoded and replaced, which is what an
-    upsert of recent papers needs.
+    Without ``touched`` the whole table is replaced. With it, only the date partitions
+    that occur in its rows (year, month, day) are encoded and replaced, which is what
+    an upsert of those papers needs.
     """
     master = table_or_none(spark, settings.master_path, schema.master_schema())
     if master is None:
         log.warning("no master table to encode")
         return
-    if since is not None:
-        master = master.filter(partition_within_lookback(since, 0))
+    if touched is not None:
+        master = only_touched(master, touched)
     encoder = make_encoder or hashing_encoder(settings.vector_dim)
     points = build_points(master, encoder)
-    if since is None:
+    if touched is None:
         replace_all(points, settings.vectors_path)
     else:
         replace_dates(points, settings.vectors_path)
@@ -201,19 +214,31 @@ def table_checks(raw: DataFrame, master: DataFrame, points: DataFrame) -> DataFr
     return union_papers(rows)
 
 
-def check_stage(spark: SparkSession, settings: LakeSettings) -> DataFrame:
-    """The checks over the lake's tables as stored; a missing table counts as empty."""
+def status_checks(spark: SparkSession, report: Iterable[SourceStatus]) -> DataFrame:
+    """One check per source: it did not fail. The rows say what came of it."""
+    rows = [(f"source_{s.source}", s.state != "failed", s.state, s.detail, s.rows_read, s.rows_kept, s.rows_stored) for s in report]
+    return spark.createDataFrame(
+        rows,
+        "check_name string, passed boolean, state string, detail string, rows_read long, rows_kept long, rows_stored long",
+    )
+
+
+def check_stage(
+    spark: SparkSession, settings: LakeSettings, report: Iterable[SourceStatus] | None = None
+) -> DataFrame:
+    """The checks over the lake's tables as stored, and over a run's report; a missing table counts as empty."""
 
     def stored(path: str, table_schema: StructType) -> DataFrame:
         found = table_or_none(spark, path, table_schema)
         return spark.createDataFrame([], table_schema) if found is None else found
 
     raw = [stored(settings.raw_table_path(s.name), schema.raw_table_schema()) for s in settings.enabled_sources]
-    return table_checks(
+    checks = table_checks(
         union_papers(raw),
         stored(settings.master_path, schema.master_schema()),
         stored(settings.vectors_path, schema.points_schema()),
     )
+    return checks if report is None else union_papers([status_checks(spark, report), checks])
 
 
 def run_all(
@@ -224,9 +249,20 @@ def run_all(
     run_date: dt.date,
     as_of: dt.date | None = None,
     make_encoder: Callable[[], Encoder] | None = None,
+    incremental: bool = True,
 ) -> DataFrame:
-    """All stages in order; returns the output checks."""
+    """All stages in order; returns the output checks with each source's state and row counts.
+
+    By default a run reads the files landed since the last one, restages the papers of
+    the lookback window and encodes the dates that those touch. ``incremental=False``
+    reads and encodes everything.
+    """
     land_records(spark, settings, records, bucket, run_date)
-    refine_stage(spark, settings, as_of)
-    vector_stage(spark, settings, make_encoder)
-    return check_stage(spark, settings)
+    report = refine_stage(spark, settings, as_of, incremental=incremental)
+    loaded = [s.source for s in report if s.state == "loaded"]
+    if loaded and incremental:
+        touched = recent_papers(spark, settings, loaded, as_of).select(*schema.PARTITION_COLUMNS)
+        vector_stage(spark, settings, make_encoder, touched)
+    else:
+        vector_stage(spark, settings, make_encoder)
+    return check_stage(spark, settings, report)

@@ -32,6 +32,8 @@ MASTER_COLUMNS: tuple[str, ...] = (
     *(name for name, _ in PAPER_FIELDS if name != "ingestion_timestamp"),
     "doi_valid",
 )
+# What a record says. The PDF path names the day of the run that fetched it.
+CONTENT_COLUMNS: tuple[str, ...] = tuple(c for c in MASTER_COLUMNS if c != "pdf_s3_path")
 MASTER_TABLE_COLUMNS: tuple[str, ...] = (*MASTER_COLUMNS, *PARTITION_COLUMNS, "ingestion_timestamp")
 
 # --- Fixed values: payload stored beside each vector ---
@@ -43,7 +45,7 @@ def _struct(fields: list[tuple[str, str]]) -> T.StructType:
 
 
 def raw_schema() -> T.StructType:
-    """Landed files hold text only: dates and stamps are ISO strings."""
+    """Landed records as text: dates and stamps are ISO strings."""
     return _struct([(name, "string") for name, _ in PAPER_FIELDS])
 
 
@@ -57,6 +59,7 @@ def raw_table_schema() -> T.StructType:
             *PAPER_FIELDS,
             ("doi_valid", "boolean"),
             ("record_hash", "bigint"),
+            ("landed_at", "timestamp"),
             *((c, "int") for c in PARTITION_COLUMNS),
         ]
     )

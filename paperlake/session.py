@@ -56,27 +56,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df``; starts no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Give a CPU-heavy stage one task per core when its input fills few of the cores.
-
-    Inputs of a quarter as many file splits as cores or more are left where they
-    are and pay no shuffle. Hashing a key keeps retried tasks deterministic.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return df.repartition(cores, key) if 4 * estimated_bytes(df) < cores * split else df
-
-
-def _bytes(setting: str) -> int:
-    """A size setting such as ``134217728b`` or ``128m`` in bytes."""
-    number = setting.lower().rstrip("bkmgti")
-    unit = setting.lower()[len(number) :].rstrip("ib")
-    return int(number) * 1024 ** ("kmgt".index(unit) + 1 if unit else 0)

@@ -53,12 +53,8 @@ LOOKBACK_DAYS = 7
 ENCODER_BATCH_SIZE = 128
 TOP_K = 10
 
-# Session options.
+# Session options that differ from Spark's own.
 SESSION_OPTIONS: dict[str, str] = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Recording a call site for every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,18 +28,53 @@ def _checked_format(fmt: str) -> str:
 def read_records(
     spark: SparkSession, path: str, fmt: str = "parquet", record_schema: T.StructType | None = None
 ) -> DataFrame:
-    """All record files of one format anywhere below ``path``, under a declared schema.
+    """All record files of one format anywhere below ``path``.
 
-    Landed files sit in dated subfolders, so the listing descends. Nothing is
-    inferred: a column a file lacks reads as null.
+    Landed files sit in dated subfolders, so the listing descends. With
+    ``record_schema`` files are read under it and a column a file lacks reads as null.
+    Without, columns come as text whatever their files hold: Parquet files of other
+    writers may have dates, timestamps, or a placeholder type where all values are null.
     """
-    return (
-        spark.read.format(_checked_format(fmt))
-        .schema(record_schema or schema.raw_schema())
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*.{fmt}")
-        .load(path)
-    )
+    if record_schema is None and _checked_format(fmt) == "parquet":
+        return read_typed_files(spark, _files(spark, path, "parquet"))
+    return _reader(spark, fmt, record_schema or schema.raw_schema()).load(path)
+
+
+def _reader(spark: SparkSession, fmt: str, record_schema: T.StructType) -> DataFrameReader:
+    reader = spark.read.format(_checked_format(fmt)).schema(record_schema)
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
+
+
+def _files(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", f"*.{fmt}").load(path)
+
+
+def read_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
+    """The given record files, columns as text."""
+    if fmt == "parquet":
+        return read_typed_files(spark, _files(spark, paths, fmt))
+    return _reader(spark, fmt, schema.raw_schema()).load(paths)
+
+
+def read_typed_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Parquet files (path, content) of any column types, columns as text.
+
+    Tasks read the footers. Files of one schema are scanned together under it and
+    each scan is cast to text; the driver sees one row per schema with its file names,
+    which a scan needs there anyway.
+    """
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [str(pq.read_schema(pa.BufferReader(c.as_buffer())).remove_metadata()) for c in batch.column("content")]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(kinds, pa.string())], ["path", "kind"])
+
+    found = files.select("path", "content").mapInArrow(footers, "path string, kind string")
+    groups = found.groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("kind").collect()
+    if not groups:
+        return spark.createDataFrame([], schema.raw_schema())
+    return union_papers([conform(spark.read.parquet(*g["paths"])) for g in groups])
 
 
 def write_records(df: DataFrame, path: str, run_date: dt.date, fmt: str = "parquet") -> None:

@@ -7,42 +7,71 @@ already read in a stream checkpoint, so a run costs only what is new.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperlake import schema
+from paperlake.operators.quality import quality_report
 from paperlake.operators.refine import refine, to_records
 from paperlake.plans.tables import append_new_records
 from paperlake.settings import LakeSettings, Source
-from paperlake.sources.records import to_papers
+from paperlake.sources.records import read_files, to_papers
+
+
+@dataclass
+class Ingested:
+    """Records read and records kept by the rules."""
+
+    read: int = 0
+    kept: int = 0
 
 
 def landing_stream(spark: SparkSession, settings: LakeSettings, source: Source) -> DataFrame:
+    """The names of landed files; their content is not read here."""
     return (
-        spark.readStream.format(source.format)
-        .schema(schema.raw_schema())
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{source.format}")
         .load(settings.landing_path(source.name))
+        .select("path")
     )
 
 
+def append_refined(
+    spark: SparkSession, settings: LakeSettings, source: Source, raw: DataFrame, stamp: Column | None, prune: bool
+) -> Ingested:
+    """Refine raw records and append the new ones to the source's raw table."""
+    papers = to_papers(raw, source.name)
+    kept = refine(papers, settings)
+    append_new_records(spark, to_records(kept, stamp), settings.raw_table_path(source.name), prune)
+    # One pass over the titles.
+    counts = quality_report(papers, settings.min_title_length).agg(F.sum("rows_in"), F.sum("rows_kept")).first()
+    return Ingested(*(n or 0 for n in counts))
+
+
 def ingest_new_files(
     spark: SparkSession,
     settings: LakeSettings,
     source: Source,
     checkpoint: str,
     stamp: Column | None = None,
-) -> None:
+) -> Ingested:
     """Refine the files landed since the last call and append them to the raw table.
 
     Returns when all of them are in. A batch that is retried after a failure
     finds its records already stored and appends nothing.
     """
+    total = Ingested()
 
     def append(batch: DataFrame, _batch_id: int) -> None:
-        records = to_records(refine(to_papers(batch, source.name), settings), stamp)
-        path = settings.raw_table_path(source.name)
-        append_new_records(batch.sparkSession, records, path, prune=True)
+        paths = [r["path"] for r in batch.collect()]
+        if paths:
+            own = batch.sparkSession
+            done = append_refined(own, settings, source, read_files(own, paths, source.format), stamp, prune=True)
+            total.read += done.read
+            total.kept += done.kept
 
     query = (
         landing_stream(spark, settings, source)
@@ -52,3 +81,4 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    return total

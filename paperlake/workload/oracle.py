@@ -16,10 +16,6 @@ _MASTER = (
     "id, doi, title, authors, abstract, full_text, journal, publication_date, keywords, "
     "pdf_url, pdf_s3_path, source, doi_valid"
 )
-# Spark sorts nulls first.
-_TIES = ", ".join(
-    f"{c} nulls first" for c in "title doi authors abstract full_text journal keywords pdf_url".split()
-)
 _DATED = (
     "cast(year(publication_date) as integer) as year, cast(month(publication_date) as integer) as month, "
     "cast(day(publication_date) as integer) as day"
@@ -140,11 +136,45 @@ _VECTOR_TOPK = _CENTERS + """, scores as (
   select query_id, id, score, cast(row_number() over w as integer) as rank
   from scores window w as (partition by query_id order by score desc, id) qualify rank <= 10"""
 
-_PDF_PATH = (
-    "case when pdf_url <> '' then 's3://papers-bucket/raw_pdfs/' || source || '/2024/03/01/' || id || '.pdf' end"
+
+
+def _pdf_path(day: str) -> str:
+    return f"case when pdf_url <> '' then 's3://papers-bucket/raw_pdfs/' || source || '/' || {day} || '/' || id || '.pdf' end"
+
+
+_PDF_PATH = _pdf_path("'2024/03/01'")
+
+# What a record says, without the path that names the day it was fetched.
+_CONTENT = [c for c in _MASTER.split(", ") if c != "pdf_s3_path"]
+_RECORD_HASH = "cast('0x' || substr(md5({}), 1, 15) as bigint)".format(
+    " || ',' || ".join(f"coalesce(md5(cast({c} as varchar)), '-')" for c in _CONTENT)
+)
+
+# Edition 1 lands on day 0, edition 0 on day 1; a record that was there before is not stored again.
+_VERSIONS = (
+    _WITH
+    + f""", landed as (
+        select * exclude (doc_id), 0 as landing from refined_1
+        union all select * exclude (doc_id), 1 from refined),
+      named as (
+        select * replace ({_pdf_path("case landing when 0 then '2024/02/29' else '2024/03/01' end")} as pdf_s3_path)
+        from landed where source in {_ENABLED}),
+      hashed as (select *, {_RECORD_HASH} as record_hash from named),
+      raw as (
+        select * from hashed
+        qualify row_number() over (partition by id, source, record_hash order by landing) = 1)
+"""
 )
 
 
+def _latest(relation: str) -> str:
+    """Per id the best source, then the latest landing, then the record hash."""
+    return f"""
+      select * from {relation}
+      qualify row_number() over (
+        partition by id order by list_position({_PROVIDERS}, source), landing desc, record_hash) = 1"""
+
+
 def _points(relation: str) -> str:
     counts = _counts(f"select id, {_EMBED_TEXT} as text from {relation}", "id")
     return f"select c.id, doi, source, bucket, n from ({counts}) c join {relation} using (id)"
@@ -155,7 +185,10 @@ def oracle_sql() -> dict[str, str]:
     merged = _WITH + f"select {_MASTER}, year, month, day, ingestion_timestamp from merged"
     upsert_source = f"from staging s join master m on {_KEYS}"
     return {
-        "scan_parquet": "select doc_id, text, lang, cast(null as varchar) as doi, n_chars from documents",
+        "scan_parquet": "select doc_id, text, lang, source, cast(null as varchar) as doi, n_chars from documents",
+        "scan_typed_parquet": _WITH
+        + f"""select {_MASTER.removesuffix(', doi_valid')},
+            case when doc_id % 3 = 1 then '2024-02-01 00:00:00' end as ingestion_timestamp from papers""",
         "scan_json_roundtrip": landed,
         "scan_parquet_roundtrip": landed,
         "raw_table_roundtrip": _raw_table("refined", "refined_1"),
@@ -184,12 +217,12 @@ def oracle_sql() -> dict[str, str]:
         "union_sources": """
           with united as (
             select doc_id::varchar as id, text as full_text, lang as authors, source as journal,
-              null as pdf_url, 'arxiv' as source from documents
-            union all select page_id::varchar, html, null, null, url, 'pubmed' from pages
-            union all select item_id::varchar, text, null, null, null, 'ieee' from benchmark
-            union all select conv_id::varchar, text, role, null, null, 'acm' from conversations)
+              null as pdf_url, null as keywords, 'arxiv' as source from documents
+            union all select page_id::varchar, html, null, null, url, null, 'pubmed' from pages
+            union all select item_id::varchar, text, null, null, null, null, 'ieee' from benchmark
+            union all select conv_id::varchar, text, role, null, null, turn::varchar, 'acm' from conversations)
           select id, null::varchar as doi, null::varchar as title, authors, null::varchar as abstract, full_text,
-            journal, null::varchar as publication_date, null::varchar as keywords, pdf_url::varchar as pdf_url,
+            journal, null::varchar as publication_date, keywords::varchar as keywords, pdf_url::varchar as pdf_url,
             null::varchar as pdf_s3_path, source, null::varchar as ingestion_timestamp
           from united""",
         "dedup_papers": _WITH
@@ -220,18 +253,28 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter ({_VALID_DOI} and not doi_valid) as stale_flags
           from merged group by source""",
         "output_checks": _WITH
-        + """select 'raw_data_found' as check_name, count(*) > 0 as passed from papers
-          union all select 'master_found', count(*) > 0 from merged
-          union all select 'vectors_found', count(*) > 0 from master
-          union all select 'master_ids_unique', count(*) = count(distinct id) from merged
+        + f"""select 'raw_data_found' as check_name, count(*) > 0 as passed, null::bigint as rows_read from papers
+          union all select 'master_found', count(*) > 0, null from merged
+          union all select 'vectors_found', count(*) > 0, null from master
+          union all select 'master_ids_unique', count(*) = count(distinct id), null from merged
           union all select 'vectors_complete',
-            count(*) filter (id not in (select id from master)) = 0 from merged""",
-        "full_run": _WITH
-        + f""", located as (select * replace ({_PDF_PATH} as pdf_s3_path) from refined
-            where source in {_ENABLED} and publication_date >= date '2024-03-01' - 30)
-          select {_MASTER}, year, month, day from located
-          qualify row_number() over (
-            partition by id order by list_position({_PROVIDERS}, source), {_TIES}) = 1""",
+            count(*) filter (id not in (select id from master)) = 0, null from merged
+          union all select 'source_' || source, source <> 'ieee', count(*) from papers
+            where source in {_ENABLED} group by source""",
+        "full_run": _VERSIONS
+        + f""", first as (select * from raw where landing = 0 and publication_date >= date '2024-03-01' - 30),
+            second as (select * from raw where publication_date >= date '2024-03-01' - 30),
+            m as ({_latest('first')}), s as ({_latest('second')})
+          select {_MERGED_COLUMNS} from m full join s on {_KEYS}""",
+        "latest_version": _VERSIONS
+        + f""", wanted as (select * from raw where publication_date >= date '2024-03-01' - 60)
+          select {_MASTER}, year, month, day from ({_latest('wanted')})""",
+        "raw_refetch": _WITH
+        + f""", fetched as (
+            select * replace ({_pdf_path("'2024/02/28'")} as pdf_s3_path), {_RECORD_HASH} as record_hash
+            from refined where source in {_ENABLED})
+          select {_MASTER}, record_hash, '2024-02-28' as landed_at, year, month, day from fetched
+          group by all""",
         "embed_text": _WITH + f"select doc_id, {_EMBED_TEXT} as text from refined",
         "embed_payload": _WITH
         + f"select id, title, authors, publication_date, doi, source, {_EMBED_TEXT} as text from staging",
@@ -252,7 +295,6 @@ def oracle_sql() -> dict[str, str]:
           from embeddings join centers on label = query_id""",
         "vector_topk": _VECTOR_TOPK,
         "vector_topk_blocks": _VECTOR_TOPK,
-        "vector_ann": _VECTOR_TOPK,
         "paper_search": _search("select * from staging"),
         "vector_topk_filtered": _search(
             f"select * from staging where source in {_ENABLED} and publication_date >= date '2024-03-01' - 30"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -12,12 +13,12 @@ from pyspark.sql import functions as F
 
 from paperlake import schema
 from paperlake.functions.identity import paper_id, pdf_object_path
-from paperlake.functions.text import clean_text, doi_is_valid, embedding_text, truncate
+from paperlake.functions.text import clean_text, doi_is_valid, embedding_text
 from paperlake.functions.vectors import cosine, l2_normalize
-from paperlake.operators import cells, embed, merge, quality, refine, search
+from paperlake.operators import embed, merge, quality, refine, search
 from paperlake.operators.dedup import best_per_key
 from paperlake.plans import stages, tables
-from paperlake.session import materialize, scratch_path, spread_if_narrow
+from paperlake.session import materialize, scratch_path
 from paperlake.sources import records
 from paperlake.streaming.landing import ingest_new_files
 from paperlake.workload import relations as r
@@ -49,7 +50,7 @@ def _stamped(df: DataFrame) -> DataFrame:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = "doc_id bigint, text string, lang string, doi string, n_chars bigint"
+    declared = "doc_id bigint, text string, lang string, source string, doi string, n_chars bigint"
     columns = records.T.StructType.fromDDL(declared)
     return records.read_records(spark, f"{sf_dir}/documents.parquet", "parquet", columns)
 
@@ -70,12 +71,30 @@ def scan_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir, "parquet")
 
 
+@query
+def scan_typed_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder that three writers filled: text, real dates and times, and columns that are all null."""
+    path = scratch_path(spark, "landed-typed")
+    raw = r.raw_papers(spark, sf_dir)
+    third = F.pmod("doc_id", F.lit(3))
+    typed = {
+        "publication_date": F.col("publication_date").cast("date"),
+        "ingestion_timestamp": F.lit(r.MASTER_STAMP).cast("timestamp"),
+    }
+    placeholders = {"pdf_s3_path": F.lit(None).cast("int"), "ingestion_timestamp": F.lit(None).cast("int")}
+    records.write_records(raw.filter(third == 0), path, r.AS_OF)
+    raw.filter(third == 1).drop("doc_id").withColumns(typed).write.parquet(f"{path}/typed")
+    raw.filter(third == 2).drop("doc_id").withColumns(placeholders).write.parquet(f"{path}/placeholders")
+    return _stamped(records.to_papers(records.read_records(spark, path)))
+
+
 def _records(df: DataFrame) -> DataFrame:
     return refine.to_records(df.drop("doc_id"), F.lit(r.STAGING_STAMP).cast("timestamp"))
 
 
 def _raw_table(spark: SparkSession, path: str) -> DataFrame:
-    return _stamped(spark.read.schema(schema.raw_table_schema()).parquet(path)).drop("record_hash")
+    stored = spark.read.schema(schema.raw_table_schema()).parquet(path)
+    return _stamped(stored).drop("record_hash", "landed_at")
 
 
 @query
@@ -99,6 +118,43 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_table(spark, settings.raw_table_path(source.name))
 
 
+def _landed_on(spark: SparkSession, sf_dir: str, settings, edition: int, day: dt.date) -> None:
+    """An edition as all sources land it on a day, with that day's stamp and PDF paths."""
+    raw = r.raw_papers(spark, sf_dir, edition).drop("doc_id")
+    for source in settings.sources:
+        prepared = records.prepare_records(
+            raw.filter(F.col("source") == source.name), r.BUCKET, day, F.lit(str(day)).cast("timestamp")
+        )
+        records.write_records(prepared, settings.landing_path(source.name), day, source.format)
+
+
+@query
+def raw_refetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records fetched on three days: each is one raw row, of the day it came first."""
+    settings = replace(r.SETTINGS, root=scratch_path(spark, "refetch-lake"))
+    stamp = F.lit(r.STAGING_STAMP).cast("timestamp")
+    for back in (2, 1, 0):
+        _landed_on(spark, sf_dir, settings, 0, r.AS_OF - dt.timedelta(back))
+        stages.refine_sources(spark, settings, stamp)
+    tables_ = [
+        spark.read.schema(schema.raw_table_schema()).parquet(settings.raw_table_path(s.name))
+        for s in settings.enabled_sources
+    ]
+    stored = records.union_papers(tables_).drop("ingestion_timestamp")
+    return stored.withColumn("landed_at", F.date_format("landed_at", "yyyy-MM-dd"))
+
+
+@query
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two editions landed on two days and refined in one batch: the best source's latest landing per id."""
+    settings = replace(r.SETTINGS, root=scratch_path(spark, "version-lake"), lookback_days=60)
+    for edition, back in ((1, 1), (0, 0)):
+        _landed_on(spark, sf_dir, settings, edition, r.AS_OF - dt.timedelta(back))
+    stages.refine_stage(spark, settings, r.AS_OF)
+    stored = spark.read.schema(schema.master_schema()).parquet(settings.master_path)
+    return stored.drop("ingestion_timestamp")
+
+
 @query
 def enabled_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [s.name for s in r.SETTINGS.enabled_sources]
@@ -136,11 +192,7 @@ def title_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.papers(spark, sf_dir).select(
-        "doc_id",
-        truncate(F.col("abstract"), 200).alias("abstract"),
-        truncate(F.col("full_text"), 1000).alias("full_text"),
-    )
+    return refine.truncate_long_text(r.papers(spark, sf_dir), 200, 1000).select("doc_id", "abstract", "full_text")
 
 
 @query
@@ -179,7 +231,7 @@ SOURCE_TABLES = {
     "arxiv": ("documents", {"doc_id": "id", "text": "full_text", "lang": "authors", "source": "journal"}),
     "pubmed": ("pages", {"page_id": "id", "url": "pdf_url", "html": "full_text"}),
     "ieee": ("benchmark", {"item_id": "id", "text": "full_text"}),
-    "acm": ("conversations", {"conv_id": "id", "role": "authors", "text": "full_text"}),
+    "acm": ("conversations", {"conv_id": "id", "turn": "keywords", "role": "authors", "text": "full_text"}),
 }
 
 
@@ -258,24 +310,33 @@ def stale_doi_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def output_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks over an upsert whose new papers have no vectors yet."""
-    merged = merge.merge(r.master(spark, sf_dir), r.staging(spark, sf_dir))
-    points = embed.build_points(r.master(spark, sf_dir), embed.hashing_encoder(r.DIM))
-    master_ids, point_ids = (
-        materialize(df.select("id"), label) for df, label in ((merged, "master"), (points, "points"))
-    )
-    return stages.table_checks(r.papers(spark, sf_dir), master_ids, point_ids)
+    """Checks over a lake whose master was upserted after its points were stored, and in which one source failed."""
+    path = scratch_path(spark, "points")
+    tables.replace_all(embed.build_points(r.master(spark, sf_dir), embed.hashing_encoder(r.DIM)), path)
+    points = spark.read.schema(schema.points_schema()).parquet(path)
+    merged = materialize(merge.merge(r.master(spark, sf_dir), r.staging(spark, sf_dir)).select("id"), "master")
+    counts = {c["source"]: c["n_rows"] for c in quality.source_counts(r.papers(spark, sf_dir)).collect()}
+    report = [
+        stages.SourceStatus(s.name, "failed" if s.name == "ieee" else "loaded", "", counts.get(s.name, 0))
+        for s in r.SETTINGS.enabled_sources
+    ]
+    checks = [stages.status_checks(spark, report), stages.table_checks(r.papers(spark, sf_dir), merged, points)]
+    return records.union_papers(checks).select("check_name", "passed", "rows_read")
 
 
 @query
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages into a new lake; the master table they leave."""
+    """All stages on two days into a new lake; the master table they leave.
+
+    The second day brings another edition and reads only that.
+    """
     settings = replace(r.SETTINGS, root=scratch_path(spark, "lake"), lookback_days=30)
-    raw = r.raw_papers(spark, sf_dir)
-    landed = {s.name: raw.filter(F.col("source") == s.name) for s in settings.sources}
-    checks = stages.run_all(spark, settings, landed, r.BUCKET, r.AS_OF, r.AS_OF)
-    if checks.filter(~F.col("passed")).count():
-        raise RuntimeError("an output check failed")
+    for edition, back in ((1, 1), (0, 0)):
+        raw = materialize(r.raw_papers(spark, sf_dir, edition).drop("doc_id"), "edition")
+        landed = {s.name: raw.filter(F.col("source") == s.name) for s in settings.sources}
+        checks = stages.run_all(spark, settings, landed, r.BUCKET, r.AS_OF - dt.timedelta(back), r.AS_OF)
+        if checks.filter(~F.col("passed")).count():
+            raise RuntimeError("an output check failed")
     stored = spark.read.schema(schema.master_schema()).parquet(settings.master_path)
     return stored.drop("ingestion_timestamp")
 
@@ -296,7 +357,7 @@ def embed_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = r.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return embed.embed(spread_if_narrow(docs, "doc_id"), "text", embed.hashing_encoder(r.DIM))
+    return embed.embed(docs, "text", embed.hashing_encoder(r.DIM))
 
 
 @query
@@ -349,18 +410,9 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path for query sets too large to ship, on the same queries."""
-    vectors = _vectors(spark, sf_dir)
-    return search.top_k(vectors, _label_centroids(vectors), r.K, max_shipped=0)
-
-
-@query
-def vector_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form for query sets of any size, on the same queries."""
     vectors = _vectors(spark, sf_dir)
-    path = scratch_path(spark, "cells")
-    index = cells.build_index(vectors, path, n_cells=10)
-    stored = cells.stored_vectors(spark, index)
-    return cells.indexed_top_k(index, stored, _label_centroids(vectors), r.K)
+    return search.top_k_blocks(vectors, _label_centroids(vectors), r.K, vector_blocks=8, query_blocks=2)
 
 
 def _benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake import schema
 from paperlake.functions.identity import paper_id
 from paperlake.operators.dedup import best_per_key
 from paperlake.operators.refine import add_partition_columns, refine
@@ -83,7 +82,7 @@ def refined(spark: SparkSession, sf_dir: str, edition: int = 0) -> DataFrame:
 
 
 def _one_per_id(df: DataFrame, stamp: str) -> DataFrame:
-    best = best_per_key(df, SETTINGS.sources, schema.MERGE_KEYS, ties=[F.col("doc_id")])
+    best = best_per_key(df, SETTINGS.sources, ties=[F.col("doc_id")])
     return best.withColumn("ingestion_timestamp", F.lit(stamp).cast("timestamp"))
 
 

@@ -87,3 +87,22 @@ def test_points_schema_is_the_declared_one(spark):
     assert [(f.name, f.dataType.simpleString()) for f in got] == [
         (f.name, f.dataType.simpleString()) for f in schema.points_schema()
     ]
+
+
+@pytest.mark.parametrize("dim", [64, 2**18, 2**22])
+def test_batches_shrink_with_the_dimension(dim):
+    encoder = embed.HashingEncoder(dim)
+    assert 1 <= encoder.batch_size <= embed.MAX_ROWS
+    assert encoder.batch_size * dim * 8 <= max(embed.COUNT_BYTES, 8 * dim)
+
+
+def test_a_large_dimension_counts_the_same(spark):
+    dim = 2**20
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    out = embed.embed(df, "text", embed.hashing_encoder(dim)).select("i", F.aggregate("vector", F.lit(0.0), lambda a, x: a + x))
+    assert {r[0]: r[1] for r in out.collect()} == {i: float(len(t.split(" "))) for i, t in enumerate(TEXTS)}
+
+
+def test_points_can_be_spread(spark):
+    papers = papers_of(spark, [{"id": str(i), "title": "t"} for i in range(20)]).coalesce(1)
+    assert embed.build_points(papers, Lengths, partitions=3).rdd.getNumPartitions() == 3

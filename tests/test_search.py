@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperlake.operators import cells, search
+from paperlake.operators import search
 from tests.plans import plan_of
 
 
@@ -49,44 +51,34 @@ def test_top_k_equals_brute_force(spark, text_ids, k):
 
 
 @pytest.mark.parametrize("text_ids", [False, True])
-def test_block_path_equals_brute_force(spark, monkeypatch, text_ids):
-    monkeypatch.setattr(search, "BLOCK_ROWS", 64)
+@pytest.mark.parametrize("blocks", [(1, 1), (7, 3)])
+def test_blocks_equal_brute_force(spark, text_ids, blocks):
     v, q, *plain = data(spark, n_queries=150, text_ids=text_ids)
-    assert rows(search.top_k(v, q, 7, max_shipped=20)) == brute_force(*plain, 7)
+    assert rows(search.top_k_blocks(v, q, 7, *blocks)) == brute_force(*plain, 7)
 
 
-@pytest.mark.parametrize("n_cells,k", [(2, 3), (12, 3), (12, 200)])
-def test_cell_index_equals_brute_force(spark, folder, n_cells, k):
-    v, q, *plain = data(spark)
-    index = cells.build_index(v, f"{folder}/cells", n_cells)
-    stored = cells.stored_vectors(spark, index)
-    assert sum(index.sizes.values()) == 400 and index.sizes[cells.ZERO_CELL] == 5
-    assert rows(cells.indexed_top_k(index, stored, q, k)) == brute_force(*plain, k)
-    loaded = cells.load_index(spark, index.path)
-    assert loaded.sizes == index.sizes and loaded.min_cosine == index.min_cosine
-    assert rows(cells.indexed_top_k(loaded, cells.stored_vectors(spark, loaded), q, k)) == brute_force(*plain, k)
-
-
-def test_cell_bound_is_never_below_a_member(spark, folder):
-    v, q, _, vectors, _, queries = data(spark)
-    index = cells.build_index(v, f"{folder}/cells", 8)
-    listing = sorted(index.sizes)
-    bound = cells._best_possible(index, search.unit_rows(queries), listing)
-    for r in cells.stored_vectors(spark, index).collect():
-        scores = search.unit_rows(np.array([r["vector"]])) @ search.unit_rows(queries).T
-        assert (scores[0] <= bound[:, listing.index(r["cell"])] + 1e-6).all()
-
-
-def test_cells_prune_far_clusters(spark, folder):
-    rng = np.random.default_rng(0)
-    base = np.eye(4).repeat(50, axis=0) + rng.normal(scale=0.01, size=(200, 4))
-    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(base)], "id bigint, vector array<float>")
-    q = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 0.0])], "query_id bigint, vector array<float>")
-    index = cells.build_index(v, f"{folder}/cells", 4)
-    found = cells.indexed_top_k(index, cells.stored_vectors(spark, index), q, 5)
-    assert rows(found) == brute_force(list(range(200)), base.astype(np.float32), [0], np.eye(4)[:1], 5)
-    scans = [line for line in plan_of(found).splitlines() if "FileScan" in line]
-    assert all("PartitionFilters" in line for line in scans)
+def test_equal_points_spread_over_blocks(spark):
+    same = spark.createDataFrame([(1, [1.0, 0.0])] * 200, "id bigint, vector array<float>").repartition(4)
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id bigint, vector array<float>")
+    plan = plan_of(search.top_k_blocks(same, q, 3, 4, 1))
+    assert "monotonically_increasing_id" in plan
+    assert [r["id"] for r in search.top_k_blocks(same, q, 3, 4, 1).collect()] == [1, 1, 1]
+
+
+def test_too_many_queries_are_refused(spark, monkeypatch):
+    v, q, *_ = data(spark)
+    monkeypatch.setattr(search, "MAX_SHIPPED_BYTES", 9 * 6 * 8 - 1)
+    with pytest.raises(ValueError, match="top_k_blocks"):
+        search.top_k(v, q, 3)
+
+
+def test_ids_of_any_type_and_null_ids(spark):
+    vectors = [(dt.date(2024, 1, d), [1.0, float(d)]) for d in (3, 1, 2)] + [(None, [1.0, 1.0])]
+    v = spark.createDataFrame(vectors, "id date, vector array<double>")
+    q = spark.createDataFrame([("a", [0.0, 1.0]), (None, [1.0, 0.0])], "query_id string, vector array<double>")
+    for found in (search.top_k(v, q, 2), search.top_k_blocks(v, q, 2, 2, 2)):
+        got = found.orderBy("rank").collect()
+        assert [(r["query_id"], r["id"].day, r["rank"]) for r in got] == [("a", 3, 1), ("a", 2, 2)]
 
 
 def test_no_queries_and_no_vectors(spark):
@@ -107,4 +99,4 @@ def test_search_reads_two_columns_and_makes_no_pairs(spark, folder):
     plan = plan_of(search.top_k(spark.read.parquet(f"{folder}/v"), q, 4))
     assert "ReadSchema: struct<id:bigint,vector:array<float>>" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4

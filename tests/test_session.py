@@ -9,21 +9,6 @@ from paperlake import session
 from tests.plans import plan_of
 
 
-@pytest.mark.parametrize(
-    "text,size", [("128m", 2**27), ("134217728b", 2**27), ("1g", 2**30), ("512", 512), ("4MB", 2**22)]
-)
-def test_size_settings(text, size):
-    assert session._bytes(text) == size
-
-
-def test_only_narrow_inputs_are_spread(spark, folder, monkeypatch):
-    spark.range(10).write.mode("append").parquet(folder)
-    df = spark.read.parquet(folder)
-    assert "REPARTITION" in plan_of(session.spread_if_narrow(df, "id"))
-    monkeypatch.setattr(session, "estimated_bytes", lambda _: 2**50)
-    assert session.spread_if_narrow(df, "id") is df
-
-
 class Conf(dict):
     set = dict.__setitem__
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pandas as pd
 import pytest
 
 from paperlake import schema
@@ -45,6 +46,24 @@ def test_missing_columns_read_as_null(spark, folder):
     assert row["title"] == "t" and row["doi"] is None
 
 
+def test_files_of_other_writers_load_with_the_same_ids(spark, folder):
+    records.write_records(records.prepare_records(sample_records(spark, "arxiv"), "b", DAY), folder, DAY)
+    frame = pd.DataFrame(SAMPLE_RECORDS["arxiv"])  # doi is None in every row
+    frame.to_parquet(f"{folder}/pandas.parquet")
+    typed = frame.assign(publication_date=[dt.date(2024, 1, 15), dt.date(2024, 1, 14)], doi="10.1000/x")
+    typed["ingestion_timestamp"] = pd.Timestamp("2024-01-16 01:02:03")
+    typed.to_parquet(f"{folder}/typed.parquet", coerce_timestamps="us")
+    rows = records.to_papers(records.read_records(spark, folder)).collect()
+    assert len(rows) == 6 and len({r["id"] for r in rows}) == 2
+    assert {r["publication_date"] for r in rows} == {dt.date(2024, 1, 15), dt.date(2024, 1, 14)}
+    assert {r["doi"] for r in rows} == {None, "10.1000/x"}
+    assert dt.datetime(2024, 1, 16, 1, 2, 3) in {r["ingestion_timestamp"] for r in rows}
+
+
+def test_an_empty_folder_has_no_records(spark, folder):
+    assert records.read_records(spark, folder).isEmpty()
+
+
 def test_unparsable_dates_become_null_and_ids_come_from_the_text(spark):
     raw = records.conform(spark.createDataFrame(
         [("Title", "A", "no date"), ("Title", "A", "2024-1-5"), ("Title", "A", "2024-01-05")],

@@ -37,9 +37,13 @@ def points(spark, lake):
 def test_full_run_passes_its_checks(spark, lake):
     records = {n: sample_records(spark, n) for n in SAMPLE_RECORDS}
     checks = stages.run_all(spark, lake, records, "bucket", DAY, DAY)
+    sources = [f"source_{s.name}" for s in lake.sources]
     assert {r["check_name"]: r["passed"] for r in checks.collect()} == dict.fromkeys(
-        ["raw_data_found", "master_found", "vectors_found", "master_ids_unique", "vectors_complete"], True
+        ["raw_data_found", "master_found", "vectors_found", "master_ids_unique", "vectors_complete", *sources], True
     )
+    told = {r["check_name"]: (r["state"], r["rows_read"], r["rows_kept"], r["rows_stored"]) for r in checks.collect()}
+    assert told["source_arxiv"] == ("loaded", 2, 2, 2) and told["source_springer"] == ("disabled", 0, 0, 0)
+    assert told["source_ieee"] == ("empty", 0, 0, 0)
     assert master(spark, lake).count() == 3
     (p,) = points(spark, lake).filter("payload.source = 'pubmed'").collect()
     assert p["id"] == p["payload"]["id"] and len(p["vector"]) == 32
@@ -88,7 +92,7 @@ def test_sources_fail_alone(spark, lake, incremental):
 
 def test_missing_landing_folders_are_reported(spark, lake):
     report = stages.refine_stage(spark, lake, DAY)
-    assert {s.state for s in report} == {"failed", "disabled"}
+    assert {s.state for s in report} == {"empty", "disabled"}
     assert not os.path.exists(lake.master_path)
 
 
@@ -106,6 +110,58 @@ def test_rerun_adds_nothing_and_new_files_are_merged(spark, lake, incremental):
     assert [r["doi"] for r in master(spark, lake).collect()] == ["10.1000/late"] * 2
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_refetched_records_are_stored_once(spark, lake, incremental):
+    for later in range(3):
+        stages.land_records(
+            spark, lake, {"arxiv": sample_records(spark, "arxiv")}, "bucket", DAY + dt.timedelta(later)
+        )
+        stages.refine_stage(spark, lake, DAY, incremental=incremental)
+    stored = spark.read.parquet(lake.raw_table_path("arxiv")).collect()
+    assert len(stored) == 2 and all("/2024/01/16/" in r["pdf_s3_path"] for r in stored)
+
+
+def test_the_latest_landed_version_wins(spark, lake):
+    base = sample_records(spark, "arxiv")
+    for later, title, doi in ((0, "the first version", "10.1000/a"), (1, "the second version", None)):
+        versions = base.withColumns({"abstract": F.lit(title), "doi": F.lit(doi)})
+        stages.land_records(spark, lake, {"arxiv": versions}, "bucket", DAY + dt.timedelta(later))
+    stages.refine_stage(spark, lake, DAY)
+    assert {r["abstract"] for r in master(spark, lake).collect()} == {"the second version"}
+
+
+def test_an_id_with_two_dates_is_one_paper(spark, lake):
+    base = sample_records(spark, "arxiv").limit(1).withColumn("id", F.lit("own"))
+    both = base.unionByName(base.withColumn("publication_date", F.lit("2024-01-13")))
+    read_back = f"{lake.landing_path('arxiv')}/own"
+    both.write.parquet(read_back)
+    stages.refine_stage(spark, lake, DAY)
+    assert [r["id"] for r in master(spark, lake).collect()] == ["own"]
+
+
+def test_a_failed_source_fails_the_checks(spark, lake):
+    broken = f"{lake.landing_path('ieee')}/2024/01/16"
+    os.makedirs(broken)
+    with open(f"{broken}/bad.parquet", "w") as f:
+        f.write("not parquet")
+    checks = stages.run_all(spark, lake, {"arxiv": sample_records(spark, "arxiv")}, "bucket", DAY, DAY)
+    (failed,) = checks.filter("not passed").collect()
+    assert failed["check_name"] == "source_ieee" and failed["state"] == "failed" and failed["detail"]
+
+
+def test_a_second_run_reads_only_new_files(spark, lake):
+    arxiv = sample_records(spark, "arxiv")
+    stages.run_all(spark, lake, {"arxiv": arxiv}, "bucket", DAY, DAY)
+    before = {r["f"] for r in points(spark, lake).select(F.input_file_name().alias("f")).collect()}
+    pubmed = sample_records(spark, "pubmed")
+    checks = stages.run_all(spark, replace(lake, lookback_days=1), {"pubmed": pubmed}, "bucket", DAY, DAY)
+    told = {r["check_name"]: r["rows_read"] for r in checks.collect()}
+    assert (told["source_arxiv"], told["source_pubmed"]) == (0, 1)
+    after = {r["f"] for r in points(spark, lake).select(F.input_file_name().alias("f")).collect()}
+    # Only the date inside the lookback was encoded again.
+    assert len(before & after) == 1
+
+
 def test_lookback_keeps_older_papers_out_of_the_master(spark, lake):
     land(spark, lake, "arxiv", "pubmed")
     stages.refine_stage(spark, replace(lake, lookback_days=3), dt.date(2024, 1, 18))
@@ -131,7 +187,7 @@ def test_vector_stage_replaces_all_or_only_recent_dates(spark, lake):
         return {r["f"]: r["id"] for r in points(spark, lake).select("id", F.input_file_name().alias("f")).collect()}
 
     before = files()
-    stages.vector_stage(spark, lake, since=dt.date(2024, 1, 15))
+    stages.vector_stage(spark, lake, touched=master(spark, lake).filter("day = 15"))
     after = files()
     assert sorted(before.values()) == sorted(after.values())
     assert len(before.keys() & after.keys()) == 2

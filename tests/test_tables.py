@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,16 +104,12 @@ def test_upsert_of_nothing_changes_nothing(spark, folder):
     assert spark.read.parquet(path).count() == 1
 
 
-def test_many_touched_dates_fall_back_to_a_join(spark, monkeypatch):
+def test_only_touched_dates_and_undated_rows(spark):
     target = master_rows(spark, paper("a", D1), paper("b", D2), paper("c", D3), paper("n", None))
     staged = master_rows(spark, paper("x", D1), paper("y", D3), paper("z", D3), paper("u", None))
-    assert tables.touched_dates(staged) == [D1, D3]
-    listed = tables.only_touched(target, staged)
-    monkeypatch.setattr(tables, "MAX_LISTED_DATES", 1)
-    assert tables.touched_dates(staged) is None
-    joined = tables.only_touched(target, staged)
-    assert set(by_id(listed)) == set(by_id(joined)) == {"a", "c", "n"}
+    assert set(by_id(tables.only_touched(target, staged))) == {"a", "c", "n"}
     assert set(by_id(tables.only_touched(target, staged.filter("false")))) == {"n"}
+    assert set(by_id(tables.only_touched(target, staged.filter("id = 'u'")))) == {"n"}
 
 
 def test_append_is_idempotent_and_keeps_new_versions(spark, folder):
@@ -132,38 +129,67 @@ def test_append_is_idempotent_and_keeps_new_versions(spark, folder):
     ]
 
 
-def test_append_shuffles_once_after_collapsing_copies(spark, folder, monkeypatch):
+def test_a_record_fetched_again_is_the_same_record(spark, folder):
     path = f"{folder}/raw"
+    for day, stamp in ((1, OLD), (2, NEW)):
+        given = papers(spark, paper("a", D1, stamp, pdf_s3_path=f"s3://b/2024/01/0{day}/a.pdf"))
+        tables.append_new_records(spark, to_records(given.drop(*schema.PARTITION_COLUMNS)), path)
+    (row,) = spark.read.schema(schema.raw_table_schema()).parquet(path).collect()
+    assert row["landed_at"] == OLD and row["pdf_s3_path"].endswith("01/a.pdf")
+
+
+def stored_papers(spark, folder):
     spark.createDataFrame([paper("a", D1)], schema.paper_schema()).write.parquet(f"{folder}/p")
     given = add_partition_columns(flag_doi(spark.read.schema(schema.paper_schema()).parquet(f"{folder}/p")))
-    records = to_records(given.drop(*schema.PARTITION_COLUMNS))
-    tables.append_new_records(spark, records, path)
+    return to_records(given.drop(*schema.PARTITION_COLUMNS))
+
+
+def sort_orders(plan):
+    return [line for line in plan.splitlines() if re.search(r"\bSort \[|SortAggregate|WindowGroupLimit|Window \[", line)]
+
+
+def test_append_orders_by_narrow_columns_only(spark, folder, monkeypatch):
+    records = stored_papers(spark, folder)
+    tables.append_new_records(spark, records, f"{folder}/raw")
     plans = []
     monkeypatch.setattr(tables, "append_by_date", lambda df, _: plans.append(plan_of(df)))
-    tables.append_new_records(spark, records, path)
+    tables.append_new_records(spark, records, f"{folder}/raw")
     (plan,) = plans
-    assert "Join" not in plan and plan.count("Exchange") == 1
-    assert plan.count("Aggregate") == 2
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    assert plan.count("WindowGroupLimit") == 2
+    assert not [line for line in sort_orders(plan) if "full_text" in line or "abstract" in line]
     assert "ReadSchema: struct<id:string,source:string,record_hash:bigint>" in plan
 
 
+def test_dedup_has_no_text_in_its_order(spark, folder):
+    plan = plan_of(best_per_key(stored_papers(spark, folder), DEFAULT_SOURCES))
+    lines = sort_orders(plan)
+    assert lines and not [line for line in lines if "full_text" in line or "abstract" in line or "title" in line]
+
+
+def raw(spark, *rows):
+    return to_records(papers(spark, *rows).drop(*schema.PARTITION_COLUMNS))
+
+
 def test_best_row_per_id(spark):
-    rows = papers(
+    rows = raw(
         spark,
         paper("x", D1, NEW, source="acm"),
-        paper("x", D1, OLD, source="arxiv", title="early"),
-        paper("x", D1, NEW, source="arxiv", title="late b"),
-        paper("x", D1, NEW, source="arxiv", title="late a"),
+        paper("x", D1, OLD, source="arxiv", title="first"),
+        paper("x", D1, NEW, source="arxiv", title="second", doi="10.1000/x"),
+        paper("x", D1, None, source="arxiv", title="unknown"),
+        paper("x", D2, OLD, source="arxiv", title="other date"),
         paper("y", D1, source="unregistered"),
     )
     best = by_id(best_per_key(rows, DEFAULT_SOURCES))
-    assert best["x"]["title"] == "late a" and best["y"]["source"] == "unregistered"
+    assert len(best) == 2 and best["y"]["source"] == "unregistered"
+    assert (best["x"]["title"], best["x"]["doi"]) == ("second", "10.1000/x")
 
 
 def test_dedup_does_not_depend_on_partitioning(spark):
     rows = [paper(f"i{n % 3}", D1, abstract=f"{n * 7 % 11:02d}") for n in range(60)]
     results = {
-        tuple(sorted(str(r) for r in best_per_key(papers(spark, *rows).repartition(n), DEFAULT_SOURCES).collect()))
+        tuple(sorted(str(r) for r in best_per_key(raw(spark, *rows).drop("ingestion_timestamp").repartition(n), DEFAULT_SOURCES).collect()))
         for n in (1, 3, 7)
     }
     assert len(results) == 1
@@ -174,18 +200,11 @@ def test_hot_id_is_reduced_before_the_shuffle(spark):
     hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(own).alias("id"))
     for name, kind in schema.PAPER_FIELDS[1:]:
         hot = hot.withColumn(name, F.lit(None).cast(kind))
-    plan = plan_of(best_per_key(add_partition_columns(flag_doi(hot)), DEFAULT_SOURCES))
+    plan = plan_of(best_per_key(to_records(flag_doi(hot)), DEFAULT_SOURCES))
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_dedup_by_merge_keys_feeds_the_join_without_a_second_shuffle(spark, folder):
-    spark.createDataFrame([paper("a", D1)], schema.paper_schema()).write.parquet(f"{folder}/p")
-    stored = flag_doi(spark.read.schema(schema.paper_schema()).parquet(f"{folder}/p"))
-    staged = best_per_key(add_partition_columns(stored), DEFAULT_SOURCES, schema.MERGE_KEYS)
-    assert plan_of(merge.merge(staged, staged)).count("Exchange") == 2
-
-
 def test_touched_partitions_are_pruned(spark, folder):
     path = f"{folder}/master"
     tables.upsert_by_date(spark, master_rows(spark, paper("a", D1), paper("b", D2)), path)
@@ -194,13 +213,7 @@ def test_touched_partitions_are_pruned(spark, folder):
     plan = plan_of(tables.only_touched(stored, staged))
     filters = plan[plan.index("PartitionFilters"):]
     assert "make_date" in filters[: filters.index("PushedFilters")]
-    assert "Join" not in plan
-
-
-def test_merge_statement_parses(spark):
-    sql = merge.merge_statement("lake.papers", "staging_papers")
-    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
-    assert "MergeIntoTable" in parsed and sql.count("coalesce(") == 12
+    assert "BroadcastHashJoin" in plan
 
 
 def test_quality_report(spark):
