@@ -335,10 +335,9 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield sorted(block)
 
 
-def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: LatentSpace, keep: Sequence[str]) -> DataFrame:
-    """The columns ``keep`` of ``documents`` and ``_leaks``: the items of the block found in each text. No shuffle."""
-    names = list(keep)
-    schema = T.StructType([*(documents.schema[c] for c in names), T.StructField("_leaks", T.ArrayType(_LEAK))])
+def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: LatentSpace) -> DataFrame:
+    """``_row`` (all columns of ``documents`` as a struct) and ``_leaks``: the block's items found in its text. No shuffle."""
+    rows = documents.select(F.struct("*").alias("_row"))
     items = Items(block, space)
     kind = pa.list_(
         pa.struct([("item_id", pa.int64()), ("lcs_words", pa.int32()), ("item_words", pa.int32()), ("answer_found", pa.bool_()), ("word", pa.int32())])
@@ -347,11 +346,11 @@ def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: La
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             leaks: list[list[dict]] = []
-            for _, texts in _pieces(batch.column("text")):
+            for _, texts in _pieces(batch.column("_row").field("text")):
                 leaks += _leaks(texts, items, space)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(leaks, kind)], [*names, "_leaks"])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(leaks, kind)], ["_row", "_leaks"])
 
-    return documents.select(*dict.fromkeys([*names, "text"])).mapInArrow(search, schema)
+    return rows.mapInArrow(search, T.StructType([rows.schema["_row"], T.StructField("_leaks", T.ArrayType(_LEAK))]))
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -369,7 +368,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     space = LatentSpace.fit(rows)
     found = None
     for block in item_blocks(benchmark):
-        part = with_leaks(rows, block, space, ["doc_id"]).select("doc_id", F.explode("_leaks").alias("leak"))
+        part = with_leaks(rows, block, space).select("_row.doc_id", F.explode("_leaks").alias("leak"))
         found = part if found is None else found.unionByName(part)
     if found is None:
         return documents.sparkSession.createDataFrame([], T.StructType([rows.schema["doc_id"], *_LEAK]))
@@ -381,5 +380,5 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     space = LatentSpace.fit(documents)
     rows = documents
     for block in item_blocks(benchmark):
-        rows = with_leaks(rows, block, space, documents.columns).filter(F.size("_leaks") == 0).drop("_leaks")
+        rows = with_leaks(rows, block, space).filter(F.size("_leaks") == 0).select("_row.*")
     return rows

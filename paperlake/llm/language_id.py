@@ -13,7 +13,7 @@ responses of neighbouring byte pairs are worked out once per pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,7 @@ HELD_OUT_FOLD = 2
 # Sample bound: labelled documents per language. Each gives two slices of SLICE_CHARS.
 PER_LANGUAGE = 400
 SLICE_CHARS = 256
+SAMPLE_GROUPS = 64
 WINDOW = 256
 WIDTHS = (2, 4)
 UNDETERMINED = "und"
@@ -166,18 +167,27 @@ def _has_letter(text: str) -> Column:
 
 
 def training_sample(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``lang, slice`` from at most ``per_language`` labelled documents of each language, chosen by hash.
+    """``lang, rank, slice`` from at most ``per_language`` labelled documents of each language, chosen by hash.
 
-    Slices start at a hashed place anywhere in the text. Held-out documents are left out.
+    Slices start at a hashed place anywhere in the text. Held-out documents are left
+    out. Tasks keep their first ``per_language`` slices of a language, groups of tasks
+    theirs, so the last choice is made among a fixed number of rows.
     """
     held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
     usable = documents.filter(F.col("lang").isNotNull() & ~held_out & _has_letter("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text")))
-    chosen = usable.select("lang", "text", rank.alias("rank")).filter(F.col("rank") <= per_language)
     last = F.greatest(F.char_length("text") - SLICE_CHARS, F.lit(0)) + 1
     starts = [F.pmod(F.xxhash64("text", F.lit(i)), last).cast("int") + 1 for i in range(2)]
     slices = F.array(*[F.substring(F.col("text"), s, F.lit(SLICE_CHARS)) for s in starts])
-    return chosen.select("lang", "rank", F.explode(slices).alias("slice"))
+    chosen = usable.select(
+        "lang",
+        F.xxhash64("doc_id", "text").alias("place"),
+        slices.alias("slices"),
+        (F.spark_partition_id() % SAMPLE_GROUPS).alias("group"),
+    )
+    for keys in (["lang", "group"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("place", "slices"))
+        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= per_language)
+    return chosen.select("lang", "rank", F.explode("slices").alias("slice"))
 
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork | None:
@@ -195,19 +205,17 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> ByteNetwork |
     return network
 
 
-def with_language(documents: DataFrame, network: ByteNetwork | None, keep: Sequence[str]) -> DataFrame:
-    """The columns ``keep`` of ``documents`` with ``_lang_pred`` and ``_score``. Nothing is shuffled."""
-    names = list(keep)
-    rows = documents.select(*dict.fromkeys([*names, "text"]), _has_letter("text").alias("_known"))
+def with_language(documents: DataFrame, network: ByteNetwork | None) -> DataFrame:
+    """``_row`` (all columns of ``documents`` as a struct), ``_lang_pred`` and ``_score``. Nothing is shuffled."""
+    rows = documents.select(F.struct("*").alias("_row"), _has_letter("text").alias("_known"))
     if network is None:
-        return rows.select(*names, F.lit(UNDETERMINED).alias("_lang_pred"), F.lit(0.0).alias("_score"))
+        return rows.select("_row", F.lit(UNDETERMINED).alias("_lang_pred"), F.lit(0.0).alias("_score"))
     languages = np.array([*network.languages, UNDETERMINED], dtype=object)
-    added = T.StructType.fromDDL("_lang_pred string, _score double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = network.pair_tables()
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
+            data, offsets = text_bytes(batch.column("_row").field("text"))
             sums = np.zeros((batch.num_rows, len(network.languages)))
             for row, filled, cells in window_pieces(data, offsets):
                 np.add.at(sums, row, network.probabilities(cells, tables) * filled[:, None])
@@ -216,11 +224,12 @@ def with_language(documents: DataFrame, network: ByteNetwork | None, keep: Seque
             best = np.where(known, means.argmax(axis=1), len(network.languages))
             score = np.where(known, np.minimum(means.max(axis=1), 1.0), 0.0)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(languages[best], pa.string()), pa.array(score)],
-                [*names, "_lang_pred", "_score"],
+                [batch.column("_row"), pa.array(languages[best], pa.string()), pa.array(score)],
+                ["_row", "_lang_pred", "_score"],
             )
 
-    return rows.mapInArrow(predict, T.StructType([*(documents.schema[c] for c in names), *added]))
+    added = [T.StructField("_lang_pred", T.StringType()), T.StructField("_score", T.DoubleType())]
+    return rows.mapInArrow(predict, T.StructType([rows.schema["_row"], *added]))
 
 
 def identify(documents: DataFrame, network: ByteNetwork | None) -> DataFrame:
@@ -232,12 +241,13 @@ def identify(documents: DataFrame, network: ByteNetwork | None) -> DataFrame:
     are read, in pieces of bounded size; other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
-    found = with_language(rows, network, ["doc_id"])
-    return found.select("doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+    held_out = F.coalesce(fold_of(F.col("_row.doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
+    return with_language(rows, network).select(
+        "_row.doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score")
+    )
 
 
 def accepted(documents: DataFrame, network: ByteNetwork | None, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``documents`` whose language is found with probability ``least`` or more, all columns kept."""
-    found = with_language(documents, network, documents.columns)
-    return found.filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= least)).select(*documents.columns)
+    found = with_language(documents, network)
+    return found.filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= least)).select("_row.*")

@@ -30,9 +30,9 @@ def _identity() -> Column:
     return F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
 
 
-def _uniform(seed: int) -> Column:
+def _uniform(identity: Column, seed: int) -> Column:
     """A number in [0, 1) with 52 bits."""
-    return F.conv(F.substring(_hashed(_identity(), seed), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+    return F.conv(F.substring(_hashed(identity, seed), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
 def tempered_weights(sizes: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
@@ -85,6 +85,8 @@ def mix_sources(
 ) -> DataFrame:
     """The columns of ``documents`` (doc_id, source, text and others), ``copy`` and ``shuffle_key``.
 
+    Columns of these two names are replaced.
+
     A document occurs as often as it draws, ``copy`` counting from 1; rates below one
     leave some documents out, which is the sampling asked for. Rows lie in a global
     random order: partition by hash of ``shuffle_key``, sorted by it within. Rows with
@@ -95,12 +97,13 @@ def mix_sources(
     """
     rates = source_rates(documents, weights, total)
     steps = materialize(rates.select(F.col("source").alias("_source"), _poisson_steps(F.col("rate")).alias("_steps")), "rates")
-    drawn = documents.withColumn("_u", _uniform(seed)).join(steps, F.expr("source <=> _source"))
+    given = [c for c in documents.columns if c not in ("copy", "shuffle_key")]
+    rows = documents.select(
+        F.struct(*given).alias("_row"), F.col("source").alias("_key"), _identity().alias("_identity")
+    ).withColumn("_u", _uniform(F.col("_identity"), seed))
     copies = F.size(F.filter("_steps", lambda s: s <= F.col("_u")))
-    rows = drawn.withColumn("_copies", copies).filter("_copies > 0")
-    rows = rows.select(
-        *[c for c in documents.columns if c not in ("copy", "shuffle_key")],
-        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"),
-    )
-    rows = rows.withColumn("shuffle_key", F.substring(_hashed(_identity(), F.col("copy"), seed), 1, 16))
-    return rows.repartition(classes_of(documents.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key", "doc_id")
+    drawn = rows.join(steps, F.expr("_key <=> _source")).withColumn("_copies", copies).filter("_copies > 0")
+    drawn = drawn.select("_row", "_identity", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+    key = F.substring(_hashed(F.col("_identity"), F.col("copy"), seed), 1, 16)
+    drawn = drawn.select("_row.*", "copy", key.alias("shuffle_key"))
+    return drawn.repartition(classes_of(documents.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key")

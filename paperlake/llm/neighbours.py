@@ -135,10 +135,11 @@ def nearest_neighbours(
     all candidates if there are fewer than ``k``. A candidate with the query's id is
     its own row and is left out. Null, zero and non-finite vectors, and null ids, take
     no part; vectors of different length are not compared. Rows that repeat an id are
-    one candidate for each different vector.
+    one candidate for each different vector, and as queries the smallest vector counts.
     """
     usable = usable_vectors(vectors, key, vector)
-    asked = usable_vectors(queries, key, vector).dropDuplicates(["id"])
+    asked = usable_vectors(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector"))
+    asked = asked.withColumn("dim", F.size("vector"))
     scored = _distances(survivors(usable, asked, k, block_rows), usable, asked).distinct()
 
     def merged(table: pa.Table) -> pa.Table:

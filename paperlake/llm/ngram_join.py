@@ -272,7 +272,8 @@ def one_per_group(documents: DataFrame, size: int = SIZE, percent: int = PERCENT
     stay, as nothing could name them.
     """
     found = near_duplicates(documents, size, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = documents.filter("doc_id is not null").join(found, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_row", F.row_number().over(first)).filter("_row = 1").select(*documents.columns)
-    return kept.unionByName(documents.filter("doc_id is null"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("_row"))
+    kept = rows.filter("doc_id is not null").join(found, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("_row.text"))
+    kept = kept.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1")
+    return kept.select("_row.*").unionByName(documents.filter("doc_id is null"))
