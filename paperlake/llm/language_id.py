@@ -34,10 +34,10 @@ SAMPLE_GROUPS = 64
 WINDOW = 256
 WIDTHS = (2, 4)
 UNDETERMINED = "und"
-# Below this mean probability a document is rejected: little more than a guess among a few languages.
-LEAST_SCORE = 0.35
+# Below this mean probability a document is rejected: no more than a guess among a few languages.
+LEAST_SCORE = 0.3
 
-_EMBEDDING, _FILTERS, _EPOCHS, _BATCH, _RATE = 8, 16, 30, 64, 0.01
+_EMBEDDING, _FILTERS, _EPOCHS, _BATCH, _RATE = 8, 16, 25, 64, 0.006
 # Bytes of text whose windows are worked on at once; responses take 64 times as much.
 _PIECE_BYTES = 1 << 19
 
@@ -143,12 +143,13 @@ class ByteNetwork:
         return [embedding, *banks, back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
 
     def train(self, cells: np.ndarray, labels: np.ndarray, seed: int = 11) -> None:
-        """Adam over shuffled batches; some windows are shortened, so that short texts are learned too."""
+        """Adam over shuffled batches, at a falling rate; some windows are shortened, so that short texts are learned too."""
         rng = np.random.default_rng(seed)
         weights = [self.embedding, *self.banks, self.bias, self.out, self.out_bias]
         first, second = ([np.zeros_like(w) for w in weights] for _ in range(2))
         step = 0
-        for _ in range(_EPOCHS):
+        for epoch in range(_EPOCHS):
+            rate = _RATE * (1 - epoch / _EPOCHS)
             order = rng.permutation(len(cells))
             for start in range(0, len(order), _BATCH):
                 chosen = order[start : start + _BATCH]
@@ -159,7 +160,7 @@ class ByteNetwork:
                 for w, g, m, v in zip(weights, self._gradients(batch, labels[chosen]), first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
-                    w -= (_RATE * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                    w -= (rate * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
 
 
 def _has_letter(text: str) -> Column:
