@@ -50,6 +50,8 @@ ITEMS_PER_BLOCK = 1000
 
 _FEATURES = 1 << FEATURE_BITS
 _PIECE_BYTES = 1 << 20
+# Cuts of a table of sums, and parts of the tasks whose tables are added up apart first.
+_SLICES, _PARTS = 32, 64
 _PASSAGES_AT_ONCE = 1024
 _LEAK = T.StructType(
     [
@@ -97,28 +99,38 @@ def _cells(features: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: in
 
 
 def _summed(documents: DataFrame, add, width: int) -> np.ndarray:
-    """The sum over all tasks of the table of ``_FEATURES + 1`` rows that ``add(texts, table)`` fills."""
-    slices = 16
+    """The sum over all tasks of the table of ``_FEATURES + 1`` rows that ``add(texts, table)`` fills.
 
+    Tables are cut into slices and added up in parts of the tasks first, then over the
+    parts, so no task adds up what all others made.
+    """
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((_FEATURES + 1, width))
         for batch in batches:
             for _, texts in _pieces(batch.column("text")):
                 add(texts, table)
-        parts = np.array_split(table.astype(np.float32) if width > 1 else table, slices)
-        rows = {"slice": pa.array(range(slices), pa.int32()), "cells": pa.array([p.tobytes() for p in parts], pa.binary())}
-        yield pa.RecordBatch.from_pydict(rows)
-
-    kind = np.float32 if width > 1 else np.float64
+        cells = [p.tobytes() for p in np.array_split(table.astype(np.float32) if width > 1 else table, _SLICES)]
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(_SLICES), pa.int32()), "cells": pa.array(cells, pa.binary())})
 
     def total(group: pa.Table) -> pa.Table:
-        cells = sum(np.frombuffer(c.as_buffer(), kind).astype(np.float64) for c in group.column("cells"))
-        return pa.table({"slice": group.column("slice").slice(0, 1), "cells": pa.array([cells.tobytes()], pa.binary())})
+        cells = sum(np.frombuffer(c.as_buffer(), np.float32).astype(np.float64) for c in group.column("cells"))
+        return _one_slice(group, cells.astype(np.float32))
+
+    def total_counts(group: pa.Table) -> pa.Table:
+        return _one_slice(group, sum(np.frombuffer(c.as_buffer(), np.float64) for c in group.column("cells")))
 
+    add_up = total if width > 1 else total_counts
     schema = "slice int, cells binary"
-    rows = documents.select("text").mapInArrow(fill, schema).groupBy("slice").applyInArrow(total, schema).collect()
-    parts = [np.frombuffer(r["cells"], np.float64) for r in sorted(rows)]
-    return np.concatenate(parts).reshape(-1, width) if parts else np.zeros((_FEATURES + 1, width))
+    made = documents.select("text").mapInArrow(fill, schema).withColumn("part", F.spark_partition_id() % _PARTS)
+    some = made.groupBy("slice", "part").applyInArrow(add_up, schema)
+    rows = some.groupBy("slice").applyInArrow(add_up, schema).collect()
+    kind = np.float32 if width > 1 else np.float64
+    parts = [np.frombuffer(r["cells"], kind) for r in sorted(rows)]
+    return np.concatenate(parts).astype(np.float64).reshape(-1, width) if parts else np.zeros((_FEATURES + 1, width))
+
+
+def _one_slice(group: pa.Table, cells: np.ndarray) -> pa.Table:
+    return pa.table({"slice": group.column("slice").slice(0, 1), "cells": pa.array([cells.tobytes()], pa.binary())})
 
 
 def _count_passages(texts: pa.Array, table: np.ndarray) -> None:
