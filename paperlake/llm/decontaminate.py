@@ -351,9 +351,8 @@ def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: La
     """``_row`` (all columns of ``documents`` as a struct) and ``_leaks``: the block's items found in its text. No shuffle."""
     rows = documents.select(F.struct("*").alias("_row"))
     items = Items(block, space)
-    kind = pa.list_(
-        pa.struct([("item_id", pa.int64()), ("lcs_words", pa.int32()), ("item_words", pa.int32()), ("answer_found", pa.bool_()), ("word", pa.int32())])
-    )
+    kinds = {"item_id": pa.int64(), "answer_found": pa.bool_()}
+    kind = pa.list_(pa.struct([(f.name, kinds.get(f.name, pa.int32())) for f in _LEAK]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

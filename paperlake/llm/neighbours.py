@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 10
@@ -102,9 +102,14 @@ def survivors(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: in
     same = Window.partitionBy("vector").orderBy("id")
     few = vectors.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy")
     n_candidates, n_queries = (max(1, -(-df.count() // block_rows)) for df in (vectors, queries))
-    every = {"c": F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))), "q": F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1)))}
-    right = _coded(few, n_candidates).withColumnRenamed("block", "candidate_block").withColumn("query_block", every["c"])
-    left = _coded(queries, n_queries).withColumnRenamed("block", "query_block").withColumn("candidate_block", every["q"])
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    right = _coded(few, n_candidates).withColumnRenamed("block", "candidate_block")
+    right = right.withColumn("query_block", every(n_queries))
+    left = _coded(queries, n_queries).withColumnRenamed("block", "query_block")
+    left = left.withColumn("candidate_block", every(n_candidates))
     keys = ["dim", "query_block", "candidate_block"]
 
     def tile(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -114,7 +119,8 @@ def survivors(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: in
     nearest = Window.partitionBy("query_id").orderBy("high", "vec_id")
     highest = bounded.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k)
     reach = highest.groupBy("query_id").agg(F.max("high").alias("reach"), F.count("*").alias("n"))
-    return bounded.join(reach, "query_id").filter((F.col("low") <= F.col("reach")) | (F.col("n") < k)).select("query_id", "vec_id")
+    possible = (F.col("low") <= F.col("reach")) | (F.col("n") < k)
+    return bounded.join(reach, "query_id").filter(possible).select("query_id", "vec_id")
 
 
 def _distances(pairs: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:

@@ -70,10 +70,9 @@ def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column
         return F.aggregate(part, F.lit(0), join)
 
     count = F.size(values)
-    chunks = F.when(
-        count > 0,
-        F.transform(F.sequence(F.lit(0), F.floor((count - 1) / _CHUNK).cast("int")), lambda c: fold(F.slice(values, c * _CHUNK + 1, _CHUNK))),
-    ).otherwise(F.array().cast("array<int>"))
+    numbers = F.sequence(F.lit(0), F.floor((count - 1) / _CHUNK).cast("int"))
+    folded = F.transform(numbers, lambda c: fold(F.slice(values, c * _CHUNK + 1, _CHUNK)))
+    chunks = F.when(count > 0, folded).otherwise(F.array().cast("array<int>"))
     before = F.transform(chunks, lambda _, c: fold(F.slice(chunks, 1, c)))
     return F.transform(
         values,
@@ -236,12 +235,14 @@ def redact(documents: DataFrame) -> DataFrame:
         ).otherwise(""),
     )
     rest = F.substring(F.col("_text"), F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.char_length("_text"))
-    rows = rows.withColumn("_new", F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("_text")))
+    rows = rows.withColumn("_new", F.concat(F.array_join(pieces, ""), rest))
     values = {"text": F.col("_new"), "n_chars": F.char_length("_new")}
     kinds = {f.name: f.dataType for f in documents.schema}
-    return rows.select(
-        *[
-            (F.when(F.size(spans) > 0, values[c].cast(kinds[c])).otherwise(F.col(f"_row.`{c}`")) if c in values else F.col(f"_row.`{c}`")).alias(c)
-            for c in documents.columns
-        ]
-    )
+
+    def column(name: str) -> Column:
+        given = F.col(f"_row.`{name}`")
+        if name not in values:
+            return given.alias(name)
+        return F.when(F.size(spans) > 0, values[name].cast(kinds[name])).otherwise(given).alias(name)
+
+    return rows.select(*map(column, documents.columns))
