@@ -10,9 +10,12 @@ decided by the longest common subsequence of the words around the match and by
 whether the item's answer, its last words, is there too. Paraphrases keep most words in
 order, chance does not.
 
+Items longer than two passages are cut into parts of a passage's length, and each part
+is searched: a passage cannot hold much of a long item.
+
 Statistics and singular vectors cover all passages. Their tables have a fixed size,
-whatever the corpus. Items are shipped in blocks of a fixed size, one pass over the
-documents each.
+whatever the corpus. Items are shipped in blocks of limited number and text, one pass
+over the documents each.
 """
 
 from __future__ import annotations
@@ -36,8 +39,10 @@ RANK, OVERSAMPLING = 96, 64
 # Cosines of unrelated passages spread by about 1 / sqrt(RANK); a passage that holds a
 # whole item of half its length has 0.7.
 MIN_COSINE = 0.22
-# Share of the item's idf weight that the passage must have too. A passage inside an
-# item twice its length has half of it.
+# Longer items are searched by parts of ``PASSAGE`` words.
+MAX_WHOLE = 2 * PASSAGE
+# Share of the idf weight of an item (or part) that the passage must have too. A passage
+# inside an item twice its length has half of it.
 MIN_SHARED = 0.3
 # Longest common subsequence as a share of the item: alone, or if the answer is found as well.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.7, 0.6
@@ -47,6 +52,8 @@ MIN_VOTES = 0.2
 # Shorter items cannot be told from chance and are not searched.
 MIN_ITEM_WORDS = 8
 ITEMS_PER_BLOCK = 1000
+# Characters after which a block ends too; it has a row of features for each part of an item.
+BLOCK_CHARS = 1 << 19
 
 _FEATURES = 1 << FEATURE_BITS
 _PIECE_BYTES = 1 << 20
@@ -245,20 +252,35 @@ def _masks(words: Sequence[int]) -> dict[int, int]:
     return masks
 
 
+def _parts(size: int) -> list[slice]:
+    """The parts of an item that are searched; together they have all its words."""
+    if size <= MAX_WHOLE:
+        return [slice(0, size)]
+    return [slice(s, s + PASSAGE) for s in [*range(0, size - PASSAGE, PASSAGE), size - PASSAGE]]
+
+
 class Items:
-    """A block of benchmark items, ready to be compared with passages."""
+    """A block of benchmark items, ready to be compared with passages.
+
+    ``units``, ``present`` and ``totals`` have a row per part, ``owner`` is the part's item.
+    """
 
     def __init__(self, rows: Sequence[tuple[int, str]], space: LatentSpace):
         words = _words(pa.array([t for _, t in rows], pa.string()))
         keep = [r for r in range(len(rows)) if words.first[r + 1] - words.first[r] >= MIN_ITEM_WORDS]
         self.ids = [rows[r][0] for r in keep]
         self.words = [words.hashes[words.row(r)].tolist() for r in keep]
-        features = [_features(words.hashes[words.row(r)]) for r in keep]
+        features, owner = [], []
+        for i, r in enumerate(keep):
+            whole = _features(words.hashes[words.row(r)])
+            features += [whole[part] for part in _parts(len(whole))]
+            owner += [i] * (len(features) - len(owner))
+        self.owner = np.array(owner, np.int64)
         places = [space.places[f].sum(axis=0) for f in features]
-        self.units = _unit(np.array(places).reshape(len(keep), space.places.shape[1])).astype(np.float32)
-        self.weights = np.zeros((len(keep), _FEATURES + 1), np.float32)
+        self.units = _unit(np.array(places).reshape(len(owner), space.places.shape[1])).astype(np.float32)
+        self.present = np.zeros((len(owner), _FEATURES + 1), bool)
         for i, f in enumerate(features):
-            self.weights[i, f] = space.idf[f]
+            self.present[i, f] = True
         self.masks = [_masks(w) for w in self.words]
         self.places: list[dict[int, list[int]]] = []
         for w in self.words:
@@ -267,7 +289,7 @@ class Items:
                 places.setdefault(word, []).append(place)
             # Words that the item repeats often say little about where it starts.
             self.places.append({word: at for word, at in places.items() if len(at) <= 2})
-        self.totals = self.weights.sum(axis=1)
+        self.totals = np.array([space.idf[np.unique(f)].sum() for f in features])
         self.answers = [(_masks(w[-ANSWER_WORDS:]), len(w[-ANSWER_WORDS:])) for w in self.words]
 
     def decide(self, item: int, words: np.ndarray, near: int) -> tuple[int, bool] | None:
@@ -312,12 +334,15 @@ def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]
         last = np.r_[starts[part][1:] != starts[part][:-1] + STRIDE, True]
         sums[index[n:][last]] = np.take(space.places, cells[last, STRIDE:], axis=0, mode="clip").sum(axis=1)
         units = _unit(sums[index[:n]] + sums[index[n:]])
-        passage, item = np.nonzero(units @ items.units.T >= MIN_COSINE)
+        passage, probe = np.nonzero(units @ items.units.T >= MIN_COSINE)
         once = np.sort(cells, axis=1)
         once[:, 1:][once[:, 1:] == once[:, :-1]] = _FEATURES
-        shared = np.take(items.weights, item[:, None] * (_FEATURES + 1) + once[passage], mode="clip").sum(axis=1)
-        passed = shared >= MIN_SHARED * items.totals[item]
-        for p, i in zip(passage[passed].tolist(), item[passed].tolist()):
+        present = np.take(items.present, probe[:, None] * (_FEATURES + 1) + once[passage], mode="clip")
+        shared = (present * space.idf[once][passage]).sum(axis=1)
+        passed = shared >= MIN_SHARED * items.totals[probe]
+        # Several parts of an item may be near one passage.
+        pairs = np.unique(passage[passed] * len(items.ids) + items.owner[probe[passed]])
+        for p, i in zip((pairs // len(items.ids)).tolist(), (pairs % len(items.ids)).tolist()):
             row = rows[at + p]
             begin = words.first[row]
             if found[row].get(i, ((0, False), 0))[0] == (len(items.words[i]), True):
@@ -335,14 +360,16 @@ def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items with a text, in blocks of ``ITEMS_PER_BLOCK``; only one block is held at a time."""
+    """The items with a text, in blocks of ``ITEMS_PER_BLOCK`` or ``BLOCK_CHARS``; only one block is held at a time."""
     rows = benchmark.filter("item_id is not null and text is not null")
     block: list[tuple[int, str]] = []
+    chars = 0
     for row in rows.select(F.col("item_id").cast("long"), "text").distinct().toLocalIterator():
         block.append((row[0], row[1]))
-        if len(block) == ITEMS_PER_BLOCK:
+        chars += len(row[1])
+        if len(block) == ITEMS_PER_BLOCK or chars >= BLOCK_CHARS:
             yield sorted(block)
-            block = []
+            block, chars = [], 0
     if block:
         yield sorted(block)
 

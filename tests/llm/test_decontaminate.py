@@ -94,3 +94,22 @@ def test_passages_cover_every_word(n):
     _, starts, ends = d._passages(np.array([0, n]), d.STRIDE)
     covered = {w for s, e in zip(starts, ends) for w in range(s, min(s + d.PASSAGE, e))}
     assert covered == set(range(n))
+
+
+def hidden(rng, text, before=150, after=150):
+    return f"{prose(rng, before)} {text} {prose(rng, after)}"
+
+
+def found_pairs(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENT).repartition(2)
+    rows = d.find_leaks(docs, spark.createDataFrame(items, ITEM)).collect()
+    return {(r["doc_id"], r["item_id"]) for r in rows}
+
+
+def test_long_items_are_found_exact_and_edited(spark):
+    rng = random.Random(4)
+    sizes = [70, 110, 150, 300, 1000]
+    items = [(i, prose(rng, n)) for i, n in enumerate(sizes)]
+    texts = [hidden(rng, t) for _, t in items] + [hidden(rng, edited(rng, t, n // 8)) for (_, t), n in zip(items, sizes)]
+    texts += [prose(rng, 1500) for _ in range(10)]
+    assert found_pairs(spark, texts, items) == {(i, i % 5) for i in range(10)}
