@@ -47,8 +47,6 @@ MIN_SHARED = 0.3
 # Longest common subsequence as a share of the item: alone, or if the answer is found as well.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.7, 0.6
 ANSWER_WORDS = 5
-# Share of the item's words that must agree on where it starts, for the place to be compared.
-MIN_VOTES = 0.2
 # Shorter items cannot be told from chance and are not searched.
 MIN_ITEM_WORDS = 8
 ITEMS_PER_BLOCK = 1000
@@ -282,36 +280,33 @@ class Items:
         for i, f in enumerate(features):
             self.present[i, f] = True
         self.masks = [_masks(w) for w in self.words]
-        self.places: list[dict[int, list[int]]] = []
-        for w in self.words:
-            places: dict[int, list[int]] = {}
-            for place, word in enumerate(w):
-                places.setdefault(word, []).append(place)
-            # Words that the item repeats often say little about where it starts.
-            self.places.append({word: at for word, at in places.items() if len(at) <= 2})
+        self.counts = [Counter(w) for w in self.words]
         self.totals = np.array([space.idf[np.unique(f)].sum() for f in features])
         self.answers = [(_masks(w[-ANSWER_WORDS:]), len(w[-ANSWER_WORDS:])) for w in self.words]
 
     def decide(self, item: int, words: np.ndarray, near: int) -> tuple[int, bool] | None:
         """Common words and whether the answer is found, if the item occurs around place ``near``.
 
-        Words of the item near that place vote for where the item starts; the best place
-        is compared over a little more than the item's length.
+        Every window of the item's length and a little more that meets the passage is
+        compared, in steps that leave room around each occurrence. What the windows lie
+        in bounds them from above, by its different words and then by its own subsequence.
         """
-        size, where = len(self.words[item]), self.places[item]
-        low = max(0, near - size)
-        around = words[low : near + PASSAGE + size].tolist()
-        votes = Counter([place - own for place, word in enumerate(around) if word in where for own in where[word]])
+        size, masks = len(self.words[item]), self.masks[item]
+        slack = 2 + size // 8
+        width, step = size + 2 * slack, max(1, slack // 2)
+        around = words[max(0, near - width) : near + PASSAGE + width].tolist()
+        least = MIN_LCS_WITH_ANSWER * size
+        counts = self.counts[item]
+        if sum([counts[word] for word in counts.keys() & set(around)]) < least or lcs_length(masks, size, around) < least:
+            return None
         best = None
-        likely = [(-n, start) for start, n in votes.items() if n >= MIN_VOTES * size]
-        for _, start in sorted(likely)[:3]:
-            slack = 2 + size // 8
-            region = around[max(0, start - slack) : max(0, start + size + slack)]
-            common = lcs_length(self.masks[item], size, region)
-            if common >= MIN_LCS_WITH_ANSWER * size:
-                masks, answer_size = self.answers[item]
+        answer_masks, answer_size = self.answers[item]
+        for start in range(0, max(0, len(around) - width) + step, step):
+            region = around[start : start + width]
+            common = lcs_length(masks, size, region)
+            if common >= least:
                 tail = region[-(answer_size + 2 * slack) :]
-                found = lcs_length(masks, answer_size, tail) >= answer_size - 1
+                found = lcs_length(answer_masks, answer_size, tail) >= answer_size - 1
                 if common >= MIN_LCS * size or found:
                     best = max(best or (0, False), (common, found))
         return best

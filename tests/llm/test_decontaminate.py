@@ -113,3 +113,23 @@ def test_long_items_are_found_exact_and_edited(spark):
     texts = [hidden(rng, t) for _, t in items] + [hidden(rng, edited(rng, t, n // 8)) for (_, t), n in zip(items, sizes)]
     texts += [prose(rng, 1500) for _ in range(10)]
     assert found_pairs(spark, texts, items) == {(i, i % 5) for i in range(10)}
+
+
+def test_insertions_deletions_and_repeated_words_are_found(spark):
+    rng = random.Random(6)
+    sizes = [16, 40, 40, 59, 59, 300]
+    items = [(i, prose(rng, n)) for i, n in enumerate(sizes)]
+    items.append((6, " ".join(prose(rng, 4).split() * 6)))
+    texts, truth = [], set()
+    for item, text in items:
+        words = text.split()
+        shown = [text]
+        if item < 6:
+            for every in (5, 6, 7):
+                more = [w if (i + 1) % every else f"{w} {prose(rng, 1)}" for i, w in enumerate(words)]
+                shown += [" ".join(more), " ".join(w for i, w in enumerate(words) if (i + 1) % every)]
+        for one in shown:
+            truth.add((len(texts), item))
+            texts.append(hidden(rng, one, rng.randrange(100, 150)))
+    texts += [prose(rng, 400) for _ in range(20)]
+    assert found_pairs(spark, texts, items) == truth
