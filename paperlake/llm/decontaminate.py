@@ -11,7 +11,9 @@ whether the item's answer, its last words, is there too. Paraphrases keep most w
 order, chance does not.
 
 Items longer than two passages are cut into parts of a passage's length, and each part
-is searched: a passage cannot hold much of a long item.
+is searched: a passage cannot hold much of a long item. Items of few words say too
+little for that and are looked up as they are. In scripts without blanks every
+character counts as a word.
 
 Statistics and singular vectors cover all passages. Their tables have a fixed size,
 whatever the corpus. Items are shipped in blocks of limited number and text, one pass
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperlake.llm.words import Words, text_bytes
+from paperlake.llm.words import Words, sequence_hashes, text_bytes, window_starts
 
 PASSAGE, STRIDE = 32, 16
 FEATURE_BITS = 13
@@ -47,8 +49,11 @@ MIN_SHARED = 0.3
 # Longest common subsequence as a share of the item: alone, or if the answer is found as well.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.7, 0.6
 ANSWER_WORDS = 5
-# Shorter items cannot be told from chance and are not searched.
+# Shorter items cannot be told from chance by a part of their words; they are found whole only.
 MIN_ITEM_WORDS = 8
+# With fewer different words (as many as the sum of weights over their mean) in a table, what its
+# passages have in common is all they have.
+MIN_COMMON_WORDS = 256
 ITEMS_PER_BLOCK = 1000
 # Characters after which a block ends too; it has a row of features for each part of an item.
 BLOCK_CHARS = 1 << 19
@@ -69,9 +74,35 @@ _LEAK = T.StructType(
 )
 
 
+# First bytes of characters that may be of a script without blanks; those of Latin, Greek, Cyrillic,
+# Hebrew and Arabic letters and of common signs are others.
+_MAYBE_UNSPACED = np.zeros(256, dtype=bool)
+_MAYBE_UNSPACED[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
+_WIDE_PUNCTUATION = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\x{30FC}\x{FF70}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+
+
+def _apart(texts: pa.Array) -> pa.Array:
+    """The texts with blanks around each character of a script without blanks."""
+    data, offsets = text_bytes(texts)
+    hits = np.flatnonzero(_MAYBE_UNSPACED[data])
+    if not len(hits):
+        return texts
+    mask = np.zeros(len(texts), dtype=bool)
+    mask[np.searchsorted(offsets, hits, "right") - 1] = True
+    some = pc.replace_substring_regex(texts.filter(pa.array(mask)), _WIDE_PUNCTUATION, " ")
+    return pc.replace_with_mask(texts, pa.array(mask), pc.replace_substring_regex(some, _UNSPACED, r" \1 "))
+
+
 def _words(texts: pa.Array) -> Words:
     """Words in lower case of any script, without punctuation around them."""
-    return Words(pc.utf8_lower(texts), lower=True, trim=True)
+    return Words(pc.utf8_lower(_apart(texts)), lower=True, trim=True)
+
+
+def _said(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, hashes and first word per row of the words that are more than punctuation."""
+    places = np.flatnonzero(words.ends > words.starts)
+    return places, words.hashes[places], np.searchsorted(places, words.first)
 
 
 def _features(hashes: np.ndarray) -> np.ndarray:
@@ -206,7 +237,8 @@ class LatentSpace:
     def fit(cls, documents: DataFrame, rank: int = RANK, seed: int = 5) -> LatentSpace:
         """From all passages of all documents, in two passes."""
         counts = _summed(documents, _count_passages, 1)[:, 0]
-        idf = np.log((1 + counts[_FEATURES]) / (1 + counts))
+        # Above 0 also for a word that all passages have.
+        idf = np.log((2 + counts[_FEATURES]) / (1 + counts))
         idf[_FEATURES] = 0.0
         columns = rank + OVERSAMPLING
         column, sign = _sparse_test(columns, seed)
@@ -219,10 +251,11 @@ class LatentSpace:
         sketch = _summed(documents, add, columns)[:_FEATURES]
         vectors = _directions(sketch, test, rank)
         # Direction from the singular vectors, length from the idf: no word outweighs a passage.
-        # What all passages have in common is taken off.
+        # What all passages have in common is taken off, unless that is nearly all there is.
         weights = (counts * idf)[:_FEATURES, None]
         units = _unit(vectors)
-        units = units - (weights * units).sum(axis=0) / max(weights.sum(), 1e-12)
+        if weights.sum() ** 2 >= MIN_COMMON_WORDS * (weights**2).sum():
+            units = units - (weights * units).sum(axis=0) / max(weights.sum(), 1e-12)
         places = np.vstack([units, np.zeros((1, rank))]) * idf[:, None]
         return cls(idf, places.astype(np.float32))
 
@@ -266,6 +299,16 @@ class Items:
     def __init__(self, rows: Sequence[tuple[int, str]], space: LatentSpace):
         words = _words(pa.array([t for _, t in rows], pa.string()))
         keep = [r for r in range(len(rows)) if words.first[r + 1] - words.first[r] >= MIN_ITEM_WORDS]
+        _, hashes, first = _said(words)
+        # By number of words: the sequences' numbers in order, and the item of each.
+        self.short: dict[int, tuple[np.ndarray, list[int]]] = {}
+        rest = np.array(sorted(set(range(len(rows))) - set(keep)), np.int64)
+        for size in range(1, MIN_ITEM_WORDS):
+            few = rest[first[rest + 1] - first[rest] == size]
+            if len(few):
+                whole = sequence_hashes(hashes, first[few], size)
+                order = np.argsort(whole, kind="stable")
+                self.short[size] = whole[order], [rows[r][0] for r in few[order]]
         self.ids = [rows[r][0] for r in keep]
         self.words = [words.hashes[words.row(r)].tolist() for r in keep]
         features, owner = [], []
@@ -312,6 +355,28 @@ class Items:
         return best
 
 
+def _leak(item_id: int, common: int, size: int, answer: bool, place: int) -> dict:
+    return {"item_id": item_id, "lcs_words": common, "item_words": size, "answer_found": answer, "word": place}
+
+
+def _short_leaks(words: Words, items: Items) -> list[list[dict]]:
+    """Per text the short items found in it, at their first place: all windows are looked up."""
+    out: list[list[dict]] = [[] for _ in range(len(words))]
+    places, hashes, first = _said(words) if items.short else (None, None, None)
+    for size, (wholes, ids) in items.short.items():
+        starts, offsets = window_starts(first, size)
+        seen = sequence_hashes(hashes, starts, size)
+        left = np.searchsorted(wholes, seen, "left")
+        hits = np.flatnonzero(wholes[np.minimum(left, len(wholes) - 1)] == seen)
+        rows = np.searchsorted(offsets, hits, "right") - 1
+        _, new = np.unique(rows * len(wholes) + left[hits], return_index=True)
+        for hit, row in zip(hits[new].tolist(), rows[new].tolist()):
+            at = int(places[starts[hit]] - words.first[row])
+            for i in range(left[hit], np.searchsorted(wholes, seen[hit], "right")):
+                out[row].append(_leak(ids[i], size, size, True, at))
+    return out
+
+
 def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]]:
     """Per text the items found in it."""
     words = _words(texts)
@@ -345,12 +410,11 @@ def _leaks(texts: pa.Array, items: Items, space: LatentSpace) -> list[list[dict]
             decided = items.decide(i, words.hashes[begin : words.first[row + 1]], int(starts[at + p] - begin))
             if decided and decided > found[row].get(i, ((0, False), 0))[0]:
                 found[row][i] = (decided, int(starts[at + p] - begin))
+    short = _short_leaks(words, items)
     return [
-        [
-            {"item_id": items.ids[i], "lcs_words": common, "item_words": len(items.words[i]), "answer_found": answer, "word": place}
-            for i, ((common, answer), place) in sorted(row.items())
-        ]
-        for row in found
+        [_leak(items.ids[i], common, len(items.words[i]), answer, place) for i, ((common, answer), place) in sorted(row.items())]
+        + short[r]
+        for r, row in enumerate(found)
     ]
 
 
@@ -389,13 +453,14 @@ def with_leaks(documents: DataFrame, block: Sequence[tuple[int, str]], space: La
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, lcs_words, item_words, answer_found, word``: the items that documents contain.
 
-    Words are runs without blanks, in lower case, without punctuation around them.
+    Words are runs without blanks, in lower case, without punctuation around them, and
+    single characters of scripts without blanks.
     ``lcs_words`` of the item's ``item_words`` occur in order near ``word`` (the first
     word of the passage found). A pair is reported if they reach ``MIN_LCS``, or
     ``MIN_LCS_WITH_ANSWER`` with all but one of the item's last words. Null and empty
-    texts contain nothing; items without id or text, or of fewer than
-    ``MIN_ITEM_WORDS`` words, are not searched; items with one id and different texts are
-    searched each. Repeated documents are reported each; extra columns are ignored.
+    texts contain nothing; items without id or text are not searched; items of fewer
+    than ``MIN_ITEM_WORDS`` words are found where all their words follow each other, words
+    of punctuation only left out; items with one id and different texts are searched each. Repeated documents are reported each; extra columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     space = LatentSpace.fit(rows)

@@ -133,3 +133,25 @@ def test_insertions_deletions_and_repeated_words_are_found(spark):
             texts.append(hidden(rng, one, rng.randrange(100, 150)))
     texts += [prose(rng, 400) for _ in range(20)]
     assert found_pairs(spark, texts, items) == truth
+
+
+def test_short_items_and_scripts_without_blanks_are_found(spark):
+    rng = random.Random(8)
+    signs = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(40))
+    short = "Who wrote - Faust?"
+    items = [(0, short), (1, "Weimar"), (2, signs), (3, "谁写了《浮士德》？"), (4, thai), (5, "who wrote faust"), (6, " - ?")]
+    changed = signs[:20] + "们" + signs[21:40] + signs[42:]
+    texts = [
+        hidden(rng, 'who WROTE\n"Faust"'), hidden(rng, "in Weimar."), "前文" * 40 + signs + "后文" * 40, "前文" * 40 + changed + "后文" * 40,
+        "后文谁写了浮士德前文", hidden(rng, thai), "who wrote of faust", prose(rng, 300), "后文谁写浮士德前文",
+    ]
+    assert found_pairs(spark, texts, items) == {(0, 0), (0, 5), (1, 1), (2, 2), (3, 2), (4, 3), (5, 4)}
+
+
+@pytest.mark.parametrize("copies", [1, 50])
+@pytest.mark.parametrize("size", [10, 30, 60, 200])
+def test_tables_of_copies_of_one_item(spark, copies, size):
+    text = prose(random.Random(9), size)
+    items = [(0, text), (1, " ".join(text.split()[: size * 9 // 10])), (2, prose(random.Random(10), 30))]
+    assert found_pairs(spark, [text] * copies, items) == {(i, j) for i in range(copies) for j in (0, 1)}
