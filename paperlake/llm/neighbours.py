@@ -30,12 +30,16 @@ _BOUNDED = "query_id long, vec_id long, low double, high double"
 
 
 def usable_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """``id, vector, dim`` in double; null, zero and non-finite vectors and null ids are left out."""
+    """Different ``id, vector, dim`` in double; null, zero and non-finite vectors and null ids are left out.
+
+    Rows are made different before anything ranks them, so that copies take no places.
+    """
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     limit = float("inf")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
     some = F.exists("vector", lambda x: x != 0)
-    return rows.filter("id is not null and vector is not null").filter(finite & some).withColumn("dim", F.size("vector"))
+    rows = rows.filter("id is not null and vector is not null").filter(finite & some).distinct()
+    return rows.withColumn("dim", F.size("vector"))
 
 
 def _coded(vectors: DataFrame, blocks: int) -> DataFrame:
@@ -97,7 +101,10 @@ def _tile(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
 
 
 def survivors(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``query_id, vec_id`` of everything that the bounds leave possible."""
+    """Different ``query_id, vec_id`` of everything that the bounds leave possible.
+
+    Rows of ``vectors`` are different, as ``usable_vectors`` gives them.
+    """
     # Of equal vectors only the k + 1 smallest ids can be among k neighbours: one may be the query itself.
     same = Window.partitionBy("vector").orderBy("id")
     few = vectors.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy")
@@ -120,7 +127,7 @@ def survivors(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: in
     highest = bounded.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k)
     reach = highest.groupBy("query_id").agg(F.max("high").alias("reach"), F.count("*").alias("n"))
     possible = (F.col("low") <= F.col("reach")) | (F.col("n") < k)
-    return bounded.join(reach, "query_id").filter(possible).select("query_id", "vec_id")
+    return bounded.join(reach, "query_id").filter(possible).select("query_id", "vec_id").distinct()
 
 
 def _distances(pairs: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
@@ -146,7 +153,7 @@ def nearest_neighbours(
     usable = usable_vectors(vectors, key, vector)
     asked = usable_vectors(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector"))
     asked = asked.withColumn("dim", F.size("vector"))
-    scored = _distances(survivors(usable, asked, k, block_rows), usable, asked).distinct()
+    scored = _distances(survivors(usable, asked, k, block_rows), usable, asked)
 
     def merged(table: pa.Table) -> pa.Table:
         rows = zip(table.column("score").to_pylist(), table.column("vec_id").to_pylist())

@@ -59,6 +59,24 @@ def test_repeated_and_empty_vectors(spark):
     assert neighbours.nearest_neighbours(empty, empty, "vec_id", "embedding").collect() == []
 
 
+@pytest.mark.parametrize("times", [2, 3, 12])
+def test_repeated_rows_take_no_places(spark, times):
+    rows = [(i, v) for i, v in vectors(n=150) if i is not None]
+    rows += [(300, [0.5] * 7), (300, [0.75] * 7), (301, rows[0][1])]
+    df = spark.createDataFrame(rows * times, "vec_id long, embedding array<double>").repartition(4)
+    asked = df.filter("vec_id % 10 = 0 and vec_id <> 300")
+    found = neighbours.nearest_neighbours(df, asked, "vec_id", "embedding", 10, 64).collect()
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found)
+    assert got == [r for r in brute_nearest(rows, 10) if r[0] != 300]
+
+
+def test_different_vectors_of_one_id_at_one_distance(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 2.0]), (1, [1.0, -2.0]), (2, [9.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest_neighbours(df, df.filter("vec_id = 0"), "vec_id", "embedding", 2).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 1, 2.0), (0, 2, 1, 2.0)]
+
+
 def many(spark, n=6000):
     rows = spark.range(n).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("en").alias("lang"),
