@@ -46,6 +46,8 @@ _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ENTROPY_KINDS = (
     EntropyKind("entropy16", _DIGITS + "abcdef", 20, 24, 0.78),
     EntropyKind("entropy64", _DIGITS + _LOWER + _LOWER.upper() + "+/_-=", 20, 32, 0.84),
+    # Too few different characters for the share of entropy64.
+    EntropyKind("entropy16upper", _DIGITS + "ABCDEF", 20, 24, 0.78),
 )
 # Words (joined or not), numbers and dates, and UUIDs are no secrets.
 ALLOWED = (

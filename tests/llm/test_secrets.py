@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -109,3 +110,17 @@ def test_no_python_and_no_shuffle(spark, folder):
     documents(spark).write.parquet(f"{folder}/d")
     plan = secrets.find_secrets(spark.read.parquet(f"{folder}/d"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_upper_case_hexadecimal_keys_are_found_and_redacted(spark):
+    digits = [hashlib.sha256(str(i).encode()).hexdigest().upper() for i in range(8)]
+    keys = [d[:size] for d in digits for size in (24, 28, 32, 40, 64)]
+    texts = [f"the key {k} of it" for k in keys] + ["F" * 40, "2024" * 7, "550E8400-E29B-41D4-A716-446655440000", "DEADBEEF" * 2]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENT)
+    for r in secrets.find_secrets(df).collect():
+        assert [(s["start"], s["rank"], s["kind"], s["end"]) for s in r["spans"]] == brute_all(texts[r["doc_id"]])
+    kept = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    for i, text in enumerate(texts):
+        # The span covers all windows of high entropy; a low one at an end may leave characters of the key.
+        left = kept[i].removeprefix("the key ").removesuffix(" of it").replace(secrets.REDACTED, "")
+        assert len(left) <= len(keys[i]) - 20 and secrets.REDACTED in kept[i] if i < len(keys) else kept[i] == text
