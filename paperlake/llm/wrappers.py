@@ -11,7 +11,7 @@ The host's wrapper names the element that holds the article: an article or main
 element if the host has one, else the element that gathers most of the text that
 varies between pages; fixed texts in such an element are template and go. Elements
 whose name, role or class says menu, header, footer, sidebar, notice, advert, form or
-comment are left out everywhere.
+comment are left out everywhere, but by class only if they hold no article or page heading.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from __future__ import annotations
 import difflib
 import html
 import json
+import operator
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -64,7 +65,7 @@ DROPPED = frozenset(
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
-# Words of a class or id that mark an element as something else than the article.
+# Whole classes or ids that mark an element as something else than the article.
 DROPPED_WORDS = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies copyright dialog disclaimer disqus footer form header hidden login masthead menu menus modal nav navbar "
@@ -83,7 +84,7 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
 @dataclass
@@ -94,20 +95,23 @@ class Element:
     label: str
     dropped: bool
     items: list[str | Element] = field(default_factory=list)
+    by_class: bool = False
 
 
-def _described(name: str, attributes: str) -> tuple[str, bool]:
-    """An element's label for alignment, and whether its name, role or class rules it out."""
+def _described(name: str, attributes: str) -> tuple[str, bool, bool]:
+    """An element's label for alignment, whether it is ruled out, and whether only its class or id does that."""
     values = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     classes = values.get("class", "").split()
     label = name + "".join(f".{re.sub(r'[0-9]+', '', c)}" for c in classes[:1])
     if values.get("itemprop") == "articleBody":
         label += "@article"
     dropped = name in DROPPED or values.get("role", "").lower() in DROPPED_ROLES
-    if not dropped and name not in ("html", "body", "article", "main"):
-        words = {w.lower() for v in (*classes, values.get("id", "")) for w in _WORD.findall(v)}
-        dropped = not words.isdisjoint(DROPPED_WORDS)
-    return label, dropped
+    by_class = False
+    if not dropped and name not in ("html", "body", "article", "main") and name not in _HEADINGS:
+        # The id of a section is often made from its heading.
+        names = classes if name == "section" else [*classes, values.get("id", "")]
+        by_class = not DROPPED_WORDS.isdisjoint(n.lower() for n in names)
+    return label, dropped or by_class, by_class
 
 
 def parse(page: str) -> Element:
@@ -150,8 +154,11 @@ def parse(page: str) -> Element:
         if name == "body":
             close(("head",))
         if name not in VOID and len(stack) < MAX_DEPTH:
-            label, dropped = _described(name, match[4] or match[7] or "")
-            element = Element(name, label, dropped)
+            label, dropped, by_class = _described(name, match[4] or match[7] or "")
+            element = Element(name, label, dropped, by_class=by_class)
+            if name in ("article", "main", "h1") or label.endswith("@article"):
+                for outer in stack:
+                    outer.dropped &= not outer.by_class
             # A page header is not the article, the header of an article is.
             if name == "header" and not any(e.name in ("article", "main") for e in stack):
                 element.dropped = True
@@ -212,11 +219,15 @@ class Node:
         return cls(label, text, size, pages, bool(flags & 1), bool(flags & 2), [cls.unpacked(c) for c in children])
 
 
-def align(a: Node, b: Node, pages: int) -> Node:
-    """The smallest wrapper of this kind that both sides match. Labels are equal."""
+def align(a: Node, b: Node, pages: Callable[[int, int], int]) -> Node:
+    """The smallest wrapper of this kind that both sides match. Labels are equal.
+
+    ``pages`` gives how many pages are behind a node that both sides have: their sum
+    for sides of different pages, the larger for neighbours of one side.
+    """
     same = a.text == b.text and a.text is not None
     size = 0 if same else a.size + b.size + sum(len(x.text or "") for x in (a, b) if x.text)
-    node = Node(a.label, a.text if same else None, size, pages, a.optional or b.optional, a.repeated or b.repeated)
+    node = Node(a.label, a.text if same else None, size, pages(a.pages, b.pages), a.optional or b.optional, a.repeated or b.repeated)
     left, right = [c.label for c in a.children], [c.label for c in b.children]
     if left == right:
         node.children = [align(x, y, pages) for x, y in zip(a.children, b.children)]
@@ -239,7 +250,7 @@ def _folded(nodes: Iterable[Node]) -> list[Node]:
     for node in nodes:
         if out and out[-1].label == node.label:
             optional = out[-1].optional and node.optional
-            out[-1] = align(out[-1], node, max(out[-1].pages, node.pages))
+            out[-1] = align(out[-1], node, max)
             out[-1].optional, out[-1].repeated = optional, True
         else:
             out.append(node)
@@ -254,7 +265,7 @@ def page_wrapper(element: Element) -> Node:
 
 
 def merge(a: Node | None, b: Node) -> Node:
-    return b if a is None else align(a, b, a.pages + b.pages)
+    return b if a is None else align(a, b, operator.add)
 
 
 def _article_like(label: str) -> bool:
@@ -317,12 +328,15 @@ def main_text(page: str, rule: Rule | None) -> str:
     """The article's blocks, joined by line breaks.
 
     Of several elements at the rule's place the one with most text is the article.
-    A page that has none follows a rule of its own.
+    A page that has none follows a rule of its own, and if that finds nothing, one that
+    looks into elements ruled out by class too.
     """
     root = parse(page)
     found = _descend(root, rule.path) if rule else []
     texts = [list(blocks(e)) for e in found]
     if not any(texts):
+        if not any(blocks(root)):
+            _admit(root)
         rule = main_rule(page_wrapper(root))
         if not rule.path:
             # Nothing varies on one page: the largest element, as if all text did.
@@ -332,6 +346,15 @@ def main_text(page: str, rule: Rule | None) -> str:
     return "\n".join(t for t in best if t not in rule.template)
 
 
+def _admit(root: Element) -> None:
+    """Takes back what was ruled out by class only."""
+    todo = [root]
+    while todo:
+        element = todo.pop()
+        element.dropped &= not element.by_class
+        todo += [i for i in element.items if isinstance(i, Element)]
+
+
 def _largest(root: Element) -> tuple[str, ...]:
     """Labels of the element that still has most of the text, as deep as one child holds most of it."""
     path: list[str] = []

@@ -126,3 +126,31 @@ def test_wrappers_cover_all_pages_of_a_host(spark):
 
 def test_no_pages(spark):
     assert wrappers.extract_main_text(spark.createDataFrame([], PAGE)).collect() == []
+
+
+ARTICLE_BODY = "<h1>Title</h1><p>First words of it.</p><h2 id='related-work'>Related work</h2><section id='search'><p>How we search.</p></section>"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "header-wrap", "comments-open", "hasSidebar", "sidebar"])
+def test_container_classes_do_not_empty_a_page(name):
+    page = f"<body><nav>Menu</nav><div class='{name}'>{ARTICLE_BODY}<div class='comments'><p>Me too</p></div></div></body>"
+    wanted = ["Title", "First words of it.", "Related work", "How we search."]
+    assert wrappers.main_text(page, None).split("\n") == wanted
+    assert wrappers.main_text("<body><div class='widget'><p>All there is</p></div></body>", None) == "All there is"
+
+
+def test_texts_of_fewer_pages_than_template_are_kept():
+    def page(i, more=""):
+        return f"<body><div><p class='a'>Body number {i} {'x' * 50}</p>{more}<p class='c'>End number {i} {'y' * 50}</p></div></body>"
+
+    def rule(pages):
+        wrapper = None
+        for p in pages:
+            wrapper = wrappers.merge(wrapper, wrappers.page_wrapper(wrappers.parse(p)))
+        return wrappers.main_rule(wrapper)
+
+    note = "<ul class='b'><li>Said on some pages</li></ul>"
+    for copies, kept in ((2, True), (3, False)):
+        pages = [page(i, note if i < copies else "") for i in range(12)]
+        for order in (pages, pages[::-1], pages[2:] + pages[:2]):
+            assert ("Said on some pages" in wrappers.main_text(pages[0], rule(order))) == kept
