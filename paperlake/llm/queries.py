@@ -14,6 +14,7 @@ from paperlake.llm import (
     mixing,
     neighbours,
     ngram_join,
+    packing,
     secrets,
     substrings,
     warc,
@@ -100,3 +101,8 @@ def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_open_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))

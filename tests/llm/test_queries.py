@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_all_are_registered():
     numbers = {n.split("_")[0] for n in queries.registered()}
-    assert numbers == {f"op{i}" for i in range(1, 11)}
+    assert numbers == {f"op{i}" for i in range(1, 14)}
     assert queries.registered().keys() | {"pipeline"} <= contract.queries().keys()
 
 
