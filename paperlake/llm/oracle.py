@@ -81,5 +81,78 @@ _MIXTURE = """
   from copied"""
 
 
+def _labelled(value: str) -> str:
+    return f"coalesce(strlen(cast({value} as varchar)) || ':' || cast({value} as varchar), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_labelled, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# crc32 bit by bit: eight steps a byte over the decimal digits of doc_id.
+_CRC_STEP = "case when {0} % 2 = 1 then xor({0} >> 1, 3988292384) else {0} >> 1 end"
+_MANIFEST = f"""
+  with recursive digits as (
+    select doc_id, cast(doc_id as varchar) as d from documents),
+  crc as (
+    select doc_id, d, 0 as pos, 0 as bit, 4294967295::bigint as c from digits
+    union all
+    select doc_id, d, pos + (bit = 8)::int, case when bit = 8 then 0 else bit + 1 end,
+      case when bit = 0 then xor(c, ascii(d[pos + 1])::bigint) else {_CRC_STEP.format("c")} end
+    from crc where pos < length(d)),
+  touched as (select doc_id from crc where pos = length(d) and xor(c, 4294967295::bigint) % 7 = 0),
+  leaves as (
+    select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 as i,
+      count(*) over (partition by lang) as n, {_leaf("n_chars")} as h, {_leaf("(n_chars + 1)")} as changed
+    from documents),
+  trees as (
+    select lang, 0 as level, i, n, h from leaves
+    union all
+    select lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' order by i))
+    from trees where n > 1 group by lang, level, i // 2, n),
+  subroots as (
+    select lang, h, row_number() over (order by lang nulls first) - 1 as i, count(*) over () as n
+    from trees where n = 1),
+  over as (
+    select 0 as level, i, n, h from subroots
+    union all
+    select level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' order by i))
+    from over where n > 1 group by level, i // 2, n),
+  root as (select h from over where n = 1),
+  heights as (select lang, max(level) as height from trees group by lang),
+  steps as (
+    select l.doc_id, t.level, t.h as sibling, l.i >> t.level as place
+    from leaves l join (select distinct lang, level, n from trees where n > 1) s on s.lang is not distinct from l.lang
+    left join trees t on t.lang is not distinct from l.lang and t.level = s.level and t.i = xor(l.i >> s.level, 1)
+    where t.h is not null
+    union all
+    select l.doc_id, k.height + o.level, o.h, r.i >> o.level
+    from leaves l join heights k on k.lang is not distinct from l.lang
+    join subroots r on r.lang is not distinct from l.lang
+    join over o on o.n > 1 and o.i = xor(r.i >> o.level, 1)),
+  proofs as (select doc_id, sha256(string_agg(sibling, '' order by level)) as proof from steps group by doc_id),
+  tops as (select max(level) as top from over),
+  fold as (
+    select l.doc_id, 0 as level, k.height + (select top from tops) as height,
+      case when t.doc_id is not null and l.changed is not null and d.n_chars is not null then l.changed else l.h end as h
+    from leaves l join heights k on k.lang is not distinct from l.lang join documents d using (doc_id)
+    left join touched t on t.doc_id = l.doc_id
+    union all
+    select f.doc_id, f.level + 1, f.height, case when s.sibling is null then sha256(f.h)
+      when s.place % 2 = 1 then sha256(s.sibling || f.h) else sha256(f.h || s.sibling) end
+    from fold f left join steps s on s.doc_id = f.doc_id and s.level = f.level where f.level < f.height),
+  ends as (select doc_id, h from fold where level = height)
+  select l.doc_id, l.h as leaf, r.h as subroot, root.h as root, coalesce(p.proof, sha256('')) as proof_sha256,
+    e.h as folded_root, e.h = root.h as verified
+  from leaves l join subroots r on r.lang is not distinct from l.lang cross join root
+  join ends e using (doc_id) left join proofs p using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": _NGRAM_JOIN, "op4_revisits": _REVISITS, "op6_poisson_mixture": _MIXTURE, "op9_block_matrix": _NEIGHBOURS}
+    return {
+        "op1_ngram_join": _NGRAM_JOIN,
+        "op4_revisits": _REVISITS,
+        "op6_poisson_mixture": _MIXTURE,
+        "op9_block_matrix": _NEIGHBOURS,
+        "op13_interval_manifest": _MANIFEST,
+    }

@@ -11,6 +11,7 @@ from paperlake.llm import (
     decontaminate,
     language_id,
     lm,
+    merkle,
     mixing,
     neighbours,
     ngram_join,
@@ -106,3 +107,9 @@ def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_open_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_interval_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents")))
+    return checked.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
