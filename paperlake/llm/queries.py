@@ -19,6 +19,7 @@ from paperlake.llm import (
     secrets,
     substrings,
     warc,
+    whitening,
     wrappers,
 )
 
@@ -109,6 +110,11 @@ def op11_open_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_secular_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 @query
 def op13_interval_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents")))
