@@ -31,8 +31,9 @@ CAPACITY = 4096
 END_ID = 1
 # Bins a task holds open.
 OPEN_BINS = 512
-# Open bins that one task packs again.
+# Open bins that one task packs again, and how many it leaves open: the emptiest.
 GROUP_BINS = 1024
+LEFT_OPEN = 64
 # Words whose ids a Python worker remembers; all are forgotten when there are more.
 KNOWN_WORDS = 1_000_000
 # Bytes of text tokenised at a time, unless one text is longer.
@@ -223,7 +224,7 @@ def _batch(schema: T.StructType, rows: list[tuple], ids: list | None) -> pa.Reco
 
 
 def _packed_again(bins: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
-    """Where open bins (bin, length) go as wholes: ``bin, length, into, offset``, and rows of null bin for what is still open."""
+    """Where open bins (bin, length) go as wholes: ``bin, length, into, offset``, and rows of null bin for what stays open."""
 
     schema = T.StructType.fromDDL(_MOVED)
 
@@ -236,7 +237,8 @@ def _packed_again(bins: DataFrame, groups: int, turn: int, capacity: int) -> Dat
         for length, own, _ in rows:
             chosen, offset = held.place(length)
             moved.append((own, length, base + chosen, offset))
-        moved += [(None, filled, base + chosen, None) for chosen, filled in held.still_open()]
+        rest = sorted(held.still_open(), key=lambda b: b[1])[:LEFT_OPEN]
+        moved += [(None, filled, base + chosen, None) for chosen, filled in rest]
         yield _batch(schema, moved, None)
 
     grouped = bins.withColumn("group", F.pmod(F.xxhash64("bin"), F.lit(groups)))

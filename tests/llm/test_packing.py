@@ -70,7 +70,7 @@ def test_open_bins_are_best_fit_and_bounded(limit):
 
 @pytest.mark.parametrize("capacity,open_bins", [(4096, 512), (64, 4)])
 def test_pieces_are_whole_and_sequences_gapless(spark, monkeypatch, capacity, open_bins):
-    monkeypatch.setattr(packing, "GROUP_BINS", 8)
+    monkeypatch.setattr(packing, "GROUP_BINS", 130)
     docs = with_clashes(documents(spark))
     packed = packing.pack(docs, capacity=capacity, open_bins=open_bins, with_ids=True)
     rows = packed.collect()
