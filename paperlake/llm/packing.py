@@ -35,9 +35,9 @@ OPEN_BINS = 512
 GROUP_BINS = 1024
 LEFT_OPEN = 64
 # Words whose ids a Python worker remembers; all are forgotten when there are more.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 # Bytes of text tokenised at a time, unless one text is longer.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 # Blanks for the tokenizer; every other one is left to it.
 _BLANKS = "\n\t\r"
