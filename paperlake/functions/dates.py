@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,7 +27,6 @@ def within_lookback(publication_date: Column, as_of: dt.date | None, days: int)
     return publication_date >= lookback_start(as_of, days)
 
 
-def partition_within_lookback(as_of: dt.date | None, days: int) -> Column:
-    """The same window over year/month/day, so that files of older partitions are listed but not read."""
-    folder_date = F.make_date(F.col("year"), F.col("month"), F.col("day"))
-    return folder_date >= lookback_start(as_of, days)
+def first_day(spark: SparkSession, as_of: dt.date | None, days: int) -> dt.date:
+    """The window's first date as a value, by the session's clock if no date is given."""
+    return spark.range(1).select(lookback_start(as_of, days)).first()[0]

@@ -103,11 +103,13 @@ def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder]) -> Data
 
 
 def embedding_input(papers: DataFrame) -> DataFrame:
-    """The columns a point needs: id, text to encode, payload and date partition."""
+    """The columns a point needs: id, text to encode and its fingerprint, payload and date partition."""
+    text = embedding_text(*map(F.col, ("title", "abstract", "full_text")))
     return papers.select(
         "id",
-        embedding_text(*map(F.col, ("title", "abstract", "full_text"))).alias("text"),
+        text.alias("text"),
         F.struct(*schema.PAYLOAD_FIELDS).alias("payload"),
+        F.md5(text).alias("text_hash"),
         *schema.PARTITION_COLUMNS,
     )
 
@@ -135,3 +137,19 @@ def upsert_points(
     """
     untouched = existing.join(papers.select("id"), "id", "left_anti")
     return untouched.unionByName(build_points(papers, make_encoder))
+
+
+def refreshed_points(
+    existing: DataFrame, papers: DataFrame, make_encoder: Callable[[], Encoder]
+) -> DataFrame:
+    """The points of ``papers``, one row per id on both sides, encoding only those whose text is new or changed.
+
+    A point is taken over when one of ``existing`` has its id and the fingerprint of its
+    text; the payload and the date are always the paper's.
+    """
+    rows = embedding_input(papers)
+    known = existing.select("id", "text_hash", "vector").filter("vector is not null")
+    kept = rows.drop("text").join(known, ["id", "text_hash"])
+    changed = rows.join(known.drop("vector"), ["id", "text_hash"], "left_anti")
+    names = schema.points_schema().names
+    return kept.select(*names).unionByName(embed(changed, "text", make_encoder).select(*names))

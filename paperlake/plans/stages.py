@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperlake import schema
-from paperlake.functions.dates import partition_within_lookback
+from paperlake.functions.dates import first_day
+from paperlake.functions.sql import register_functions
 from paperlake.operators.dedup import best_per_key
-from paperlake.operators.embed import Encoder, build_points, hashing_encoder
+from paperlake.operators.embed import Encoder, build_points, hashing_encoder, refreshed_points
 from paperlake.operators.refine import recent
 from paperlake.plans.tables import (
     only_touched,
+    read_since,
     replace_all,
     replace_dates,
     upsert_by_date,
@@ -28,7 +30,7 @@ from paperlake.settings import LakeSettings, Source
 from paperlake.sources.records import (
     map_fields,
     prepare_records,
-    read_records,
+    read_folder,
     table_or_none,
     union_papers,
     write_records,
@@ -40,12 +42,13 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class SourceStatus:
-    """How a source came through the refinement: rows read, kept by the rules and newly stored."""
+    """How a source came through the refinement: rows read, unreadable, kept by the rules and newly stored."""
 
     source: str
     state: str  # loaded, disabled, empty or failed
     detail: str = ""
     rows_read: int = 0
+    rows_malformed: int = 0
     rows_kept: int = 0
     rows_stored: int = 0
 
@@ -91,11 +94,11 @@ def refine_sources(
             if incremental:
                 done = ingest_new_files(spark, settings, source, settings.checkpoint_path(source.name), stamp)
             else:
-                raw = read_records(spark, settings.landing_path(source.name), source.format)
+                raw = read_folder(spark, settings.landing_path(source.name), source.format)
                 done = append_refined(spark, settings, source, raw, stamp, prune=False)
             after = _stored_rows(spark, settings, source)
             state = "loaded" if after else "empty"
-            return SourceStatus(source.name, state, "", done.read, done.kept, after - before)
+            return SourceStatus(source.name, state, "", done.read, done.malformed, done.kept, after - before)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return SourceStatus(source.name, "empty", "nothing was ever landed")
@@ -124,16 +127,12 @@ def recent_papers(
 ) -> DataFrame:
     """Papers of the given sources inside the lookback window.
 
-    They come from the raw tables, which hold cleaned rows by date: files of older
-    partitions are listed but not read, and nothing is cleaned twice.
+    They come from the raw tables, which hold cleaned rows by date: only folders of the
+    window are listed, and nothing is cleaned twice.
     """
     days = settings.lookback_days
-    frames = [
-        spark.read.schema(schema.raw_table_schema())
-        .parquet(settings.raw_table_path(name))
-        .filter(partition_within_lookback(as_of, days))
-        for name in sources
-    ]
+    start = first_day(spark, as_of, days)
+    frames = [read_since(spark, settings.raw_table_path(name), schema.raw_table_schema(), start) for name in sources]
     return recent(union_papers(frames), as_of, days)
 
 
@@ -159,6 +158,7 @@ def refine_stage(
         papers = recent_papers(spark, settings, loaded, as_of)
         staging = stage_papers(papers, settings, stamp)
         staging.createOrReplaceTempView("staging_papers")
+        register_functions(spark)
         upsert_by_date(spark, staging, settings.master_path, undeduplicated=papers)
     return report
 
@@ -171,21 +171,23 @@ def vector_stage(
 ) -> None:
     """Encode the master table into the vector table.
 
-    Without ``touched`` the whole table is replaced. With it, only the date partitions
-    that occur in its rows (year, month, day) are encoded and replaced, which is what
-    an upsert of those papers needs.
+    Without ``touched`` the whole table is encoded and replaced. With it, only the date
+    partitions that occur in its rows (year, month, day) are replaced, which is what an
+    upsert of those papers needs, and only papers whose text changed are encoded; the
+    others keep their vectors. After a change of encoder, encode the whole table.
     """
     master = table_or_none(spark, settings.master_path, schema.master_schema())
     if master is None:
         log.warning("no master table to encode")
         return
-    if touched is not None:
-        master = only_touched(master, touched)
     encoder = make_encoder or hashing_encoder(settings.vector_dim)
-    points = build_points(master, encoder)
+    stored = table_or_none(spark, settings.vectors_path, schema.points_schema())
     if touched is None:
-        replace_all(points, settings.vectors_path)
+        replace_all(build_points(master, encoder), settings.vectors_path)
+    elif stored is None:
+        replace_dates(build_points(only_touched(master, touched), encoder), settings.vectors_path)
     else:
+        points = refreshed_points(only_touched(stored, touched), only_touched(master, touched), encoder)
         replace_dates(points, settings.vectors_path)
 
 
@@ -216,10 +218,11 @@ def table_checks(raw: DataFrame, master: DataFrame, points: DataFrame) -> DataFr
 
 def status_checks(spark: SparkSession, report: Iterable[SourceStatus]) -> DataFrame:
     """One check per source: it did not fail. The rows say what came of it."""
-    rows = [(f"source_{s.source}", s.state != "failed", s.state, s.detail, s.rows_read, s.rows_kept, s.rows_stored) for s in report]
+    rows = [(f"source_{s.source}", s.state != "failed", s.state, s.detail, s.rows_read, s.rows_malformed, s.rows_kept, s.rows_stored) for s in report]
     return spark.createDataFrame(
         rows,
-        "check_name string, passed boolean, state string, detail string, rows_read long, rows_kept long, rows_stored long",
+        "check_name string, passed boolean, state string, detail string, "
+        "rows_read long, rows_malformed long, rows_kept long, rows_stored long",
     )
 
 

@@ -6,8 +6,12 @@ partitions is not one atomic step and assumes a single writer.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paperlake import schema
 from paperlake.operators.merge import merge
@@ -71,18 +75,45 @@ def only_touched(target: DataFrame, papers: DataFrame) -> DataFrame:
     """Target rows in the date partitions that occur in ``papers``, and rows without a date.
 
     Undated rows share one partition; they come along so that replacing it loses none.
-    Partitions outside the first and last date are not read at all. The distinct dates
-    between them are shipped: the date type has 3.7 million days, 44 MB in all.
+    The distinct dates are shipped, which is bounded: the date type has 3.7 million days,
+    44 MB in all. Spark prunes the target's partitions by the shipped dates at run time,
+    in the same job, so others are not read.
+    """
+    dates = papers.select(*_DATE).filter("month between 1 and 12").distinct()
+    dated = target.join(F.broadcast(dates), _DATE, "left_semi")
+    return dated.unionByName(target.filter("year is null"))
+
+
+def window_folders(spark: SparkSession, path: str, start: dt.date) -> list[str]:
+    """The date folders of a table from ``start`` on, listed year by year, month by month.
+
+    Folders of earlier years and months are not opened, nor is the undated one.
     """
-    dates = papers.select(*_DATE).filter("year is not null")
-    day = F.make_date(*map(F.col, _DATE))
-    low, high = dates.agg(F.min(day), F.max(day)).first()
-    if low is None:
-        return target.filter("year is null")
-    undated = papers.sparkSession.createDataFrame([(None, None, None)], dates.schema)
-    wanted = F.broadcast(dates.distinct().unionByName(undated)).alias("d")
-    near = target.filter(F.col("year").isNull() | day.between(F.lit(low), F.lit(high))).alias("t")
-    return near.join(wanted, [F.col(f"t.{c}").eqNullSafe(F.col(f"d.{c}")) for c in _DATE], "left_semi")
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf)
+
+    def below(folder, level: int, wanted: tuple[int, ...]) -> list[tuple[tuple[int, ...], object]]:
+        found = []
+        for status in files.listStatus(folder):
+            match = re.fullmatch(rf"{_DATE[level]}=(\d+)", status.getPath().getName())
+            if match and (*wanted, int(match[1])) >= (start.year, start.month, start.day)[: level + 1]:
+                found.append(((*wanted, int(match[1])), status.getPath()))
+        return found
+
+    folders: list[tuple[tuple[int, ...], object]] = [((), root)]
+    for level in range(len(_DATE)):
+        folders = [f for values, folder in folders for f in below(folder, level, values)]
+    return sorted(folder.toString() for _, folder in folders)
+
+
+def read_since(spark: SparkSession, path: str, table_schema: StructType, start: dt.date) -> DataFrame:
+    """A date-partitioned table's rows from ``start`` on; only folders of those dates are listed."""
+    folders = window_folders(spark, path, start)
+    if not folders:
+        return spark.createDataFrame([], table_schema)
+    return spark.read.schema(table_schema).option("basePath", path).parquet(*folders)
 
 
 def upsert_by_date(

@@ -77,6 +77,7 @@ def points_schema() -> T.StructType:
             ("id", "string"),
             ("vector", "array<float>"),
             ("payload", f"struct<{payload}>"),
+            ("text_hash", "string"),
             *((c, "int") for c in PARTITION_COLUMNS),
         ]
     )

@@ -50,6 +50,7 @@ MIN_TITLE_LENGTH = 10
 MAX_ABSTRACT_LENGTH = 50_000
 MAX_FULL_TEXT_LENGTH = 1_000_000
 LOOKBACK_DAYS = 7
+MAX_FILES_PER_BATCH = 1000
 ENCODER_BATCH_SIZE = 128
 TOP_K = 10
 
@@ -79,6 +80,7 @@ class LakeSettings:
     max_full_text_length: int = MAX_FULL_TEXT_LENGTH
     lookback_days: int = LOOKBACK_DAYS
     vector_dim: int = 384
+    max_files_per_batch: int = MAX_FILES_PER_BATCH
     field_mappings: dict[str, dict[str, str]] = field(default_factory=lambda: dict(FIELD_MAPPINGS))
 
     @classmethod
@@ -111,6 +113,10 @@ class LakeSettings:
     def raw_table_path(self, source: str) -> str:
         return self._under("tables", f"{source}_raw")
 
+    def landed_files_path(self, source: str) -> str:
+        """The names of the files of each batch taken in."""
+        return self._under("tables", f"{source}_landed_files")
+
     def checkpoint_path(self, source: str) -> str:
         return self._under("checkpoints", source)
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.parquet as pq
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,10 @@ from paperlake import schema
 from paperlake.functions.identity import paper_id, pdf_object_path
 
 RECORD_FORMATS = ("parquet", "json")
+# True where a line of a record file could not be parsed; such a record is all null.
+MALFORMED = "_malformed"
+# Footers of other writers' files that the driver reads at a time.
+FOOTER_THREADS = 32
 
 
 def _checked_format(fmt: str) -> str:
@@ -35,9 +40,11 @@ def read_records(
     Without, columns come as text whatever their files hold: Parquet files of other
     writers may have dates, timestamps, or a placeholder type where all values are null.
     """
-    if record_schema is None and _checked_format(fmt) == "parquet":
-        return read_typed_files(spark, _files(spark, path, "parquet"))
-    return _reader(spark, fmt, record_schema or schema.raw_schema()).load(path)
+    if record_schema is not None:
+        return _reader(spark, fmt, record_schema).load(path)
+    if _checked_format(fmt) == "json":
+        return read_lines(spark, [path]).drop(MALFORMED)
+    return read_typed_files(spark, [r["path"] for r in _files(spark, path, fmt).collect()])
 
 
 def _reader(spark: SparkSession, fmt: str, record_schema: T.StructType) -> DataFrameReader:
@@ -45,36 +52,65 @@ def _reader(spark: SparkSession, fmt: str, record_schema: T.StructType) -> DataF
     return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
 
 
-def _files(spark: SparkSession, path: str | list[str], fmt: str) -> DataFrame:
+def _files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """The names of record files, which a scan needs on the driver anyway; no content is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", f"*.{fmt}").load(path)
+    return reader.option("pathGlobFilter", f"*.{fmt}").load(path).select("path")
 
 
 def read_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
-    """The given record files, columns as text."""
-    if fmt == "parquet":
-        return read_typed_files(spark, _files(spark, paths, fmt))
-    return _reader(spark, fmt, schema.raw_schema()).load(paths)
+    """The given record files, columns as text, and whether a record was malformed."""
+    if _checked_format(fmt) == "json":
+        return read_lines(spark, paths)
+    return read_typed_files(spark, paths).withColumn(MALFORMED, F.lit(False))
 
 
-def read_typed_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Parquet files (path, content) of any column types, columns as text.
+def read_folder(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """All record files below ``path``, columns as text, and whether a record was malformed."""
+    if _checked_format(fmt) == "json":
+        return read_lines(spark, [path])
+    return read_records(spark, path, fmt).withColumn(MALFORMED, F.lit(False))
+
+
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """JSON-lines files or folders of them; a line that cannot be parsed is marked and all null."""
+    unparsed = "_unparsed"
+    columns = T.StructType([*schema.raw_schema(), T.StructField(unparsed, T.StringType())])
+    rows = _reader(spark, "json", columns).option("columnNameOfCorruptRecord", unparsed).load(paths)
+    return rows.select(*schema.raw_schema().names, F.col(unparsed).isNotNull().alias(MALFORMED))
 
-    Tasks read the footers. Files of one schema are scanned together under it and
-    each scan is cast to text; the driver sees one row per schema with its file names,
-    which a scan needs there anyway.
-    """
 
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds = [str(pq.read_schema(pa.BufferReader(c.as_buffer())).remove_metadata()) for c in batch.column("content")]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(kinds, pa.string())], ["path", "kind"])
+def read_typed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files of any column types, columns as text; only their footers are read here.
 
-    found = files.select("path", "content").mapInArrow(footers, "path string, kind string")
-    groups = found.groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("kind").collect()
-    if not groups:
+    Spark's own job compares the footers. If all agree, one scan reads the files. If a
+    column has different types in different files, files of one schema are scanned
+    together, and each scan is cast to text.
+    """
+    if not paths:
         return spark.createDataFrame([], schema.raw_schema())
-    return union_papers([conform(spark.read.parquet(*g["paths"])) for g in groups])
+    try:
+        return conform(spark.read.option("mergeSchema", "true").parquet(*paths))
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    groups: dict[str, list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        for path, kind in zip(paths, pool.map(lambda p: _footer_schema(spark, p), paths)):
+            groups[kind].append(path)
+    return union_papers([conform(spark.read.parquet(*sorted(groups[kind]))) for kind in sorted(groups)])
+
+
+def _footer_schema(spark: SparkSession, path: str) -> str:
+    """A Parquet file's schema as its footer has it, read through the storage's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    parquet = jvm.org.apache.parquet.hadoop
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(name, conf))
+    try:
+        return reader.getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
 
 
 def write_records(df: DataFrame, path: str, run_date: dt.date, fmt: str = "parquet") -> None:

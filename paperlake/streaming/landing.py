@@ -1,54 +1,70 @@
 """Landing folders as streams: each landed file is read once, ever.
 
-The batch stage lists and reads every landed file on each run and relies on
-record fingerprints to add nothing twice. This variant keeps the list of files
-already read in a stream checkpoint, so a run costs only what is new.
+The list of files already read is kept in a stream checkpoint, so a run costs only
+what is new. A run takes any number of new files in batches of bounded size.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake.operators.quality import quality_report
+from paperlake import schema
 from paperlake.operators.refine import refine, to_records
 from paperlake.plans.tables import append_new_records
+from paperlake.session import materialize
 from paperlake.settings import LakeSettings, Source
-from paperlake.sources.records import read_files, to_papers
+from paperlake.sources.records import MALFORMED, read_files, to_papers
 
 
 @dataclass
 class Ingested:
-    """Records read and records kept by the rules."""
+    """Records read, those of them that were no records at all, and those kept by the rules."""
 
     read: int = 0
+    malformed: int = 0
     kept: int = 0
 
+    def add(self, other: Ingested) -> None:
+        self.read += other.read
+        self.malformed += other.malformed
+        self.kept += other.kept
+
 
 def landing_stream(spark: SparkSession, settings: LakeSettings, source: Source) -> DataFrame:
-    """The names of landed files; their content is not read here."""
+    """The names of landed files, a bounded number in each batch; their content is not read here."""
     return (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{source.format}")
+        .option("maxFilesPerTrigger", settings.max_files_per_batch)
         .load(settings.landing_path(source.name))
-        .select("path")
+        .select("path", "length")
     )
 
 
 def append_refined(
     spark: SparkSession, settings: LakeSettings, source: Source, raw: DataFrame, stamp: Column | None, prune: bool
 ) -> Ingested:
-    """Refine raw records and append the new ones to the source's raw table."""
-    papers = to_papers(raw, source.name)
-    kept = refine(papers, settings)
-    append_new_records(spark, to_records(kept, stamp), settings.raw_table_path(source.name), prune)
-    # One pass over the titles.
-    counts = quality_report(papers, settings.min_title_length).agg(F.sum("rows_in"), F.sum("rows_kept")).first()
-    return Ingested(*(n or 0 for n in counts))
+    """Refine raw records and append the new ones to the source's raw table.
+
+    The counts are observed by the job that reads the records. With ``prune`` that job
+    writes the refined batch aside, since it is looked at twice: for its dates and for
+    its rows. Every landed file is read once either way.
+    """
+    malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
+    taken, passed = Observation(), Observation()
+    papers = to_papers(raw.withColumn(MALFORMED, malformed), source.name, keep=[MALFORMED])
+    papers = papers.observe(taken, F.count(F.lit(1)).alias("read"), F.count_if(MALFORMED).alias("malformed"))
+    kept = refine(papers.drop(MALFORMED), settings).observe(passed, F.count(F.lit(1)).alias("kept"))
+    records = to_records(kept, stamp)
+    if prune:
+        records = materialize(records.select(*schema.raw_table_schema().names), f"batch-{source.name}")
+    append_new_records(spark, records, settings.raw_table_path(source.name), prune)
+    return Ingested(**taken.get, **passed.get)
 
 
 def ingest_new_files(
@@ -60,18 +76,21 @@ def ingest_new_files(
 ) -> Ingested:
     """Refine the files landed since the last call and append them to the raw table.
 
-    Returns when all of them are in. A batch that is retried after a failure
-    finds its records already stored and appends nothing.
+    Returns when all of them are in. Each batch's file names are written below
+    ``settings.landed_files_path`` first. A batch that is retried after a failure finds
+    its records already stored and appends nothing.
     """
     total = Ingested()
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
-        paths = [r["path"] for r in batch.collect()]
+    def append(batch: DataFrame, batch_id: int) -> None:
+        listed = f"{settings.landed_files_path(source.name)}/batch={batch_id}"
+        batch.coalesce(1).write.mode("overwrite").parquet(listed)
+        own = batch.sparkSession
+        # At most max_files_per_batch names.
+        paths = [r["path"] for r in own.read.schema("path string").parquet(listed).collect()]
         if paths:
-            own = batch.sparkSession
-            done = append_refined(own, settings, source, read_files(own, paths, source.format), stamp, prune=True)
-            total.read += done.read
-            total.kept += done.kept
+            files = read_files(own, paths, source.format)
+            total.add(append_refined(own, settings, source, files, stamp, prune=True))
 
     query = (
         landing_stream(spark, settings, source)

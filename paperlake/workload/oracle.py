@@ -211,6 +211,15 @@ def oracle_sql() -> dict[str, str]:
         "doi_valid": _WITH + f"select doc_id, doi, {_VALID_DOI} as doi_valid from papers",
         "partition_cols": _WITH + f"select doc_id, publication_date, {_DATED} from papers",
         "refine_papers": _WITH + "select * exclude (pdf_s3_path) from refined",
+        "refine_sql": _WITH + "select * exclude (pdf_s3_path) from refined",
+        "malformed_lines": _WITH
+        + """, found as (select *, doc_id % 3 = 0 as cut from papers),
+            stored as (select distinct * exclude (doc_id, source) from refined where doc_id % 3 <> 0)
+          select 'source_acm' as check_name, true as passed, 'loaded' as state, count(*) as rows_read,
+            count(*) filter (cut) as rows_malformed,
+            count(*) filter (not cut and doc_id in (select doc_id from refined)) as rows_kept,
+            (select count(*) from stored) as rows_stored
+          from found""",
         "lookback_filter": _WITH
         + "select doc_id, id, publication_date from refined where publication_date >= date '2024-03-01' - 7",
         "pdf_path": _WITH + f"select doc_id, {_PDF_PATH} as pdf_s3_path from papers",

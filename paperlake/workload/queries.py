@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from paperlake import schema
 from paperlake.functions.identity import paper_id, pdf_object_path
+from paperlake.functions.sql import register_functions
 from paperlake.functions.text import clean_text, doi_is_valid, embedding_text
 from paperlake.functions.vectors import cosine, l2_normalize
 from paperlake.operators import embed, merge, quality, refine, search
@@ -211,6 +212,43 @@ def refine_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.refined(spark, sf_dir).drop("pdf_s3_path", "ingestion_timestamp")
 
 
+@query
+def refine_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chain as a SQL user writes it, with the session's functions over a view."""
+    register_functions(spark)
+    r.papers(spark, sf_dir).createOrReplaceTempView("found_papers")
+    limits = r.SETTINGS
+    return spark.sql(
+        f"""
+        with cleaned as (
+          select doc_id, id, doi, clean_text(title) as title, clean_text(authors) as authors,
+            clean_text(abstract) as abstract, clean_text(full_text) as full_text, journal, publication_date,
+            clean_text(keywords) as keywords, pdf_url, source
+          from found_papers)
+        select doc_id, id, doi, title, authors, truncated(abstract, {limits.max_abstract_length}) as abstract,
+          truncated(full_text, {limits.max_full_text_length}) as full_text, journal, publication_date, keywords,
+          pdf_url, source, doi_is_valid(doi) as doi_valid, year(publication_date) as year,
+          month(publication_date) as month, day(publication_date) as day
+        from cleaned where long_enough(title, {limits.min_title_length})"""
+    )
+
+
+@query
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of which every third document's is cut off: what the report counts per source."""
+    settings = replace(r.SETTINGS, root=scratch_path(spark, "malformed-lake"))
+    source = settings.source("acm")
+    raw = r.raw_papers(spark, sf_dir)
+    line = F.to_json(F.struct(*schema.raw_schema().names))
+    cut = F.when(F.col("doc_id") % 3 == 0, F.expr("substring(line, 1, 20)")).otherwise(F.col("line"))
+    landed = raw.select("doc_id", line.alias("line")).select(cut.alias("value"))
+    # Lines as they are, in files that are named as JSON.
+    as_they_are = {"extension": "json", "quote": "", "sep": "\x01", "emptyValue": ""}
+    landed.write.options(**as_they_are).csv(f"{settings.landing_path(source.name)}/cut")
+    report = stages.refine_sources(spark, settings, F.lit(r.STAGING_STAMP).cast("timestamp"))
+    return stages.status_checks(spark, report).filter("check_name = 'source_acm'").drop("detail")
+
+
 @query
 def lookback_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = refine.recent(r.refined(spark, sf_dir), r.AS_OF, r.SETTINGS.lookback_days)

@@ -99,11 +99,9 @@ def test_lookback_is_inclusive_and_open_ended(spark):
     assert evaluate(column(spark, days, "date"), inside) == [False, True, True, None]
 
 
-def test_partition_window_agrees_with_date_window(spark):
-    days = [dt.date(2024, 2, 22), dt.date(2024, 2, 23), dt.date(2024, 3, 2), None]
-    df = column(spark, days, "date").withColumns(dates.partition_values(F.col("c")))
-    inside = dates.partition_within_lookback(dt.date(2024, 3, 1), 7)
-    assert evaluate(df, inside) == [False, True, True, None]
+def test_first_day_of_the_window(spark):
+    assert dates.first_day(spark, dt.date(2024, 3, 1), 7) == dt.date(2024, 2, 23)
+    assert dates.first_day(spark, None, 0) == spark.sql("select current_date()").first()[0]
 
 
 @pytest.mark.parametrize("a,b", [([1.0, 2.0], [2.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), ([3.0], [-3.0])])

@@ -60,6 +60,20 @@ def test_files_of_other_writers_load_with_the_same_ids(spark, folder):
     assert dt.datetime(2024, 1, 16, 1, 2, 3) in {r["ingestion_timestamp"] for r in rows}
 
 
+def test_footers_are_read_without_the_files_content(spark, folder):
+    """Files of three schemas, each larger than what a binary file row may hold."""
+    records.write_records(records.prepare_records(sample_records(spark, "arxiv"), "b", DAY), folder, DAY)
+    frame = pd.DataFrame(SAMPLE_RECORDS["arxiv"])
+    frame.to_parquet(f"{folder}/a b.parquet")
+    frame.assign(publication_date=[dt.date(2024, 1, 15), dt.date(2024, 1, 14)]).to_parquet(f"{folder}/typed.parquet")
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "1000")
+    try:
+        assert records.to_papers(records.read_records(spark, folder)).count() == 6
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_an_empty_folder_has_no_records(spark, folder):
     assert records.read_records(spark, folder).isEmpty()
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
+import re
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,14 +172,92 @@ def test_lookback_keeps_older_papers_out_of_the_master(spark, lake):
     assert spark.read.parquet(lake.raw_table_path("pubmed")).count() == 1
 
 
-def test_lookback_prunes_raw_partitions(spark, lake):
+def test_lookback_lists_only_the_days_of_its_window(spark, lake):
     land(spark, lake, "arxiv")
     stages.refine_sources(spark, lake)
     recent = stages.recent_papers(spark, lake, ["arxiv"], dt.date(2024, 1, 22))
     plan = plan_of(recent)
-    filters = plan[plan.index("PartitionFilters"):]
-    assert "make_date" in filters[: filters.index("PushedFilters")]
+    (folder,) = re.findall(r"InMemoryFileIndex.*?\[([^\]]*)\]", plan)
+    assert folder.endswith("/tables/arxiv_raw/year=2024/month=1/day=15")
     assert "GreaterThanOrEqual(publication_date,2024-01-15)" in plan
+    assert stages.recent_papers(spark, lake, ["arxiv"], dt.date(2024, 2, 22)).isEmpty()
+
+
+def test_many_landed_files_arrive_in_bounded_batches(spark, lake):
+    lake = replace(lake, max_files_per_batch=10)
+    for name in ("arxiv", "pubmed"):
+        many = sample_records(spark, name).limit(1).crossJoin(spark.range(35).toDF("n"))
+        many = many.withColumn("title", F.concat("title", F.lit(" "), "n")).drop("n").repartition(35, "title")
+        many.write.format(lake.source(name).format).save(f"{lake.landing_path(name)}/many")
+    stages.refine_sources(spark, lake)
+    report = {s.source: s for s in stages.refine_sources(spark, lake)}
+    for name in ("arxiv", "pubmed"):
+        listed = spark.read.parquet(lake.landed_files_path(name)).groupBy("batch").count().collect()
+        files = glob.glob(f"{lake.landing_path(name)}/many/*.{lake.source(name).format}")
+        assert len(files) > 20 and len(listed) == -(-len(files) // 10)
+        assert max(r["count"] for r in listed) == 10 and sum(r["count"] for r in listed) == len(files)
+        assert spark.read.parquet(lake.raw_table_path(name)).count() == 35
+        assert (report[name].rows_read, report[name].rows_stored) == (0, 0)
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_malformed_lines_are_counted(spark, lake, incremental):
+    land(spark, lake, "arxiv")
+    path = lake.landing_path("pubmed")
+    os.makedirs(path)
+    with open(f"{path}/a.json", "w") as f:
+        f.write('{"title": "long enough title"}\n{broken\n{"title": "short"}\n\n[]\n')
+    report = {s.source: s for s in stages.refine_sources(spark, lake, incremental=incremental)}
+    pubmed = report["pubmed"]
+    assert (pubmed.rows_malformed, pubmed.rows_kept, pubmed.rows_stored) == (pubmed.rows_read - 2, 1, 1)
+    assert pubmed.rows_malformed in (1, 2)
+    assert (report["arxiv"].rows_read, report["arxiv"].rows_malformed) == (2, 0)
+
+
+def test_only_changed_papers_are_encoded(spark, lake, folder):
+    seen = f"{folder}/seen"
+    os.makedirs(seen)
+
+    class Counting:
+        def __call__(self, texts):
+            import uuid
+
+            with open(f"{seen}/{uuid.uuid4()}", "w") as f:
+                f.write(str(len(texts)))
+            return np.full((len(texts), 2), 0.5 + len(os.listdir(seen)), np.float32)
+
+    def encoded():
+        return sum(int(open(f"{seen}/{name}").read()) for name in os.listdir(seen))
+
+    base = sample_records(spark, "arxiv")
+    stages.run_all(spark, lake, {"arxiv": base}, "bucket", DAY, DAY, make_encoder=Counting)
+    assert encoded() == 2
+    first = {r["id"]: r["vector"] for r in points(spark, lake).collect()}
+    # A new DOI changes the payload, not the text.
+    late = base.withColumn("doi", F.lit("10.1000/late"))
+    stages.run_all(spark, lake, {"arxiv": late}, "bucket", DAY + dt.timedelta(1), DAY, make_encoder=Counting)
+    assert encoded() == 2
+    rows = points(spark, lake).collect()
+    assert {r["id"]: r["vector"] for r in rows} == first
+    assert {r["payload"]["doi"] for r in rows} == {"10.1000/late"}
+    ids = F.when(F.col("publication_date") == "2024-01-15", F.lit("a changed abstract")).otherwise(F.col("abstract"))
+    changed = late.withColumn("abstract", ids)
+    stages.run_all(spark, lake, {"arxiv": changed}, "bucket", DAY + dt.timedelta(2), DAY, make_encoder=Counting)
+    assert encoded() == 3
+    after = {r["id"]: r["vector"] for r in points(spark, lake).collect()}
+    assert sum(after[i] != first[i] for i in first) == 1
+
+
+def test_sql_users_have_the_rules(spark, lake):
+    land(spark, lake, "arxiv", "pubmed")
+    stages.refine_stage(spark, lake, DAY)
+    (row,) = spark.sql(
+        """select count(*) as n, count_if(doi_valid = doi_is_valid(doi)) as same_doi,
+             count_if(clean_text(title) = title) as clean,
+             count_if(id = paper_id(concat('  ', upper(title)), authors, cast(publication_date as string))) as same_id
+           from staging_papers"""
+    ).collect()
+    assert tuple(row) == (3, 3, 3, 3)
 
 
 def test_vector_stage_replaces_all_or_only_recent_dates(spark, lake):

@@ -209,13 +209,50 @@ def test_touched_partitions_are_pruned(spark, folder):
     path = f"{folder}/master"
     tables.upsert_by_date(spark, master_rows(spark, paper("a", D1), paper("b", D2)), path)
     stored = spark.read.schema(schema.master_schema()).parquet(path)
-    staged = master_rows(spark, paper("b", D2, NEW))
-    plan = plan_of(tables.only_touched(stored, staged))
+    # As files: rows given in place would be planned away.
+    master_rows(spark, paper("b", D2, NEW)).write.parquet(f"{folder}/batch")
+    staged = spark.read.schema(schema.master_schema()).parquet(f"{folder}/batch")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    try:
+        plan = plan_of(tables.only_touched(stored, staged))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = plan[plan.index("PartitionFilters"):]
-    assert "make_date" in filters[: filters.index("PushedFilters")]
+    assert "dynamicpruning" in filters[: filters.index("PushedFilters")]
     assert "BroadcastHashJoin" in plan
 
 
+def test_a_merge_reads_the_batch_and_prunes_the_target_in_one_job(spark, folder, monkeypatch):
+    path, batch = f"{folder}/master", f"{folder}/batch"
+    tables.upsert_by_date(spark, master_rows(spark, *(paper(f"p{d}", dt.date(2024, 1, d)) for d in range(1, 29))), path)
+    master_rows(spark, paper("p5", dt.date(2024, 1, 5), NEW)).write.parquet(batch)
+    staged = spark.read.schema(schema.master_schema()).parquet(batch)
+    plans = []
+    monkeypatch.setattr(tables, "replace_dates", lambda df, _: (df.collect(), plans.append(plan_of(df))))
+    tables.upsert_by_date(spark, staged, path)
+    assert "dynamicpruning" in plans[0]
+    monkeypatch.undo()
+    tables.upsert_by_date(spark, staged, path)
+    assert {r["id"] for r in spark.read.parquet(path).collect()} == {f"p{d}" for d in range(1, 29)}
+
+
+def test_window_folders(spark, folder):
+    path = f"{folder}/raw"
+    dates = [dt.date(2022, 12, 31), dt.date(2023, 1, 5), dt.date(2023, 11, 9), dt.date(2024, 1, 2), None]
+    tables.append_by_date(master_rows(spark, *(paper(str(d), d) for d in dates)), path)
+
+    def days(start):
+        return [f.split("year=")[1] for f in tables.window_folders(spark, path, start)]
+
+    assert days(dt.date(2023, 1, 6)) == ["2023/month=11/day=9", "2024/month=1/day=2"]
+    assert days(dt.date(2024, 1, 2)) == ["2024/month=1/day=2"]
+    assert days(dt.date(2024, 1, 3)) == []
+    assert len(days(dt.date(1, 1, 1))) == 4
+    read = tables.read_since(spark, path, schema.master_schema(), dt.date(2023, 1, 6))
+    assert {(r["id"], r["year"]) for r in read.collect()} == {("2023-11-09", 2023), ("2024-01-02", 2024)}
+    assert tables.read_since(spark, path, schema.master_schema(), dt.date(2025, 1, 1)).isEmpty()
+
+
 def test_quality_report(spark):
     rows = papers(
         spark,
