@@ -49,10 +49,11 @@ ENTROPY_KINDS = (
     # Too few different characters for the share of entropy64.
     EntropyKind("entropy16upper", _DIGITS + "ABCDEF", 20, 24, 0.78),
 )
-# Words (joined or not), numbers and dates, and UUIDs are no secrets.
+# Words (joined or not), numbers and dates, and UUIDs are no secrets. No group repeats: such
+# a pattern would take a stack frame for each part of a long string.
 ALLOWED = (
-    r"^[A-Za-z]+([-_/+=]+[A-Za-z]*)*$",
-    r"^[0-9]+([-_/+=]+[0-9]*)*$",
+    r"^[A-Za-z][A-Za-z\-_/+=]*$",
+    r"^[0-9][0-9\-_/+=]*$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
 )
 KINDS = BASE_KINDS + tuple(k.name for k in ENTROPY_KINDS)
@@ -108,16 +109,31 @@ def _f(count: Column, window: int) -> Column:
     return F.get(table, count)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often and deeply it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _counted(counts: Column, place: Column, by: int) -> Column:
+    """The counts with one of them changed."""
+    changed = F.array(F.get(counts, place) + by)
+    return F.concat(F.slice(counts, 1, place), changed, F.slice(counts, place + 2, F.size(counts)))
+
+
 def _high_part(string: Column, kind: EntropyKind) -> Column:
     """Start and end of the part of a string covered by windows of high entropy; nulls if there is none.
 
     The entropy of a window of w characters with counts c is
     ``log2(w) - sum(c * log2(c)) / w``. The state keeps the counts and the sum, and
-    each step changes at most two counts. A string shorter than the window is one window.
+    each step changes at most two counts, so the time is linear in the string. A string
+    shorter than the window is one window.
     """
-    size = F.char_length(string)
-    width = F.least(F.lit(kind.window), size)
-    needed = F.lit(kind.share) * F.least(F.log2(width), F.lit(math.log2(len(kind.alphabet))))
+    width = F.least(F.lit(kind.window), F.char_length(string))
+    scan = F.struct(
+        F.transform(F.split(string, ""), lambda c: F.instr(F.lit(kind.alphabet), c) - 1).alias("places"),
+        width.alias("width"),
+        (F.lit(kind.share) * F.least(F.log2(width), F.lit(math.log2(len(kind.alphabet))))).alias("needed"),
+    )
     zero = F.struct(
         F.array_repeat(F.lit(0), len(kind.alphabet)).alias("counts"),
         F.lit(0.0).alias("sum"),
@@ -125,28 +141,33 @@ def _high_part(string: Column, kind: EntropyKind) -> Column:
         F.lit(None).cast("int").alias("last"),
     )
 
-    def place(at: Column) -> Column:
-        return F.instr(F.lit(kind.alphabet), F.substring(string, at, F.lit(1))) - 1
-
-    def step(state: Column, at: Column) -> Column:
-        full = at > width
-        gone = F.when(full, place(at - width)).otherwise(F.lit(-1))
-        come = place(at)
-        down, up = F.get(state["counts"], F.greatest(gone, F.lit(0))), F.get(state["counts"], come)
-        up = up - (gone == come).cast("int")
-        total = state["sum"] + F.when(full, _f(down - 1, kind.window) - _f(down, kind.window)).otherwise(0.0)
-        total = total + _f(up + 1, kind.window) - _f(up, kind.window)
-        counts = F.transform(state["counts"], lambda c, i: c + (i == come).cast("int") - (i == gone).cast("int"))
-        high = (at >= width) & (F.log2(width) - total / width >= needed)
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("sum"),
-            F.coalesce(state["first"], F.when(high, at - width)).alias("first"),
-            F.when(high, at).otherwise(state["last"]).alias("last"),
-        )
-
-    end = F.aggregate(F.sequence(F.lit(1), size), zero, step)
-    return F.struct(end["first"].alias("first"), end["last"].alias("last"))
+    def slid(scan: Column) -> Column:
+        places, width = scan["places"], scan["width"]
+
+        def step(state: Column, at: Column) -> Column:
+            full = at > width
+            gone, come = F.get(places, at - width - 1), F.get(places, at - 1)
+            left = F.when(full, _counted(state["counts"], gone, -1)).otherwise(state["counts"])
+            down = F.get(state["counts"], gone)
+            total = state["sum"] + F.when(full, _f(down - 1, kind.window) - _f(down, kind.window)).otherwise(0.0)
+
+            def taken_in(held: Column) -> Column:
+                up = F.get(held["counts"], come)
+                total = held["sum"] + _f(up + 1, kind.window) - _f(up, kind.window)
+                high = (at >= width) & (F.log2(width) - total / width >= scan["needed"])
+                return F.struct(
+                    _counted(held["counts"], come, 1).alias("counts"),
+                    total.alias("sum"),
+                    F.coalesce(state["first"], F.when(high, at - width)).alias("first"),
+                    F.when(high, at).otherwise(state["last"]).alias("last"),
+                )
+
+            return _let(F.struct(left.alias("counts"), total.alias("sum")), taken_in)
+
+        end = F.aggregate(F.sequence(F.lit(1), F.size(places)), zero, step)
+        return _let(end, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
+
+    return _let(scan, slid)
 
 
 def _suspicious(string: Column) -> Column:

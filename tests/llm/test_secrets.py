@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -39,13 +42,13 @@ def brute_base(text):
     return sorted(found)
 
 
-def brute_high(string, kind):
+def brute_high(text, kind):
     """Every window's entropy from scratch."""
-    width = min(kind.window, len(string))
+    width = min(kind.window, len(text))
     needed = kind.share * min(math.log2(width), math.log2(len(kind.alphabet)))
     high = []
-    for at in range(len(string) - width + 1):
-        counts = Counter(string[at : at + width]).values()
+    for at in range(len(text) - width + 1):
+        counts = Counter(text[at : at + width]).values()
         if -sum(c / width * math.log2(c / width) for c in counts) >= needed + 1e-9:
             high.append(at)
     return (high[0], high[-1] + width) if high else None
@@ -124,3 +127,35 @@ def test_upper_case_hexadecimal_keys_are_found_and_redacted(spark):
         # The span covers all windows of high entropy; a low one at an end may leave characters of the key.
         left = kept[i].removeprefix("the key ").removesuffix(" of it").replace(secrets.REDACTED, "")
         assert len(left) <= len(keys[i]) - 20 and secrets.REDACTED in kept[i] if i < len(keys) else kept[i] == text
+
+
+def test_long_strings_take_linear_time_and_no_stack(spark):
+    """A megabyte of base64, strings of ten thousand joined parts, and what is hidden behind them."""
+    rng = random.Random(11)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    encoded = "".join(rng.choice(alphabet) for _ in range(1_000_000))
+    texts = [
+        f"data:{encoded} password=abcdefgh1",
+        "a" + "-a" * 10_000 + " password=abcdefgh1",
+        "1" + "-1" * 10_000,
+        "word" + "+/_=-" * 5_000 + "7",
+    ]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCUMENT)
+    found = {r["doc_id"]: [(s["start"], s["rank"], s["kind"], s["end"]) for s in r["spans"]] for r in secrets.find_secrets(df).collect()}
+    for i, text in enumerate(texts):
+        assert [s for s in found[i] if s[2] in secrets.BASE_KINDS] == brute_base(text)
+    assert found[0][0] == (5, secrets.KINDS.index("entropy64"), "entropy64", 1_000_005)
+    assert found[2] == []
+    kept = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert kept[0] == f"data:{secrets.REDACTED} {secrets.REDACTED}" and kept[2] == texts[2]
+    assert kept[1] == texts[1].removesuffix("password=abcdefgh1") + secrets.REDACTED
+
+
+@pytest.mark.parametrize("pattern,parts", [(0, "aZ"), (1, "07")])
+def test_the_allow_list_is_joined_words_or_numbers(pattern, parts):
+    """As patterns with repeated groups said it, for all short strings."""
+    old = [r"^[A-Za-z]+([-_/+=]+[A-Za-z]*)*$", r"^[0-9]+([-_/+=]+[0-9]*)*$"][pattern]
+    for size in range(1, 6):
+        for letters in itertools.product(parts + "-=_.", repeat=size):
+            text = "".join(letters)
+            assert bool(re.search(secrets.ALLOWED[pattern], text)) == bool(re.search(old, text)), text
