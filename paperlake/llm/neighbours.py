@@ -1,7 +1,8 @@
 """Exact nearest neighbours by Euclidean distance, as a join of blocks of a matrix.
 
-Vectors are rounded to 8 bits with a scale of their own, and the length of what the
-rounding lost is kept. A task multiplies one block of queries with one block of
+Vectors are taken from their mean, which changes no distance but keeps what all have in
+common out of the codes, and rounded to 8 bits with a scale of their own; the length of
+what the rounding lost is kept. A task multiplies one block of queries with one block of
 candidates as whole numbers; the distance of the rounded vectors differs from the
 true one by at most both lengths lost. Per query and block a heap of the k smallest
 upper bounds says how near the k-th neighbour must be, and only candidates whose
@@ -16,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +45,13 @@ def usable_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.withColumn("dim", F.size("vector"))
 
 
-def _coded(vectors: DataFrame, blocks: int) -> DataFrame:
+def _means(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """The mean vector per dimension; it need not be exact, only the same for all."""
+    mean = vector_to_array(Summarizer.mean(array_to_vector("vector")))
+    return {r["dim"]: np.nan_to_num(np.array(r["mean"]), posinf=0.0, neginf=0.0) for r in vectors.groupBy("dim").agg(mean.alias("mean")).collect()}
+
+
+def _coded(vectors: DataFrame, blocks: int, means: dict[int, np.ndarray]) -> DataFrame:
     """8-bit codes, the rounded vector's squared length, and the length of the rounding error."""
     rows = vectors.select("id", "dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "vector")
 
@@ -50,13 +59,17 @@ def _coded(vectors: DataFrame, blocks: int) -> DataFrame:
         for batch in batches:
             codes, scales, norms, losts = [], [], [], []
             for value in batch.column("vector"):
-                x = value.values.to_numpy(zero_copy_only=False)
+                given = value.values.to_numpy(zero_copy_only=False)
+                mean = means.get(len(given), 0.0)
+                x = given - mean
                 scale = np.abs(x).max() / 127
                 rounded = np.rint(x / scale) if scale > 0 else np.zeros_like(x)
                 codes.append(rounded.astype(np.int8).tobytes())
                 scales.append(scale)
                 norms.append(scale * scale * float(rounded @ rounded))
-                losts.append(float(np.sqrt(((x - scale * rounded) ** 2).sum())))
+                # The subtraction rounds too, by half a unit in the last place of its result at most.
+                lost = np.sqrt(((x - scale * rounded) ** 2).sum()) + 1e-15 * np.sqrt((x * x).sum())
+                losts.append(float(lost))
             columns = [*(batch.column(c) for c in ("id", "dim", "block")), pa.array(codes, pa.binary())]
             columns += [pa.array(c, pa.float64()) for c in (scales, norms, losts)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "dim", "block", "code", "scale", "norm", "lost"])
@@ -113,9 +126,10 @@ def survivors(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: in
     def every(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    right = _coded(few, n_candidates).withColumnRenamed("block", "candidate_block")
+    means = _means(few)
+    right = _coded(few, n_candidates, means).withColumnRenamed("block", "candidate_block")
     right = right.withColumn("query_block", every(n_queries))
-    left = _coded(queries, n_queries).withColumnRenamed("block", "query_block")
+    left = _coded(queries, n_queries, means).withColumnRenamed("block", "query_block")
     left = left.withColumn("candidate_block", every(n_candidates))
     keys = ["dim", "query_block", "candidate_block"]
 

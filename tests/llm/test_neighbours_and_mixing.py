@@ -31,6 +31,20 @@ def vectors(seed=0, n=120, dim=7):
     return rows
 
 
+def test_a_common_offset_does_not_loosen_the_bounds(spark):
+    """A large share in one component, as many embeddings have, leaves as few pairs as without."""
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(900, 64))
+    left = {}
+    for shift in (0.0, 1000.0):
+        moved = points.copy()
+        moved[:, 0] += shift
+        rows = [(i, v.tolist()) for i, v in enumerate(moved)]
+        usable = neighbours.usable_vectors(spark.createDataFrame(rows, "i long, v array<double>"), "i", "v")
+        left[shift] = neighbours.survivors(usable, usable.filter("id % 30 = 0"), 10).count()
+    assert 300 <= left[1000.0] < 1.1 * left[0.0] < 2000
+
+
 @pytest.mark.parametrize("k,block_rows", [(3, 1000), (10, 16), (500, 16)])
 def test_nearest_equal_brute_force(spark, k, block_rows):
     rows = vectors()
