@@ -160,16 +160,27 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def resolve_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Adds ``original`` to record headers: of equal payloads, the place and page of the first.
 
-    Headers are grouped by payload digest and length and joined back; the record with
+    Headers are grouped by payload digest and length and joined back; the response with
     the smallest page id is the original, among those the first by file and offset.
     Records without page id come last. Payloads under ``min_bytes`` are their own originals.
+
+    A revisit record holds no payload, so it is nobody's original. One whose original is
+    not in these archives keeps the page it refers to, whatever its size.
     """
     place = F.struct(F.col("page_id").isNull().alias("nameless"), "page_id", "file", "offset")
     rows = records.withColumn("_place", place)
-    firsts = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
+    full = rows.filter(F.col("record_type") != "revisit")
+    firsts = full.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
     firsts = firsts.agg(F.min("_place").alias("original"))
     joined = rows.join(firsts, ["payload_digest", "payload_bytes"], "left")
-    return joined.withColumn("original", F.coalesce("original", "_place")).drop("_place")
+    nowhere = F.struct(
+        F.lit(True).alias("nameless"),
+        F.col("refers_to").alias("page_id"),
+        F.lit(None).cast("string").alias("file"),
+        F.lit(None).cast("long").alias("offset"),
+    )
+    own = F.when(F.col("record_type") == "revisit", nowhere).otherwise(F.col("_place"))
+    return joined.withColumn("original", F.coalesce("original", own)).drop("_place")
 
 
 def deduplicate(spark: SparkSession, source: str, target: str, min_bytes: int = 0) -> None:
@@ -180,6 +191,7 @@ def deduplicate(spark: SparkSession, source: str, target: str, min_bytes: int =
     """
     decided = resolve_revisits(read_records(spark, source), min_bytes)
     is_original = (F.col("original.file") == F.col("file")) & (F.col("original.offset") == F.col("offset"))
+    is_original = F.coalesce(is_original, F.lit(False))
     decision = F.struct("offset", is_original.alias("keep"), F.col("original.page_id").alias("page_id"))
     by_file = decided.groupBy(F.col("file").alias("path")).agg(F.collect_list(decision).alias("decisions"))
 
@@ -201,22 +213,28 @@ def deduplicate(spark: SparkSession, source: str, target: str, min_bytes: int =
 
 
 def _fresh(record: Record, keep: bool, original_page: int | None) -> bytes:
-    """The record as written to the new archive: with its block, or as a revisit with the HTTP header only."""
+    """The record as written to the new archive: with its block, or as a revisit with the HTTP header only.
+
+    Digest and length are those of the full payload, which a revisit read in has in its header only.
+    """
     payload, old = record.payload, record.fields
+    again = old.get("warc-type") == "revisit"
     block = record.block if keep else record.block[: len(record.block) - len(payload)]
+    digest = old.get("warc-payload-digest", "") if again else f"sha1:{_digest(payload)}"
+    length = old.get("x-payload-length", "") if again else str(len(payload))
     fields = {
         "WARC-Type": "response" if keep else "revisit",
         "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, old.get('warc-record-id', '') + str(keep))}>",
         "WARC-Date": old.get("warc-date", DATE),
         "WARC-Target-URI": old.get("warc-target-uri", ""),
-        "WARC-Payload-Digest": f"sha1:{_digest(payload)}",
+        "WARC-Payload-Digest": digest,
         "X-Page-ID": old.get("x-page-id", ""),
     }
     if not keep:
         fields |= {
             "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             "X-Refers-To-Page-ID": "" if original_page is None else str(original_page),
-            "X-Payload-Length": str(len(payload)),
+            "X-Payload-Length": length,
         }
     fields |= {"Content-Type": old.get("content-type", ""), "Content-Length": str(len(block))}
     header = "".join(f"{k}: {v}{_EOL}" for k, v in fields.items())

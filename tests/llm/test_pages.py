@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,40 @@ def test_written_records_are_well_formed(spark, folder):
     assert len({r.fields["warc-record-id"] for r in records.values()}) == 3
 
 
+def headers(spark, path):
+    return sorted((tuple(r) for r in warc.read_records(spark, path).drop("file", "offset").collect()), key=str)
+
+
+def test_archives_of_revisits_stay_as_they_are(spark, folder):
+    df = spark.createDataFrame([(i, f"http://h/{i}", p) for i, p in enumerate(PAYLOADS)], PAGE)
+    warc.write_pages(df.coalesce(2), f"{folder}/in")
+    warc.deduplicate(spark, f"{folder}/in", f"{folder}/once", min_bytes=5)
+    warc.deduplicate(spark, f"{folder}/once", f"{folder}/twice", min_bytes=5)
+    once = headers(spark, f"{folder}/once")
+    assert {r[2] for r in once} == {"response", "revisit"} and headers(spark, f"{folder}/twice") == once
+
+
+def test_a_revisit_is_nobodys_original(spark, folder):
+    """An archive with page 1's revisit only, then together with a later response of the same payload."""
+    same = [(0, "http://h/0", "<p>one</p>"), (1, "http://h/1", "<p>one</p>")]
+    warc.write_pages(spark.createDataFrame(same, PAGE).coalesce(1), f"{folder}/in")
+    warc.deduplicate(spark, f"{folder}/in", f"{folder}/both")
+    (content,) = [r["content"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/both").collect()]
+    revisit = gzip.decompress(content)
+    os.makedirs(f"{folder}/alone")
+    with gzip.open(f"{folder}/alone/part-0.gz", "wb") as f:
+        f.write(revisit[[r.offset for r in warc.parse_records(revisit) if r.fields["warc-type"] == "revisit"][0] :])
+    warc.deduplicate(spark, f"{folder}/alone", f"{folder}/still")
+    row = (1, "http://h/1", "revisit", 10, digest(b"<p>one</p>"), 0)
+    assert headers(spark, f"{folder}/still") == [row]
+    warc.write_pages(spark.createDataFrame([(9, "http://h/9", "<p>one</p>")], PAGE).coalesce(1), f"{folder}/more")
+    for name in os.listdir(f"{folder}/more"):
+        if name.startswith("part-"):
+            os.link(f"{folder}/more/{name}", f"{folder}/alone/{name}")
+    warc.deduplicate(spark, f"{folder}/alone", f"{folder}/found")
+    assert headers(spark, f"{folder}/found") == [(*row[:5], 9), (9, "http://h/9", "response", 10, row[4], None)]
+
+
 def test_empty_archives(spark):
     assert warc.deduplicated_pages(spark.createDataFrame([], PAGE)).collect() == []
 
