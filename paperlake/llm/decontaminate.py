@@ -33,7 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paperlake.llm.slices import text_slices
 from paperlake.llm.words import Words, sequence_hashes, text_bytes, window_starts
+from paperlake.session import materialize
 
 PASSAGE, STRIDE = 32, 16
 FEATURE_BITS = 13
@@ -134,8 +136,34 @@ def _cells(features: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: in
     return np.where(inside, features[np.minimum(at, max(len(features) - 1, 0))], _FEATURES)
 
 
-def _summed(documents: DataFrame, add, width: int) -> np.ndarray:
-    """The sum over all tasks of the table of ``_FEATURES + 1`` rows that ``add(texts, table)`` fills.
+def _stored_features(documents: DataFrame) -> DataFrame:
+    """``features`` of each text's words in order, two bytes each, written to the shared folder.
+
+    The statistics read these, so texts are cut into words once for all of them.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in _pieces(batch.column("text")):
+                words = _words(texts)
+                data = _features(words.hashes).astype("<u2").tobytes()
+                offsets = (2 * words.first).astype(np.int32).tobytes()
+                column = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([column], ["features"])
+
+    return materialize(documents.select("text").mapInArrow(number, "features binary"), "word-features")
+
+
+def _feature_lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All features, and the first of each row."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    held = np.frombuffer(data, "<u2") if data is not None else np.empty(0, "<u2")
+    return held[at[0] // 2 : at[-1] // 2].astype(np.int64), (at - at[0]) // 2
+
+
+def _summed(stored: DataFrame, add, width: int) -> np.ndarray:
+    """The sum over all tasks of the table of ``_FEATURES + 1`` rows that ``add(features, first, table)`` fills.
 
     Tables are cut into slices and added up in parts of the tasks first, then over the
     parts, so no task adds up what all others made.
@@ -143,8 +171,8 @@ def _summed(documents: DataFrame, add, width: int) -> np.ndarray:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((_FEATURES + 1, width))
         for batch in batches:
-            for _, texts in _pieces(batch.column("text")):
-                add(texts, table)
+            for part in text_slices(batch, "features", _PIECE_BYTES // 2):
+                add(*_feature_lists(part.column("features")), table)
         cells = [p.tobytes() for p in np.array_split(table.astype(np.float32) if width > 1 else table, _SLICES)]
         yield pa.RecordBatch.from_pydict({"slice": pa.array(range(_SLICES), pa.int32()), "cells": pa.array(cells, pa.binary())})
 
@@ -157,7 +185,7 @@ def _summed(documents: DataFrame, add, width: int) -> np.ndarray:
 
     add_up = total if width > 1 else total_counts
     schema = "slice int, cells binary"
-    made = documents.select("text").mapInArrow(fill, schema).withColumn("part", F.spark_partition_id() % _PARTS)
+    made = stored.mapInArrow(fill, schema).withColumn("part", F.spark_partition_id() % _PARTS)
     some = made.groupBy("slice", "part").applyInArrow(add_up, schema)
     rows = some.groupBy("slice").applyInArrow(add_up, schema).collect()
     kind = np.float32 if width > 1 else np.float64
@@ -169,11 +197,9 @@ def _one_slice(group: pa.Table, cells: np.ndarray) -> pa.Table:
     return pa.table({"slice": group.column("slice").slice(0, 1), "cells": pa.array([cells.tobytes()], pa.binary())})
 
 
-def _count_passages(texts: pa.Array, table: np.ndarray) -> None:
+def _count_passages(features: np.ndarray, first: np.ndarray, table: np.ndarray) -> None:
     """Adds to each feature the passages that have it; the extra row counts passages."""
-    words = _words(texts)
-    features = _features(words.hashes)
-    _, starts, ends = _passages(words.first, PASSAGE)
+    _, starts, ends = _passages(first, PASSAGE)
     cells = np.sort(_cells(features, starts, ends, PASSAGE), axis=1)
     new = np.ones_like(cells, dtype=bool)
     new[:, 1:] = cells[:, 1:] != cells[:, :-1]
@@ -191,15 +217,15 @@ def _sparse_test(columns: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return column, sign
 
 
-def _gram_step(texts: pa.Array, table: np.ndarray, idf: np.ndarray, column: np.ndarray, sign: np.ndarray) -> None:
+def _gram_step(
+    features: np.ndarray, first: np.ndarray, table: np.ndarray, idf: np.ndarray, column: np.ndarray, sign: np.ndarray
+) -> None:
     """Adds ``a (a' test)`` for the TF-IDF vector ``a``, of unit length, of each passage.
 
     The test matrix has one entry per feature, so the product is a sum over the pairs
     of words of a passage.
     """
-    words = _words(texts)
-    features = _features(words.hashes)
-    _, all_starts, all_ends = _passages(words.first, PASSAGE)
+    _, all_starts, all_ends = _passages(first, PASSAGE)
     width = table.shape[1]
     for at in range(0, len(all_starts), _PASSAGES_AT_ONCE):
         part = slice(at, at + _PASSAGES_AT_ONCE)
@@ -235,8 +261,9 @@ class LatentSpace:
 
     @classmethod
     def fit(cls, documents: DataFrame, rank: int = RANK, seed: int = 5) -> LatentSpace:
-        """From all passages of all documents, in two passes."""
-        counts = _summed(documents, _count_passages, 1)[:, 0]
+        """From all passages of all documents, in two passes over the features of their words."""
+        stored = _stored_features(documents)
+        counts = _summed(stored, _count_passages, 1)[:, 0]
         # Above 0 also for a word that all passages have.
         idf = np.log((2 + counts[_FEATURES]) / (1 + counts))
         idf[_FEATURES] = 0.0
@@ -245,10 +272,10 @@ class LatentSpace:
         test = np.zeros((_FEATURES, columns))
         test[np.arange(_FEATURES), column[:-1]] = sign[:-1]
 
-        def add(texts: pa.Array, table: np.ndarray) -> None:
-            _gram_step(texts, table, idf, column, sign)
+        def add(features: np.ndarray, first: np.ndarray, table: np.ndarray) -> None:
+            _gram_step(features, first, table, idf, column, sign)
 
-        sketch = _summed(documents, add, columns)[:_FEATURES]
+        sketch = _summed(stored, add, columns)[:_FEATURES]
         vectors = _directions(sketch, test, rank)
         # Direction from the singular vectors, length from the idf: no word outweighs a passage.
         # What all passages have in common is taken off, unless that is nearly all there is.
