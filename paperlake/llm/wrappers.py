@@ -7,11 +7,15 @@ page after the other: elements found on one side only become optional, neighbour
 with one label become one repeated element, texts that differ become slots. Aligning
 two wrappers is the same operation, so wrappers of parts of a host are merged.
 
-The host's wrapper names the element that holds the article: an article or main
-element if the host has one, else the element that gathers most of the text that
-varies between pages; fixed texts in such an element are template and go. Elements
-whose name, role or class says menu, header, footer, sidebar, notice, advert, form or
-comment are left out everywhere, but by class only if they hold no article or page heading.
+The host's wrapper names the elements that may hold the article: all article or main
+elements of the host, else the element that gathers most of the text that varies
+between pages. On a page the one with most text is the article. Texts that all pages of
+a host have at one place are template and go, in an article only if they stand in a
+box of their own and are a small part of it. Elements whose name, role or whole class says menu, header, footer, sidebar,
+notice, advert, form or comment are left out everywhere, but by class only if they hold no
+article or page heading. Where only a part of a class name says so, as in
+``comment-list`` or ``has-sidebar``, the wrapper decides: on its host such an element goes
+unless it holds the article.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ PARTS = 64
 TEMPLATE_PAGES = 3
 # Share of the varying text that an element must gather to be descended into.
 MAIN_SHARE = 0.6
+# Share of a host's text from which an element is what its pages are about, whatever its name.
+WHOLE_SHARE = 0.8
 # Elements nested deeper are text of the one around them.
 MAX_DEPTH = 100
 
@@ -74,6 +80,19 @@ DROPPED_WORDS = frozenset(
     "subscription toolbar topbar widget widgets".split()
 )
 
+# Elements whose own text in an article is template if all pages of the host have it. Headings,
+# paragraphs and lists are the article's, also where a host holds nothing but copies of a page.
+BOXES = frozenset(("div", "section", "address", "center"))
+# Parts of a class that make it suspicious, and first parts of classes that tell a state.
+SUSPICIOUS_PARTS = frozenset(
+    "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie "
+    "cookies copyright disqus footer login menu modal nav navbar navigation newsletter pager pagination paywall popup "
+    "promo promotion promotions recommended related replies share sharing sidebar sidebars signup social sponsor "
+    "sponsored subscribe subscription toolbar widget widgets".split()
+)
+STATES = frozenset("has no not is with without js".split())
+
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+>.*?(?:</\1\s*>|\Z)"
@@ -98,11 +117,24 @@ class Element:
     by_class: bool = False
 
 
+def _suspicious(name: str) -> bool:
+    """Whether a part of a class name speaks against the article."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    return bool(parts) and parts[0] not in STATES and not SUSPICIOUS_PARTS.isdisjoint(parts)
+
+
+def _label_suspicious(label: str) -> bool:
+    name, _, shown = label.partition(".")
+    return name not in ("html", "body", "main", "section", *_HEADINGS) and _suspicious(shown)
+
+
 def _described(name: str, attributes: str) -> tuple[str, bool, bool]:
     """An element's label for alignment, whether it is ruled out, and whether only its class or id does that."""
     values = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     classes = values.get("class", "").split()
-    label = name + "".join(f".{re.sub(r'[0-9]+', '', c)}" for c in classes[:1])
+    # The class that says most about the element: a suspicious one, else the first.
+    shown = next((c for c in [*classes, values.get("id", "")] if _suspicious(c)), classes[0] if classes else "")
+    label = name + (f".{re.sub(r'[0-9]+', '', shown)}" if shown else "")
     if values.get("itemprop") == "articleBody":
         label += "@article"
     dropped = name in DROPPED or values.get("role", "").lower() in DROPPED_ROLES
@@ -169,14 +201,14 @@ def parse(page: str) -> Element:
     return root
 
 
-def blocks(element: Element) -> Iterator[str]:
-    """The texts of an element in page order, without those of elements that are ruled out."""
+def blocks(element: Element, out: frozenset[str] = frozenset()) -> Iterator[str]:
+    """The texts of an element in page order, without those of elements that are ruled out, by themselves or by label."""
     todo = [iter(element.items)]
     while todo:
         for item in todo[-1]:
             if isinstance(item, str):
                 yield item
-            elif not item.dropped:
+            elif not item.dropped and item.label not in out:
                 todo.append(iter(item.items))
                 break
         else:
@@ -272,76 +304,127 @@ def _article_like(label: str) -> bool:
     return label.endswith("@article") or label.split(".")[0] == "article"
 
 
-def _find(node: Node, wanted, path: tuple[str, ...] = ()) -> tuple[str, ...] | None:
+def _found(node: Node, wanted, out: frozenset[str], path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
+    """Paths to the outermost nodes that are wanted."""
     for child in node.children:
         here = (*path, child.label)
+        if child.label in out:
+            continue
         if wanted(child.label):
-            return here
-        found = _find(child, wanted, here)
-        if found:
-            return found
-    return None
+            yield here
+        else:
+            yield from _found(child, wanted, out, here)
+
+
+def _at(node: Node, path: tuple[str, ...]) -> Iterator[Node]:
+    if not path:
+        yield node
+    for child in node.children if path else ():
+        if child.label == path[0]:
+            yield from _at(child, path[1:])
 
 
-def _mass(node: Node) -> int:
-    return (node.size if node.text is None else 0) + sum(map(_mass, node.children))
+def _mass(node: Node, out: frozenset[str] = frozenset()) -> int:
+    """Characters seen in slots."""
+    return (node.size if node.text is None else 0) + sum(_mass(c, out) for c in node.children if c.label not in out)
 
 
-def _fixed_texts(node: Node) -> Iterator[str]:
-    if node.text and node.pages >= TEMPLATE_PAGES:
+def _weight(node: Node) -> int:
+    """Characters seen, those of fixed texts once for each page."""
+    own = node.size if node.text is None else len(node.text) * node.pages
+    return own + sum(map(_weight, node.children))
+
+
+def _holds_article(node: Node) -> bool:
+    return any(
+        _article_like(c.label) or c.label.split(".")[0] in ("main", "h1") or _holds_article(c) for c in node.children
+    )
+
+
+def _ruled_out(node: Node, whole: int) -> Iterator[str]:
+    """Labels of suspicious nodes that are not what the host's pages are about."""
+    for child in node.children:
+        if _label_suspicious(child.label) and not _holds_article(child) and _weight(child) < WHOLE_SHARE * whole:
+            yield child.label
+        else:
+            yield from _ruled_out(child, whole)
+
+
+def _fixed_texts(node: Node, out: frozenset[str], pages: int, names: frozenset[str] = BLOCKS | {""}) -> Iterator[str]:
+    """Texts that at least ``pages`` pages have at one place, in elements of these names."""
+    if node.text and node.pages >= pages and node.label.split(".")[0] in names:
         yield from node.text.split("\n")
     for child in node.children:
-        yield from _fixed_texts(child)
+        if child.label not in out:
+            yield from _fixed_texts(child, out, pages, names)
 
 
 @dataclass
 class Rule:
-    """Where a host's article lies: labels from the root down, and texts there that are template."""
+    """Where a host's article may lie: paths of labels from the root down, texts that are template there, labels to leave out."""
 
-    path: tuple[str, ...]
+    paths: tuple[tuple[str, ...], ...] = ()
     template: frozenset[str] = frozenset()
+    out: frozenset[str] = frozenset()
+
+    def packed(self) -> str:
+        return json.dumps([self.paths, sorted(self.template), sorted(self.out)])
+
+    @classmethod
+    def unpacked(cls, packed: str) -> Rule:
+        paths, template, out = json.loads(packed)
+        return cls(tuple(map(tuple, paths)), frozenset(template), frozenset(out))
 
 
 def main_rule(wrapper: Node) -> Rule:
-    """The article or main element, else the element that gathers the varying text."""
+    """All article or else main elements, or the element that gathers the varying text."""
+    out = frozenset(_ruled_out(wrapper, _weight(wrapper)))
     for wanted in (_article_like, lambda label: label.split(".")[0] == "main"):
-        path = _find(wrapper, wanted)
-        if path:
-            return Rule(path)
+        paths = tuple(dict.fromkeys(_found(wrapper, wanted, out)))
+        if paths:
+            nodes = [n for path in paths for n in _at(wrapper, path)]
+            pages = max(TEMPLATE_PAGES, wrapper.pages)
+            fixed = frozenset(t for n in nodes for t in _fixed_texts(n, out, pages, BOXES))
+            varying = sum(_mass(n, out) for n in nodes)
+            small = sum(map(len, fixed)) * wrapper.pages <= (1 - WHOLE_SHARE) * varying
+            return Rule(paths, fixed if small else frozenset(), out)
     node, path = wrapper, ()
-    while node.children:
-        best = max(node.children, key=_mass)
-        if _mass(best) < MAIN_SHARE * _mass(node) or not _mass(best) or best.repeated:
+    while inner := [c for c in node.children if c.label not in out]:
+        best = max(inner, key=lambda c: _mass(c, out))
+        if _mass(best, out) < MAIN_SHARE * _mass(node, out) or not _mass(best, out) or best.repeated:
             break
         node, path = best, (*path, best.label)
-    return Rule(path, frozenset(_fixed_texts(node)) if _mass(node) else frozenset())
+    template = frozenset(_fixed_texts(node, out, TEMPLATE_PAGES)) if _mass(node, out) else frozenset()
+    return Rule((path,) if path else (), template, out)
 
 
-def _descend(element: Element, path: tuple[str, ...]) -> list[Element]:
-    found = [element]
-    for label in path:
-        found = [i for e in found for i in e.items if isinstance(i, Element) and not i.dropped and i.label == label]
-    return found
+def _descend(element: Element, paths: Iterable[tuple[str, ...]]) -> list[Element]:
+    every = []
+    for path in paths:
+        found = [element]
+        for label in path:
+            found = [i for e in found for i in e.items if isinstance(i, Element) and not i.dropped and i.label == label]
+        every += found
+    return every
 
 
 def main_text(page: str, rule: Rule | None) -> str:
     """The article's blocks, joined by line breaks.
 
-    Of several elements at the rule's place the one with most text is the article.
+    Of several elements at the rule's places the one with most text is the article.
     A page that has none follows a rule of its own, and if that finds nothing, one that
     looks into elements ruled out by class too.
     """
     root = parse(page)
-    found = _descend(root, rule.path) if rule else []
-    texts = [list(blocks(e)) for e in found]
+    texts = [list(blocks(e, rule.out)) for e in _descend(root, rule.paths)] if rule else []
     if not any(texts):
         if not any(blocks(root)):
             _admit(root)
         rule = main_rule(page_wrapper(root))
-        if not rule.path:
+        if not rule.paths:
             # Nothing varies on one page: the largest element, as if all text did.
-            rule = Rule(_largest(root))
-        texts = [list(blocks(e)) for e in _descend(root, rule.path)]
+            rule = Rule((_largest(root, rule.out),), frozenset(), rule.out)
+        texts = [list(blocks(e, rule.out)) for e in _descend(root, rule.paths)]
     best = max(texts, key=lambda t: sum(map(len, t)), default=[])
     return "\n".join(t for t in best if t not in rule.template)
 
@@ -355,19 +438,19 @@ def _admit(root: Element) -> None:
         todo += [i for i in element.items if isinstance(i, Element)]
 
 
-def _largest(root: Element) -> tuple[str, ...]:
+def _largest(root: Element, out: frozenset[str]) -> tuple[str, ...]:
     """Labels of the element that still has most of the text, as deep as one child holds most of it."""
     path: list[str] = []
     element = root
     while True:
-        inner = [i for i in element.items if isinstance(i, Element) and not i.dropped]
+        inner = [i for i in element.items if isinstance(i, Element) and not i.dropped and i.label not in out]
         if not inner:
             return tuple(path)
-        sizes = [sum(map(len, blocks(i))) for i in inner]
+        sizes = [sum(map(len, blocks(i, out))) for i in inner]
         most = max(sizes)
         best = inner[sizes.index(most)]
         alone = sum(i.label == best.label for i in inner) == 1
-        if not alone or best.name == "p" or most < MAIN_SHARE * sum(map(len, blocks(element))):
+        if not alone or best.name == "p" or most < MAIN_SHARE * sum(map(len, blocks(element, out))):
             return tuple(path)
         path.append(best.label)
         element = best
@@ -424,7 +507,7 @@ def host_rules(wrappers: DataFrame) -> DataFrame:
     def rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [main_rule(Node.unpacked(json.loads(w))) for w in batch.column("wrapper").to_pylist()]
-            packed = [json.dumps([r.path, sorted(r.template)]) for r in found]
+            packed = [r.packed() for r in found]
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(packed, pa.string())], ["host", "rule"])
 
     return wrappers.mapInArrow(rules, "host string, rule string")
@@ -450,8 +533,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
             texts = []
             for page, packed in zip(batch.column("html").to_pylist(), batch.column("rule").to_pylist()):
                 if packed is not None and packed not in known:
-                    path, template = json.loads(packed)
-                    known[packed] = Rule(tuple(path), frozenset(template))
+                    known[packed] = Rule.unpacked(packed)
                 texts.append(main_text(page, known.get(packed)))
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text"])

@@ -189,3 +189,52 @@ def test_texts_of_fewer_pages_than_template_are_kept():
         pages = [page(i, note if i < copies else "") for i in range(12)]
         for order in (pages, pages[::-1], pages[2:] + pages[:2]):
             assert ("Said on some pages" in wrappers.main_text(pages[0], rule(order))) == kept
+
+
+OTHERS = ["comment-list", "comments-section", "reader-comments", "ad-slot", "cookie-banner", "share-buttons", "related-posts", "newsletter-signup", "site-footer"]
+
+
+def article_page(i, more="", before=""):
+    body = "".join(f"<p>Words {i} {j} {'w' * (40 + (i * j) % 7)}</p>" for j in range(6))
+    return f"<body><nav>Menu</nav>{before}<article class='post'><h1>Title {i}</h1>{body}{more}</article></body>"
+
+
+def article_text(i):
+    return "\n".join([f"Title {i}", *(f"Words {i} {j} {'w' * (40 + (i * j) % 7)}" for j in range(6))])
+
+
+@pytest.mark.parametrize("name", OTHERS)
+def test_comments_and_adverts_inside_an_article_go(spark, name):
+    """On a host of many pages and on a page alone, also where they hold more text than the article."""
+    def more(i):
+        return f"<div class='{name}'>" + "".join(f"<p>Reader {i} {j} says much about it</p>" for j in range(i % 9)) + "</div>"
+
+    got = extract(spark, [(i, f"http://a.b/{i}", article_page(i, more(i))) for i in range(12)])
+    assert {i: r["text"] for i, r in got.items()} == {i: article_text(i) for i in range(12)}
+    assert wrappers.main_text(article_page(8, more(8)), None) == article_text(8)
+
+
+def test_a_teaser_does_not_replace_the_article(spark):
+    teasers = "<article class='teaser'><p>Read this next</p></article>" * 3
+    got = extract(spark, [(i, f"http://a.b/{i}", article_page(i, before=teasers)) for i in range(8)])
+    assert {i: r["text"] for i, r in got.items()} == {i: article_text(i) for i in range(8)}
+
+
+def test_the_wrapper_decides_what_a_host_repeats_in_its_articles():
+    """A line that all pages of a host have goes, found by its wrapper only; copies of one page keep theirs."""
+    notice = "<div class='house'>Printed by the house</div>"
+    pages = [article_page(i, notice) for i in range(8)]
+    rule = wrappers.main_rule(wrapper_of(*pages))
+    assert rule.template == {"Printed by the house"}
+    assert wrappers.main_text(pages[3], rule) == article_text(3)
+    assert wrappers.main_text(pages[3], wrappers.Rule(rule.paths)).endswith("Printed by the house")
+    copies = [article_page(0, "<h2>The end</h2><blockquote>Said twice</blockquote>")] * 8
+    kept = wrappers.main_text(copies[0], wrappers.main_rule(wrapper_of(*copies)))
+    assert kept == article_text(0) + "\nThe end\nSaid twice"
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "noSidebar", "comments-open", "post-with-comments", "nav-layout"])
+def test_a_suspicious_container_of_the_article_stays(name):
+    pages = [article_page(i).replace("<article class='post'>", f"<div class='{name}'><div class='text'>").replace("</article>", "</div></div>") for i in range(6)]
+    rule = wrappers.main_rule(wrapper_of(*pages))
+    assert wrappers.main_text(pages[2], rule) == wrappers.main_text(pages[2], None) == article_text(2)
