@@ -134,12 +134,19 @@ def answers(asked: DataFrame, answer: Callable[[np.ndarray], np.ndarray] | None
     return asked.groupBy("class").applyInArrow(total, _ANSWER)
 
 
-def key_statistics(asked: DataFrame, counted: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``distinct_keys, sum_totals`` per class, of the keys that ``counted`` selects and that have a total over 0."""
+def key_statistics(
+    asked: DataFrame,
+    counted: Callable[[np.ndarray], np.ndarray],
+    total_of: Callable[[np.ndarray], np.ndarray] = np.asarray,
+) -> DataFrame:
+    """``distinct_keys, sum_totals`` per class, of the keys that ``counted`` selects and that have a total over 0.
+
+    ``total_of`` gives the totals where the numbers hold more than counts.
+    """
 
     def statistics(table: pa.Table) -> pa.Table:
         _, distinct, sums = _gathered(table)
-        chosen = sums[counted(distinct)]
+        chosen = total_of(sums[counted(distinct)])
         return pa.table({"distinct_keys": [int(np.count_nonzero(chosen))], "sum_totals": [int(chosen.sum())]})
 
     return asked.groupBy("class").applyInArrow(statistics, "distinct_keys long, sum_totals long")

@@ -48,7 +48,7 @@ def brute_scores(rows, order, prior):
     return sorted(out)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_scores_equal_brute_force(spark, order):
     df = documents(spark)
     rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
@@ -58,29 +58,49 @@ def test_scores_equal_brute_force(spark, order):
         assert mine[:5] == wanted[:5] and mine[5:] == pytest.approx(wanted[5:], abs=2e-5)
 
 
-def test_arcs_and_failure_arcs_sum_to_one():
-    texts = pa.array(["a b a c", "a b", "c a b"])
-    rows = lm.TokenRows(texts)
-    keys, counts = lm._block_counts(rows, np.ones(3, bool), 2)
-    n, v = 12, 4
-    automaton = lm.BackoffAutomaton(keys, counts, n, v, 2, 2.0)
-    total = 0.0
-    for word in ("a", "b", "c", "unknown"):
-        after_a, a = (lm.TokenRows(pa.array([t])) for t in (f"a {word}", "a"))
-        total += 10 ** (_prefix(automaton, after_a, 2) - _prefix(automaton, a, 1))
-    end = 10 ** (automaton.traverse(lm.TokenRows(pa.array(["a"])))[2][0] - _prefix(automaton, lm.TokenRows(pa.array(["a"])), 1))
-    assert total + end == pytest.approx(1.0)
-
-
-def _prefix(automaton, rows, tokens):
-    """Score of the first tokens of a single row, without its end."""
-    whole = automaton.traverse(rows)[2][0]
-    context = automaton._count(rows.keys(1, shift=1))[tokens]
-    seen = automaton._count(rows.keys(2))[tokens]
-    end = (automaton._count(rows.keys(1))[tokens] + 0.5) / automaton._mass
-    known = context > 0
-    p = (seen + automaton._prior * end) / (context + automaton._prior) if known else end
-    return whole - math.log10(p)
+def small_automaton(order, prior=2.0):
+    rows = lm.TokenRows(pa.array(["a b a c", "a b", "c a b a"]))
+    grams = [rows.grams(k, np.ones(3, bool)) for k in range(1, order + 1)]
+    automaton = lm.BackoffAutomaton(grams, [g.counts for g in grams], 13, 4, prior)
+    return automaton, rows, grams
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_every_state_has_probability_one(order):
+    automaton, rows, grams = small_automaton(order)
+    start = grams[0].at[0]
+    vocabulary = np.setdiff1d(np.arange(automaton.n_words), [start])
+    unknown = 0.5 / (13 + 0.5 * 5)
+    assert len(automaton.failure) > 5
+    for state in range(len(automaton.failure)):
+        weights, _ = automaton.step(np.full(len(vocabulary), state), vocabulary)
+        missed, at = 1.0, state
+        while at:
+            missed, at = missed * 10 ** automaton.failure_weight[at], automaton.failure[at]
+        ends_a_text = state in (automaton.word_target[grams[0].at[rows.first[1:] - 1]])
+        if not ends_a_text and not any(state == 1 + len(grams[0].keys) + g for g in grams[1].at[rows.first[1:] - 1]):
+            assert (10**weights).sum() + missed * unknown == pytest.approx(1.0)
+
+
+def test_failure_arcs_lead_to_the_context_without_its_first_token():
+    automaton, _, grams = small_automaton(3)
+    first_pair = 1 + len(grams[0].keys)
+    for pair, end in enumerate(grams[1].ends):
+        assert automaton.failure[first_pair + pair] == 1 + grams[0].at[end]
+    assert not automaton.failure[:first_pair].any()
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_a_text_of_many_lanes_is_scored_like_one(order, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcd"), n)) for n in (0, 1, 7, 300)]
+    rows = lm.TokenRows(pa.array(texts))
+    grams = [rows.grams(k, np.array([True, True, True, False])) for k in range(1, order + 1)]
+    automaton = lm.BackoffAutomaton(grams, [g.counts for g in grams], 11, 5, 2.0)
+    monkeypatch.setattr(lm, "LANE", 1000)
+    whole = automaton.traverse(rows, grams[0].at)
+    monkeypatch.setattr(lm, "LANE", 5)
+    assert automaton.traverse(rows, grams[0].at) == pytest.approx(whole)
 
 
 def test_the_model_beats_single_tokens_on_held_out_texts(spark):
