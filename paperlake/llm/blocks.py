@@ -32,7 +32,22 @@ def classes_of(spark: SparkSession) -> int:
 
 def block_column(spark: SparkSession, *keys: Column | str) -> Column:
     """Block of a row by hash of the given columns, several blocks per shuffle partition."""
-    return F.pmod(F.xxhash64(*keys), F.lit(BLOCKS_PER_PARTITION * classes_of(spark))).cast("int")
+    return sized_block_column(BLOCKS_PER_PARTITION * classes_of(spark), *keys)
+
+
+def blocks_by_size(rows: DataFrame, text: str, block_bytes: int, most: int) -> int:
+    """How many blocks give each about ``block_bytes`` of text: one per core at least, ``most`` at most.
+
+    Reads the column's lengths once. Unlike the session's partitions, this grows with the input.
+    """
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return min(max(-(-size // block_bytes), cores), most)
+
+
+def sized_block_column(blocks: int, *keys: Column | str) -> Column:
+    """Block of a row by hash of the given columns, one of ``blocks``."""
+    return F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int")
 
 
 def pack(values: np.ndarray) -> bytes:

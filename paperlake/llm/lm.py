@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 
 from paperlake.llm.blocks import (
     answers,
-    block_column,
     block_totals,
+    blocks_by_size,
     classes_of,
     further_requests,
     key_statistics,
     requests,
+    sized_block_column,
     with_answers,
 )
 from paperlake.llm.words import Words, sequence_hashes
@@ -48,13 +49,18 @@ FOLDS = 5
 HELD_OUT_FOLD = 1
 # Tokens that one lane of a traversal takes; longer texts are several lanes.
 LANE = 128
+# Text of a block, which a task holds with its n-grams while it scores it. Larger blocks
+# share more of what they ask for, so raise this with the executors' memory.
+BLOCK_BYTES = 8 << 20
 
 _START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
 # A block's number for a key is its count and, above these bits, one for the block itself.
-_COUNT_BITS = np.uint64(44)
+# Four trillion of one n-gram fit, and twice the blocks there may be; more text makes them larger.
+_COUNT_BITS = np.uint64(42)
+_MOST_BLOCKS = 1 << 21
 _COUNT_MASK = (np.uint64(1) << _COUNT_BITS) - np.uint64(1)
 _ONE = np.uint64(1)
 
@@ -265,7 +271,9 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def score_documents(documents: DataFrame, order: int = ORDER, prior: float = PRIOR) -> DataFrame:
+def score_documents(
+    documents: DataFrame, order: int = ORDER, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Log-probabilities of every row of ``documents`` (doc_id, text), learned from those not held out.
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``: tokens are
@@ -273,12 +281,14 @@ def score_documents(documents: DataFrame, order: int = ORDER, prior: float = PRI
     end mark, so a null, empty or blank text has one token. A document is held out if
     the CRC-32 of its id modulo 5 is 1. ``base_score`` uses single tokens only, ``score``
     is the automaton's, both in base 10. A row without doc_id learns and is not held
-    out; repeated rows each count. Other columns are ignored.
+    out; repeated rows each count. Other columns are ignored. Documents are worked on in
+    blocks of about ``block_bytes`` of text, which does not change the result.
     """
     spark = documents.sparkSession
     held_out = F.coalesce(fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
-    blocks = rows.select(block_column(spark, "doc_id", "text").alias("block"), "doc_id", "held_out", "text")
+    block = sized_block_column(blocks_by_size(rows, "text", block_bytes, _MOST_BLOCKS), "doc_id", "text")
+    blocks = rows.select(block.alias("block"), "doc_id", "held_out", "text")
 
     def short_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, grams = _block_grams(table, min(order, 2))

@@ -58,6 +58,17 @@ def test_scores_equal_brute_force(spark, order):
         assert mine[:5] == wanted[:5] and mine[5:] == pytest.approx(wanted[5:], abs=2e-5)
 
 
+@pytest.mark.parametrize("block_bytes", [60, 1 << 30])
+def test_blocks_of_any_size_give_the_same_scores(spark, block_bytes):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 12)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:10], "", None, "only here twice only here"])]
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), 4, 3.0, block_bytes)
+    mine = sorted((str(r[0]), *tuple(r)[1:5], r[5], r[6]) for r in got.collect())
+    for one, wanted in zip(mine, brute_scores(rows, 4, 3.0), strict=True):
+        assert one[:5] == wanted[:5] and one[5:] == pytest.approx(wanted[5:], abs=2e-5)
+
+
 def small_automaton(order, prior=2.0):
     rows = lm.TokenRows(pa.array(["a b a c", "a b", "c a b a"]))
     grams = [rows.grams(k, np.ones(3, bool)) for k in range(1, order + 1)]
