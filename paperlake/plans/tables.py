@@ -9,38 +9,51 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperlake import schema
 from paperlake.operators.merge import merge
+from paperlake.session import materialize
+from paperlake.settings import CODEC
 from paperlake.sources.records import table_or_none
 
 _DATE = list(schema.PARTITION_COLUMNS)
+# What a record is known by.
+_KNOWN_BY = ["id", "source", "record_hash"]
+# Bytes of text that a task gathers of one date, about; a date with more is dealt to several.
+CELL_BYTES = 128 * 1024 * 1024
+# A record with more copies in a batch has them collapsed in the map tasks.
+HOT_COPIES = 1000
 
 
 def _by_date(df: DataFrame) -> DataFrameWriter:
-    """A writer partitioned by year, month and day.
+    """A writer partitioned by year, month and day."""
+    return df.write.partitionBy(*_DATE).option("compression", CODEC)
 
-    The rebalance gathers each date into files of the advisory size and splits a
-    date that holds a large share of the rows over several tasks.
+
+def _gathered(df: DataFrame) -> DataFrame:
+    """Each date gathered into files of the advisory size.
+
+    A date that holds a large share of the rows is split over several tasks.
     """
-    return df.hint("rebalance", *_DATE).write.partitionBy(*_DATE)
+    return df.hint("rebalance", *_DATE)
 
 
 def append_by_date(df: DataFrame, path: str) -> None:
+    """Append rows that lie together by date already."""
     _by_date(df).mode("append").parquet(path)
 
 
 def replace_dates(df: DataFrame, path: str) -> None:
     """Replace exactly the date partitions that occur in ``df``; leave the others alone."""
-    _by_date(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _by_date(_gathered(df)).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def replace_all(df: DataFrame, path: str) -> None:
     """Replace the whole table."""
-    _by_date(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _by_date(_gathered(df)).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append_new_records(
@@ -49,28 +62,60 @@ def append_new_records(
     """Append the records the raw table does not hold yet, so that a rerun adds nothing.
 
     A record is known by id, source and content; of equal ones the first landed is
-    stored. Copies collapse in the map tasks, ordered by narrow columns, and are
-    shuffled once; of the stored table only the three narrow columns are read and
-    hashed to distinct keys. ``prune`` reads them only from the date partitions the
-    batch falls into, at the price of one more pass over the batch; it pays off for
-    small batches.
+    stored. Equal records have one date, so a batch is shuffled once, by date, with three
+    narrow columns of the stored table beside it; what is new is written from there. A
+    date of many bytes is dealt to cells by hash. ``prune`` reads the stored columns only
+    from the date partitions the batch falls into.
     """
-    known_by = ["id", "source", "record_hash"]
     names = schema.raw_table_schema().names
-    first = Window.partitionBy(*known_by).orderBy(F.col("landed_at").asc_nulls_last(), "pdf_s3_path")
-    fresh = records.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1")
+    records = _collapsed(records.select(*names))
+    cells = _cells(records)
+    batch = records.withColumn("_new", F.lit(1))
     stored = table_or_none(spark, path, schema.raw_table_schema())
     if stored is not None:
         if prune:
-            stored = only_touched(stored, records)
-        # An anti join would be moved below the rank and shuffle every copy.
-        known = stored.select(*known_by).distinct().withColumn("_known", F.lit(True))
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in known_by]
-        fresh = fresh.alias("n").join(known.alias("k"), same, "left").filter("_known is null")
-        fresh = fresh.select(*[f"n.{c}" for c in names])
+            stored = only_touched(stored, cells)
+        known = stored.select(*_KNOWN_BY, *_DATE).distinct().withColumn("_new", F.lit(0))
+        # An anti join would shuffle the batch once more, by other columns.
+        batch = batch.unionByName(known, allowMissingColumns=True)
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"c.{c}")) for c in _DATE]
+    cell = F.pmod("record_hash", F.coalesce("cells", F.lit(1))).alias("_cell")
+    # As many dates at most as days, see ``only_touched``.
+    dealt = batch.alias("b").join(F.broadcast(cells).alias("c"), same, "left").select("b.*", cell)
+    dealt = dealt.repartition(*_DATE, "_cell")
+    equal = Window.partitionBy(*_DATE, "_cell", *_KNOWN_BY).orderBy("_new", *_first_landed())
+    fresh = dealt.withColumn("_before", F.lag("_new").over(equal)).filter("_before is null and _new = 1")
     append_by_date(fresh.select(*names), path)
 
 
+def _first_landed() -> list[Column]:
+    return [F.col("landed_at").asc_nulls_last(), F.col("pdf_s3_path").asc()]
+
+
+def _cells(records: DataFrame) -> DataFrame:
+    """A batch's dates and the number of cells each is dealt to, written first, so that Spark knows its size."""
+    text = F.octet_length(F.concat_ws("", *schema.CLEANED_FIELDS))
+    cells = F.greatest(F.ceil(F.sum(text.cast("bigint")) / CELL_BYTES), F.lit(1)).alias("cells")
+    return materialize(records.groupBy(*_DATE).agg(cells), "batch-dates")
+
+
+def _collapsed(records: DataFrame) -> DataFrame:
+    """The records, those of many copies as one row each.
+
+    All copies of a record meet in one task. Of many, each map task sends one, ordered by
+    narrow columns. A batch has at most one such record per ``HOT_COPIES`` rows.
+    """
+    many = records.groupBy(*_KNOWN_BY).count().filter(F.col("count") > HOT_COPIES).select(*_KNOWN_BY)
+    hot = F.broadcast(materialize(many, "hot-records")).alias("h")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in _KNOWN_BY]
+    rest = records.alias("r").join(hot, same, "left_anti")
+    # Without such records, Spark drops this half when it finds the shipped table empty.
+    copies = records.alias("r").join(hot, same, "left_semi")
+    first = Window.partitionBy(*_KNOWN_BY).orderBy(*_first_landed())
+    copies = copies.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+    return rest.unionByName(copies)
+
+
 def only_touched(target: DataFrame, papers: DataFrame) -> DataFrame:
     """Target rows in the date partitions that occur in ``papers``, and rows without a date.
 
@@ -126,7 +171,7 @@ def upsert_by_date(
     """
     target = table_or_none(spark, path, schema.master_schema())
     if target is None:
-        append_by_date(staging.select(*schema.MASTER_TABLE_COLUMNS), path)
+        append_by_date(_gathered(staging.select(*schema.MASTER_TABLE_COLUMNS)), path)
         return
     affected = only_touched(target, staging if undeduplicated is None else undeduplicated)
     replace_dates(merge(affected, staging), path)

@@ -53,6 +53,8 @@ LOOKBACK_DAYS = 7
 MAX_FILES_PER_BATCH = 1000
 ENCODER_BATCH_SIZE = 128
 TOP_K = 10
+# Of the lake's tables and of batches written aside; texts take two thirds of Spark's own choice.
+CODEC = "zstd"
 
 # Session options that differ from Spark's own.
 SESSION_OPTIONS: dict[str, str] = {

@@ -161,6 +161,37 @@ def test_append_orders_by_narrow_columns_only(spark, folder, monkeypatch):
     assert "ReadSchema: struct<id:string,source:string,record_hash:bigint>" in plan
 
 
+def test_an_append_shuffles_its_batch_once(spark, folder, monkeypatch):
+    records = stored_papers(spark, folder)
+    tables.append_new_records(spark, records, f"{folder}/raw")
+    plans = []
+    monkeypatch.setattr(tables, "append_by_date", lambda df, _: plans.append(plan_of(df)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        tables.append_new_records(spark, records, f"{folder}/raw")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plans[0] and plans[0].count("REPARTITION_BY_COL") == 1
+
+
+def test_hot_records_and_split_dates_lose_nothing(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "HOT_COPIES", 3)
+    monkeypatch.setattr(tables, "CELL_BYTES", 100)
+    path = f"{folder}/raw"
+    many = [paper("hot", D1, dt.datetime(2024, 1, 1 + n % 9), pdf_s3_path=f"p{n % 9}") for n in range(60)]
+    rest = [paper(f"i{n}", d, abstract="x" * 50) for n in range(20) for d in (D1, D2, None)]
+    undated = [paper("hot", None, source=s) for s in ("acm", None) for _ in range(5)]
+    for prune in (False, True, True):
+        records = to_records(papers(spark, *many, *rest, *undated).drop(*schema.PARTITION_COLUMNS))
+        tables.append_new_records(spark, records, path, prune)
+    stored = spark.read.schema(schema.raw_table_schema()).parquet(path).collect()
+    assert len(stored) == 63
+    (hot,) = [r for r in stored if r["id"] == "hot" and r["day"] == 1]
+    assert (hot["landed_at"], hot["pdf_s3_path"]) == (OLD, "p0")
+    assert {r["source"] for r in stored if r["id"] == "hot" and r["day"] is None} == {"acm", None}
+    assert len(glob.glob(f"{path}/year=2024/month=1/day=2/*.zstd.parquet"))
+
+
 def test_dedup_has_no_text_in_its_order(spark, folder):
     plan = plan_of(best_per_key(stored_papers(spark, folder), DEFAULT_SOURCES))
     lines = sort_orders(plan)
