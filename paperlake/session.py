@@ -50,9 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back, which cuts its lineage."""
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back, which cuts its lineage.
+
+    ``codec`` replaces the session's compression of Parquet files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from paperlake import schema
 from paperlake.functions.identity import paper_id, pdf_object_path
+from paperlake.settings import CODEC
 
 RECORD_FORMATS = ("parquet", "json")
 # True where a line of a record file could not be parsed; such a record is all null.
@@ -49,13 +50,18 @@ def read_records(
 
 def _reader(spark: SparkSession, fmt: str, record_schema: T.StructType) -> DataFrameReader:
     reader = spark.read.format(_checked_format(fmt)).schema(record_schema)
-    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", file_names(fmt))
+
+
+def file_names(fmt: str) -> str:
+    """The pattern of a format's file names; JSON lines may be compressed by gzip."""
+    return "*.json{,.gz}" if fmt == "json" else f"*.{fmt}"
 
 
 def _files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     """The names of record files, which a scan needs on the driver anyway; no content is read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", f"*.{fmt}").load(path).select("path")
+    return reader.option("pathGlobFilter", file_names(fmt)).load(path).select("path")
 
 
 def read_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
@@ -117,9 +123,10 @@ def write_records(df: DataFrame, path: str, run_date: dt.date, fmt: str = "parqu
     """Append raw records below ``path/yyyy/MM/dd``, always with the full declared schema.
 
     An empty frame writes no rows. Columns that are null in every row keep their
-    string type, so the files stay readable.
+    string type, so the files stay readable. Files are compressed, JSON lines by gzip.
     """
     writer = conform(df).write.mode("append").format(_checked_format(fmt))
+    writer = writer.option("compression", "gzip" if fmt == "json" else CODEC)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
     writer.save(f"{path}/{run_date:%Y/%m/%d}")

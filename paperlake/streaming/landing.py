@@ -15,8 +15,8 @@ from paperlake import schema
 from paperlake.operators.refine import refine, to_records
 from paperlake.plans.tables import append_new_records
 from paperlake.session import materialize
-from paperlake.settings import LakeSettings, Source
-from paperlake.sources.records import MALFORMED, read_files, to_papers
+from paperlake.settings import CODEC, LakeSettings, Source
+from paperlake.sources.records import MALFORMED, file_names, read_files, to_papers
 
 
 @dataclass
@@ -39,7 +39,7 @@ def landing_stream(spark: SparkSession, settings: LakeSettings, source: Source)
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*.{source.format}")
+        .option("pathGlobFilter", file_names(source.format))
         .option("maxFilesPerTrigger", settings.max_files_per_batch)
         .load(settings.landing_path(source.name))
         .select("path", "length")
@@ -51,18 +51,17 @@ def append_refined(
 ) -> Ingested:
     """Refine raw records and append the new ones to the source's raw table.
 
-    The counts are observed by the job that reads the records. With ``prune`` that job
-    writes the refined batch aside, since it is looked at twice: for its dates and for
-    its rows. Every landed file is read once either way.
+    The counts are observed by the job that reads the records. That job writes the refined
+    batch aside, since it is looked at more than once: for its dates and for its rows.
+    Every landed file is read once.
     """
     malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
     taken, passed = Observation(), Observation()
     papers = to_papers(raw.withColumn(MALFORMED, malformed), source.name, keep=[MALFORMED])
     papers = papers.observe(taken, F.count(F.lit(1)).alias("read"), F.count_if(MALFORMED).alias("malformed"))
     kept = refine(papers.drop(MALFORMED), settings).observe(passed, F.count(F.lit(1)).alias("kept"))
-    records = to_records(kept, stamp)
-    if prune:
-        records = materialize(records.select(*schema.raw_table_schema().names), f"batch-{source.name}")
+    records = to_records(kept, stamp).select(*schema.raw_table_schema().names)
+    records = materialize(records, f"batch-{source.name}", CODEC)
     append_new_records(spark, records, settings.raw_table_path(source.name), prune)
     return Ingested(**taken.get, **passed.get)
 

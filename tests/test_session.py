@@ -35,3 +35,7 @@ def test_materialize_cuts_the_lineage(spark):
     stored = session.materialize(df, "m")
     assert sorted(stored.collect()) == sorted(df.collect())
     assert "Range" not in plan_of(stored)
+
+
+def test_materialized_files_take_a_codec(spark):
+    assert all(name.endswith(".zstd.parquet") for name in session.materialize(spark.range(3), "m", "zstd").inputFiles())

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 
 import pandas as pd
@@ -125,3 +126,13 @@ def test_registry_and_environment(monkeypatch):
 
 def test_sample_records_count(spark):
     assert {name: sample_records(spark, name).count() for name in SAMPLE_RECORDS} == {"arxiv": 2, "pubmed": 1}
+
+
+def test_landed_lines_are_compressed_and_plain_ones_are_read(spark, folder):
+    df = spark.createDataFrame([{"title": "long enough title", "source": "acm"}])
+    records.write_records(df, folder, dt.date(2024, 1, 2), "json")
+    with open(f"{folder}/a.json", "w") as f:
+        f.write('{"title": "plain"}\n')
+    names = glob.glob(f"{folder}/2024/01/02/*.json*")
+    assert names and all(name.endswith(".json.gz") for name in names)
+    assert {r["title"] for r in records.read_records(spark, folder, "json").collect()} == {"long enough title", "plain"}
