@@ -20,6 +20,7 @@ from paperlake.operators.dedup import best_per_key
 from paperlake.operators.embed import Encoder, build_points, hashing_encoder, refreshed_points
 from paperlake.operators.refine import recent
 from paperlake.plans.tables import (
+    best_by_date,
     only_touched,
     read_since,
     replace_all,
@@ -159,7 +160,9 @@ def refine_stage(
         staging = stage_papers(papers, settings, stamp)
         staging.createOrReplaceTempView("staging_papers")
         register_functions(spark)
-        upsert_by_date(spark, staging, settings.master_path, undeduplicated=papers)
+        missing = table_or_none(spark, settings.master_path, schema.master_schema()) is None
+        dated = best_by_date(papers, settings.sources).withColumn("ingestion_timestamp", stamp) if missing else None
+        upsert_by_date(spark, staging, settings.master_path, undeduplicated=papers, dated=dated)
     return report
 
 

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperlake import schema
+from paperlake.operators.dedup import best_per_key
 from paperlake.operators.merge import merge
 from paperlake.session import materialize
-from paperlake.settings import CODEC
+from paperlake.settings import CODEC, Source
 from paperlake.sources.records import table_or_none
 
 _DATE = list(schema.PARTITION_COLUMNS)
@@ -78,11 +80,7 @@ def append_new_records(
         known = stored.select(*_KNOWN_BY, *_DATE).distinct().withColumn("_new", F.lit(0))
         # An anti join would shuffle the batch once more, by other columns.
         batch = batch.unionByName(known, allowMissingColumns=True)
-    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"c.{c}")) for c in _DATE]
-    cell = F.pmod("record_hash", F.coalesce("cells", F.lit(1))).alias("_cell")
-    # As many dates at most as days, see ``only_touched``.
-    dealt = batch.alias("b").join(F.broadcast(cells).alias("c"), same, "left").select("b.*", cell)
-    dealt = dealt.repartition(*_DATE, "_cell")
+    dealt = _dealt(batch, cells)
     equal = Window.partitionBy(*_DATE, "_cell", *_KNOWN_BY).orderBy("_new", *_first_landed())
     fresh = dealt.withColumn("_before", F.lag("_new").over(equal)).filter("_before is null and _new = 1")
     append_by_date(fresh.select(*names), path)
@@ -92,6 +90,28 @@ def _first_landed() -> list[Column]:
     return [F.col("landed_at").asc_nulls_last(), F.col("pdf_s3_path").asc()]
 
 
+def _dealt(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows shuffled by date and ``_cell``; as many dates at most as days, see ``only_touched``."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in _DATE]
+    cell = F.pmod("record_hash", F.coalesce("cells", F.lit(1))).alias("_cell")
+    found = rows.alias("r").join(F.broadcast(cells).alias("c"), same, "left").select("r.*", cell)
+    return found.repartition(*_DATE, "_cell")
+
+
+def best_by_date(papers: DataFrame, sources: Iterable[Source]) -> DataFrame:
+    """What ``best_per_key`` keeps of raw-table rows, lying together by date.
+
+    The best are found among narrow columns, and meet their texts where these are
+    shuffled by date: once, where a dedup by id needs another shuffle before it is written.
+    """
+    told_by = [*_KNOWN_BY, "landed_at"]
+    best = best_per_key(papers.select(*told_by, *_DATE), sources).withColumn("_wide", F.lit(0))
+    both = papers.withColumn("_wide", F.lit(1)).unionByName(best, allowMissingColumns=True)
+    equal = Window.partitionBy(*_DATE, "_cell", *told_by).orderBy("_wide", F.col("pdf_s3_path").asc())
+    dealt = _dealt(both, _cells(papers)).withColumn("_before", F.lag("_wide").over(equal))
+    return dealt.filter("_before = 0 and _wide = 1").select(*papers.columns)
+
+
 def _cells(records: DataFrame) -> DataFrame:
     """A batch's dates and the number of cells each is dealt to, written first, so that Spark knows its size."""
     text = F.octet_length(F.concat_ws("", *schema.CLEANED_FIELDS))
@@ -162,14 +182,22 @@ def read_since(spark: SparkSession, path: str, table_schema: StructType, start:
 
 
 def upsert_by_date(
-    spark: SparkSession, staging: DataFrame, path: str, undeduplicated: DataFrame | None = None
+    spark: SparkSession,
+    staging: DataFrame,
+    path: str,
+    undeduplicated: DataFrame | None = None,
+    dated: DataFrame | None = None,
 ) -> None:
     """Merge deduplicated staged rows into the table at ``path``, creating it if absent.
 
     Untouched partitions are neither read nor rewritten. Pass the rows from
-    before the dedup as ``undeduplicated`` to find the dates without running it.
+    before the dedup as ``undeduplicated`` to find the dates without running it, and the
+    staged rows lying together by date as ``dated`` to create the table from those.
     """
     target = table_or_none(spark, path, schema.master_schema())
+    if target is None and dated is not None:
+        append_by_date(dated.select(*schema.MASTER_TABLE_COLUMNS), path)
+        return
     if target is None:
         append_by_date(_gathered(staging.select(*schema.MASTER_TABLE_COLUMNS)), path)
         return

@@ -217,6 +217,20 @@ def test_best_row_per_id(spark):
     assert (best["x"]["title"], best["x"]["doi"]) == ("second", "10.1000/x")
 
 
+@pytest.mark.parametrize("cell_bytes", [1, 2**27])
+def test_best_by_date_is_best_per_key(spark, monkeypatch, cell_bytes):
+    monkeypatch.setattr(tables, "CELL_BYTES", cell_bytes)
+    dates, sources, stamps = [D1, D2, None], ["acm", "arxiv", "other"], [OLD, NEW, None]
+    rows = [
+        paper(f"i{n % 17}", dates[n % 17 % 3 if n % 5 else n % 3], stamps[n // 3 % 3], source=sources[n // 2 % 3], abstract=f"{n * 7 % 11}")
+        for n in range(200)
+    ]
+    given = raw(spark, *rows).dropDuplicates(["id", "source", "record_hash"]).localCheckpoint()
+    names = given.columns
+    want = sorted(str(r) for r in best_per_key(given, DEFAULT_SOURCES).select(*names).collect())
+    assert sorted(str(r) for r in tables.best_by_date(given, DEFAULT_SOURCES).collect()) == want and len(want) == 17
+
+
 def test_dedup_does_not_depend_on_partitioning(spark):
     rows = [paper(f"i{n % 3}", D1, abstract=f"{n * 7 % 11:02d}") for n in range(60)]
     results = {
