@@ -19,27 +19,32 @@ def _staged_first(column: str) -> Column:
     return F.coalesce(F.col(f"staged.{column}"), F.col(f"kept.{column}")).alias(column)
 
 
-def _merged_columns(stamp: Column) -> list[Column]:
-    return [
-        F.col(c) if c in _KEYS else stamp.alias(c) if c == "ingestion_timestamp" else _staged_first(c)
-        for c in schema.MASTER_TABLE_COLUMNS
-    ]
-
-
 def merge(target: DataFrame, staging: DataFrame) -> DataFrame:
-    """The target after the upsert: one full outer join."""
+    """The target after the upsert: one full outer join.
+
+    Rows are dealt by id alone, as the dedup leaves them, so staged texts are not shuffled
+    again for the join. The date is compared where ids meet; as a difference, because
+    Spark would deal by the sides of an equality.
+    """
     marked = staging.withColumn("_staged", F.lit(True))
-    joined = target.alias("kept").join(marked.alias("staged"), _KEYS, "full_outer")
+    same_day = [F.col(f"kept.{c}") - F.col(f"staged.{c}") == 0 for c in schema.PARTITION_COLUMNS]
+    same = [F.col("kept.id") == F.col("staged.id"), *same_day]
+    joined = target.alias("kept").join(marked.alias("staged"), same, "full_outer")
     stamp = F.when(F.col("_staged"), F.col("staged.ingestion_timestamp")).otherwise(
         F.col("kept.ingestion_timestamp")
     )
-    return joined.select(*_merged_columns(stamp))
+    return joined.select(
+        *[stamp.alias(c) if c == "ingestion_timestamp" else _staged_first(c) for c in schema.MASTER_TABLE_COLUMNS]
+    )
 
 
 def matched_rows(target: DataFrame, staging: DataFrame) -> DataFrame:
     """Only the rows the upsert updates, with their new values."""
     joined = target.alias("kept").join(staging.alias("staged"), _KEYS, "inner")
-    return joined.select(*_merged_columns(F.col("staged.ingestion_timestamp")))
+    stamp = F.col("staged.ingestion_timestamp")
+    return joined.select(
+        *[F.col(c) if c in _KEYS else stamp if c == "ingestion_timestamp" else _staged_first(c) for c in schema.MASTER_TABLE_COLUMNS]
+    )
 
 
 def inserted_rows(target: DataFrame, staging: DataFrame) -> DataFrame:

@@ -192,6 +192,18 @@ def test_hot_records_and_split_dates_lose_nothing(spark, folder, monkeypatch):
     assert len(glob.glob(f"{path}/year=2024/month=1/day=2/*.zstd.parquet"))
 
 
+def test_a_merge_does_not_shuffle_staged_rows_again(spark, folder):
+    staged = best_per_key(stored_papers(spark, folder), DEFAULT_SOURCES).select(*schema.MASTER_TABLE_COLUMNS)
+    master_rows(spark, paper("a", D1)).write.parquet(f"{folder}/m")
+    target = spark.read.schema(schema.master_schema()).parquet(f"{folder}/m")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(merge.merge(target, staged))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(id") == 2
+
+
 def test_dedup_has_no_text_in_its_order(spark, folder):
     plan = plan_of(best_per_key(stored_papers(spark, folder), DEFAULT_SOURCES))
     lines = sort_orders(plan)
