@@ -18,7 +18,7 @@ from paperlake.functions.text import embedding_text
 from paperlake.settings import ENCODER_BATCH_SIZE
 
 # Bytes of text an encoder call sees at most, unless a single text is longer.
-MAX_PIECE_BYTES = 16 * 1024 * 1024
+MAX_PIECE_BYTES = 2 * 1024 * 1024
 # Bytes of counts a hashing encoder holds at once, and texts it takes at most.
 COUNT_BYTES = 64 * 1024 * 1024
 MAX_ROWS = 8192

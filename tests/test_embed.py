@@ -82,6 +82,12 @@ def test_long_texts_go_in_smaller_pieces(monkeypatch):
     assert list(embed._pieces(pa.array([], pa.string()), 5)) == []
 
 
+def test_an_encoder_call_sees_little_text():
+    texts = pa.array(["x" * 100_000] * 100)
+    pieces = list(embed._pieces(texts, embed.MAX_ROWS))
+    assert sum(n for _, n in pieces) == 100 and max(n for _, n in pieces) * 100_000 <= 2 * 1024 * 1024
+
+
 def test_points_schema_is_the_declared_one(spark):
     got = points_of(spark, [{"id": "a"}]).schema
     assert [(f.name, f.dataType.simpleString()) for f in got] == [
