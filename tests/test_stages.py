@@ -284,3 +284,12 @@ def test_checks_see_a_missing_vector(spark, lake):
     assert {r["check_name"] for r in checks.filter("not passed").collect()} == {
         "master_ids_unique", "vectors_complete",
     }
+
+
+def test_a_refetch_writes_compressed_batches_and_no_rows(spark, lake):
+    for _ in range(2):
+        land(spark, lake, "arxiv")
+        stages.refine_sources(spark, lake)
+    files = glob.glob(f"{lake.raw_table_path('arxiv')}/**/*.parquet", recursive=True)
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert spark.read.parquet(lake.raw_table_path("arxiv")).count() == 2
