@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ _KNOWN_BY = ["id", "source", "record_hash"]
 CELL_BYTES = 128 * 1024 * 1024
 # A record with more copies in a batch has them collapsed in the map tasks.
 HOT_COPIES = 1000
+# Of a batch with at most as many new records, some 150 bytes each, only theirs are shuffled.
+SHIPPED_RECORDS = 100_000
 
 
 def _by_date(df: DataFrame) -> DataFrameWriter:
@@ -59,7 +61,7 @@ def replace_all(df: DataFrame, path: str) -> None:
 
 
 def append_new_records(
-    spark: SparkSession, records: DataFrame, path: str, prune: bool = False
+    spark: SparkSession, records: DataFrame, path: str, prune: bool = False, told: DataFrame | None = None
 ) -> None:
     """Append the records the raw table does not hold yet, so that a rerun adds nothing.
 
@@ -67,12 +69,17 @@ def append_new_records(
     stored. Equal records have one date, so a batch is shuffled once, by date, with three
     narrow columns of the stored table beside it; what is new is written from there. A
     date of many bytes is dealt to cells by hash. ``prune`` reads the stored columns only
-    from the date partitions the batch falls into.
+    from the date partitions the batch falls into. ``told`` is the batch's stored
+    ``_counted`` outline, if there is one.
     """
     names = schema.raw_table_schema().names
-    records = _collapsed(records.select(*names))
-    cells = _cells(records)
-    batch = records.withColumn("_new", F.lit(1))
+    records = records.select(*names)
+    told = _counted(outline(records)) if told is None else told
+    # A batch has at most one such record per HOT_COPIES rows; of each, a map task sends one row.
+    many = F.col("copies") > HOT_COPIES
+    hot = materialize(told.filter(many).select(*_KNOWN_BY), "hot-records")
+    cells = _cells(told.withColumn("text_bytes", F.when(many, 0).otherwise(F.col("text_bytes"))))
+    batch = _collapsed(records, hot).withColumn("_new", F.lit(1))
     stored = table_or_none(spark, path, schema.raw_table_schema())
     if stored is not None:
         if prune:
@@ -86,6 +93,49 @@ def append_new_records(
     append_by_date(fresh.select(*names), path)
 
 
+def append_outlined_records(
+    spark: SparkSession, records: DataFrame, outlined: DataFrame, path: str, prune: bool = False
+) -> None:
+    """``append_new_records`` of records whose ``outline`` is stored: texts move only if they may be new.
+
+    The outline is compared with the stored table first. A batch that holds nothing new is
+    not looked at again. Of few new records the keys are shipped to the map tasks, which
+    drop the others there. Of more, the dates are shipped, and known records of those
+    dates are dropped behind the shuffle.
+    """
+    told = _counted(outlined)
+    stored = table_or_none(spark, path, schema.raw_table_schema())
+    if stored is not None:
+        known = only_touched(stored, outlined) if prune else stored
+        told = _joined(told, known.select(*_KNOWN_BY), "left_anti")
+    told = materialize(told, "new-records", CODEC)
+    if stored is not None:
+        new = told.count()
+        if not new:
+            return
+        by = _KNOWN_BY if new <= SHIPPED_RECORDS else _DATE
+        records = _joined(records, F.broadcast(told.select(*by).distinct()), "left_semi", by)
+    append_new_records(spark, records, path, prune, told)
+
+
+def outline(records: DataFrame) -> DataFrame:
+    """What an append needs of records before it moves texts: by what they are known, date, bytes of text."""
+    text = F.octet_length(F.concat_ws("", *schema.CLEANED_FIELDS)).cast("bigint")
+    return records.select(*_KNOWN_BY, *_DATE, text.alias("text_bytes"))
+
+
+def _counted(outlined: DataFrame) -> DataFrame:
+    """A row per record: how many copies it has, and their bytes of text together."""
+    copies = F.count(F.lit(1)).alias("copies")
+    return outlined.groupBy(*_KNOWN_BY, *_DATE).agg(copies, F.sum("text_bytes").alias("text_bytes"))
+
+
+def _joined(records: DataFrame, others: DataFrame, how: str, by: Sequence[str] = _KNOWN_BY) -> DataFrame:
+    """Records joined with others by what records are known by, or by date; nulls are equal."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in by]
+    return records.alias("r").join(others.alias("o"), same, how)
+
+
 def _first_landed() -> list[Column]:
     return [F.col("landed_at").asc_nulls_last(), F.col("pdf_s3_path").asc()]
 
@@ -108,29 +158,26 @@ def best_by_date(papers: DataFrame, sources: Iterable[Source]) -> DataFrame:
     best = best_per_key(papers.select(*told_by, *_DATE), sources).withColumn("_wide", F.lit(0))
     both = papers.withColumn("_wide", F.lit(1)).unionByName(best, allowMissingColumns=True)
     equal = Window.partitionBy(*_DATE, "_cell", *told_by).orderBy("_wide", F.col("pdf_s3_path").asc())
-    dealt = _dealt(both, _cells(papers)).withColumn("_before", F.lag("_wide").over(equal))
+    dealt = _dealt(both, _cells(outline(papers))).withColumn("_before", F.lag("_wide").over(equal))
     return dealt.filter("_before = 0 and _wide = 1").select(*papers.columns)
 
 
-def _cells(records: DataFrame) -> DataFrame:
+def _cells(told: DataFrame) -> DataFrame:
     """A batch's dates and the number of cells each is dealt to, written first, so that Spark knows its size."""
-    text = F.octet_length(F.concat_ws("", *schema.CLEANED_FIELDS))
-    cells = F.greatest(F.ceil(F.sum(text.cast("bigint")) / CELL_BYTES), F.lit(1)).alias("cells")
-    return materialize(records.groupBy(*_DATE).agg(cells), "batch-dates")
+    cells = F.greatest(F.ceil(F.sum("text_bytes") / CELL_BYTES), F.lit(1)).alias("cells")
+    return materialize(told.groupBy(*_DATE).agg(cells), "batch-dates")
 
 
-def _collapsed(records: DataFrame) -> DataFrame:
+def _collapsed(records: DataFrame, hot: DataFrame) -> DataFrame:
     """The records, those of many copies as one row each.
 
     All copies of a record meet in one task. Of many, each map task sends one, ordered by
-    narrow columns. A batch has at most one such record per ``HOT_COPIES`` rows.
+    narrow columns.
     """
-    many = records.groupBy(*_KNOWN_BY).count().filter(F.col("count") > HOT_COPIES).select(*_KNOWN_BY)
-    hot = F.broadcast(materialize(many, "hot-records")).alias("h")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in _KNOWN_BY]
-    rest = records.alias("r").join(hot, same, "left_anti")
+    hot = F.broadcast(hot)
+    rest = _joined(records, hot, "left_anti")
     # Without such records, Spark drops this half when it finds the shipped table empty.
-    copies = records.alias("r").join(hot, same, "left_semi")
+    copies = _joined(records, hot, "left_semi")
     first = Window.partitionBy(*_KNOWN_BY).orderBy(*_first_landed())
     copies = copies.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
     return rest.unionByName(copies)

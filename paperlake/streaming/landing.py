@@ -1,4 +1,4 @@
-"""Landing folders as streams: each landed file is read once, ever.
+"""Landing folders as streams: each landed file is taken in once, ever.
 
 The list of files already read is kept in a stream checkpoint, so a run costs only
 what is new. A run takes any number of new files in batches of bounded size.
@@ -11,9 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from paperlake import schema
 from paperlake.operators.refine import refine, to_records
-from paperlake.plans.tables import append_new_records
+from paperlake.plans.tables import append_outlined_records, outline
 from paperlake.session import materialize
 from paperlake.settings import CODEC, LakeSettings, Source
 from paperlake.sources.records import MALFORMED, file_names, read_files, to_papers
@@ -51,18 +50,18 @@ def append_refined(
 ) -> Ingested:
     """Refine raw records and append the new ones to the source's raw table.
 
-    The counts are observed by the job that reads the records. That job writes the refined
-    batch aside, since it is looked at more than once: for its dates and for its rows.
-    Every landed file is read once.
+    A first job reads the records, observes the counts and writes the batch's outline aside:
+    no texts. The landed files are read once more for what is new, not at all if nothing
+    is; a copy of the texts aside would be written and read as well.
     """
     malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
     taken, passed = Observation(), Observation()
     papers = to_papers(raw.withColumn(MALFORMED, malformed), source.name, keep=[MALFORMED])
     papers = papers.observe(taken, F.count(F.lit(1)).alias("read"), F.count_if(MALFORMED).alias("malformed"))
     kept = refine(papers.drop(MALFORMED), settings).observe(passed, F.count(F.lit(1)).alias("kept"))
-    records = to_records(kept, stamp).select(*schema.raw_table_schema().names)
-    records = materialize(records, f"batch-{source.name}", CODEC)
-    append_new_records(spark, records, settings.raw_table_path(source.name), prune)
+    outlined = materialize(outline(to_records(kept, stamp)), f"batch-{source.name}", CODEC)
+    records = to_records(refine(to_papers(raw, source.name), settings), stamp)
+    append_outlined_records(spark, records, outlined, settings.raw_table_path(source.name), prune)
     return Ingested(**taken.get, **passed.get)
 
 

@@ -11,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperlake import schema
-from paperlake.plans import stages
+from paperlake.plans import stages, tables
 from paperlake.settings import LakeSettings
 from paperlake.sources.records import read_records
 from paperlake.sources.samples import SAMPLE_RECORDS, sample_records
+from paperlake.streaming import landing
 from tests.plans import plan_of
 
 DAY = dt.date(2024, 1, 16)
@@ -293,3 +294,50 @@ def test_a_refetch_writes_compressed_batches_and_no_rows(spark, lake):
     files = glob.glob(f"{lake.raw_table_path('arxiv')}/**/*.parquet", recursive=True)
     assert files and all(name.endswith(".zstd.parquet") for name in files)
     assert spark.read.parquet(lake.raw_table_path("arxiv")).count() == 2
+
+
+def moved(spark, monkeypatch):
+    """The plans of the writes of texts to raw tables, as they come, and the files that materialize wrote."""
+    plans, asides = [], []
+    append, write = tables.append_by_date, landing.materialize
+    monkeypatch.setattr(tables, "append_by_date", lambda df, path: (plans.append(plan_of(df)), append(df, path)))
+    monkeypatch.setattr(landing, "materialize", lambda *a: asides.append(write(*a)) or asides[-1])
+    return plans, asides
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_a_refetch_moves_no_texts(spark, lake, monkeypatch, incremental):
+    plans, asides = moved(spark, monkeypatch)
+    for later in range(3):
+        for name in ("arxiv", "pubmed"):
+            stages.land_records(spark, lake, {name: sample_records(spark, name)}, "bucket", DAY + dt.timedelta(later))
+        report = {s.source: s for s in stages.refine_sources(spark, lake, incremental=incremental)}
+    assert len(plans) == 2 and len(asides) == 6
+    assert not any({*schema.CLEANED_FIELDS} & {*df.columns} for df in asides)
+    # Not incrementally, all that ever landed is looked at again.
+    read = 2 if incremental else 6
+    assert (report["arxiv"].rows_read, report["arxiv"].rows_kept, report["arxiv"].rows_stored) == (read, read, 0)
+    assert spark.read.parquet(lake.raw_table_path("arxiv")).count() == 2
+
+
+@pytest.mark.parametrize("shipped", [0, 100])
+@pytest.mark.parametrize("incremental", [False, True])
+def test_new_records_among_fetched_ones_are_all_stored(spark, lake, monkeypatch, shipped, incremental):
+    monkeypatch.setattr(tables, "SHIPPED_RECORDS", shipped)
+    monkeypatch.setattr(tables, "HOT_COPIES", 3)
+    monkeypatch.setattr(tables, "CELL_BYTES", 100)
+    plans, _ = moved(spark, monkeypatch)
+    base = sample_records(spark, "arxiv").crossJoin(spark.range(9).toDF("n"))
+    named = base.withColumn("title", F.concat("title", F.lit(" "), F.col("n") % 4)).drop("n")
+    # New on the second day are hot records of a date of their own, and records without a date.
+    hot = named.withColumns({"title": F.lit("a title that is hot"), "publication_date": F.lit("2024-01-02")})
+    undated = named.withColumn("publication_date", F.lit("unknown"))
+    for later, batch in enumerate((named, named.unionByName(hot).unionByName(undated), hot.unionByName(undated))):
+        stages.land_records(spark, lake, {"arxiv": batch}, "bucket", DAY + dt.timedelta(later))
+        stages.refine_sources(spark, lake, incremental=incremental)
+    stored = spark.read.schema(schema.raw_table_schema()).parquet(lake.raw_table_path("arxiv"))
+    rows = stored.collect()
+    assert len({(r["id"], r["record_hash"]) for r in rows}) == len(rows) == 8 + hot.distinct().count() + 8
+    days = {(r["title"] == "a title that is hot", r["day"]): r["pdf_s3_path"].split("/")[-2] for r in rows}
+    assert days == {(False, 15): "16", (False, 14): "16", (True, 2): "17", (False, None): "17"}
+    assert len(plans) == 2 and plans[1].count("REPARTITION_BY_COL") == 1
